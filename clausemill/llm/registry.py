@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from clausemill.llm import pieces, repeated_lines, survivors
+from clausemill.llm import leakage, mixture, pieces, repeated_lines, survivors
 from clausemill.plans.session import table
 
 
@@ -36,7 +36,27 @@ def p4_records(spark, d):
     return survivors.surviving_records(*_p4(spark, d))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_removed, p3_found, p3_pieces, p4_found, p4_records)}
+def _p8(spark, d):
+    return table(spark, d, "documents").select("doc_id", "text"), table(spark, d, "eval_items").select("item_id", "text")
+
+
+def p8_found(spark, d):
+    return leakage.verbatim_leaks(*_p8(spark, d))
+
+
+def p8_reparameterised(spark, d):
+    return leakage.reparameterised_leaks(*_p8(spark, d))
+
+
+def p9_mix(spark, d):
+    return mixture.mix(table(spark, d, "documents"), table(spark, d, "mix_targets"))
+
+
+def p9_shares(spark, d):
+    return mixture.mix_report(table(spark, d, "documents"), table(spark, d, "mix_targets"))
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_removed, p3_found, p3_pieces, p4_found, p4_records, p8_found, p8_reparameterised, p9_mix, p9_shares)}
 
 _LINES = r"""
 WITH l AS (SELECT row_nr, norm, source_file, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS line_nr
@@ -65,6 +85,12 @@ SQL = {
 SELECT s.row_nr, CASE WHEN nrs IS NULL THEN text ELSE array_to_string(list_filter(string_split(text, chr(10)), lambda x, i: NOT list_contains(nrs, i)), chr(10)) END AS text,
   CAST(coalesce(len(nrs), 0) AS INTEGER) AS n_removed FROM segments s LEFT JOIN gone USING (row_nr)""",
     "p3_found": "SELECT row_nr FROM segments WHERE length(text) > 1800",
+    "p8_found": r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents),
+e AS (SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM eval_items),
+ew AS (SELECT DISTINCT item_id, array_to_string(w[i:i + 11], ' ') AS g FROM (SELECT item_id, w, unnest(range(1, len(w) - 10)) AS i FROM e)),
+dw AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 11], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 10)) AS i FROM d))
+SELECT DISTINCT doc_id, item_id FROM dw JOIN ew USING (g)""",
     "p4_found": _USABLE + f"SELECT id, {_best('norm')}, {_best('version')}, {_best('source_file')} FROM g WHERE n > 1",
     "p4_records": _USABLE
     + """SELECT id, row_nr, completeness, n AS n_records FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY completeness DESC, trust, segmented_at DESC NULLS LAST, row_nr) AS r
