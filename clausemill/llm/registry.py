@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from clausemill.llm import leakage, mixture, pieces, repeated_lines, survivors
+from clausemill.llm import leakage, mixture, nearcopies, pieces, repeated_lines, survivors
 from clausemill.plans.session import table
 
 
@@ -36,6 +36,18 @@ def p4_records(spark, d):
     return survivors.surviving_records(*_p4(spark, d))
 
 
+def _p7(spark, d):
+    return table(spark, d, "segments").where("type IN ('NORM', 'INFORM')").select("row_nr", "id", "text")
+
+
+def p7_found(spark, d):
+    return nearcopies.near_pairs(_p7(spark, d))
+
+
+def p7_classes(spark, d):
+    return nearcopies.near_classes(_p7(spark, d))
+
+
 def _p8(spark, d):
     return table(spark, d, "documents").select("doc_id", "text"), table(spark, d, "eval_items").select("item_id", "text")
 
@@ -56,7 +68,7 @@ def p9_shares(spark, d):
     return mixture.mix_report(table(spark, d, "documents"), table(spark, d, "mix_targets"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_removed, p3_found, p3_pieces, p4_found, p4_records, p8_found, p8_reparameterised, p9_mix, p9_shares)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_removed, p3_found, p3_pieces, p4_found, p4_records, p7_found, p7_classes, p8_found, p8_reparameterised, p9_mix, p9_shares)}
 
 _LINES = r"""
 WITH l AS (SELECT row_nr, norm, source_file, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS line_nr
