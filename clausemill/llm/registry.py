@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from clausemill.llm import leakage, mixture, nearcopies, pieces, repeated_lines, survivors
+from pyspark.sql import functions as F
+
+from clausemill.llm import canonical, leakage, mixture, nearcopies, pieces, repeated_lines, survivors
 from clausemill.plans.session import table
 
 
@@ -36,6 +38,18 @@ def p4_records(spark, d):
     return survivors.surviving_records(*_p4(spark, d))
 
 
+def _p5(spark, d):
+    return table(spark, d, "norm_aliases").where("norm IS NULL").select("alias_id", "alias"), table(spark, d, "norm_catalog")
+
+
+def p5_found(spark, d):
+    return canonical.map_to_list(*_p5(spark, d)).select("alias_id", "norm")
+
+
+def p5_mapping(spark, d):
+    return canonical.map_to_list(*_p5(spark, d)).withColumn("similarity", F.round("similarity", 6))
+
+
 def _p7(spark, d):
     return table(spark, d, "segments").where("type IN ('NORM', 'INFORM')").select("row_nr", "id", "text")
 
@@ -68,7 +82,7 @@ def p9_shares(spark, d):
     return mixture.mix_report(table(spark, d, "documents"), table(spark, d, "mix_targets"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_removed, p3_found, p3_pieces, p4_found, p4_records, p7_found, p7_classes, p8_found, p8_reparameterised, p9_mix, p9_shares)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_removed, p3_found, p3_pieces, p4_found, p4_records, p5_found, p5_mapping, p7_found, p7_classes, p8_found, p8_reparameterised, p9_mix, p9_shares)}
 
 _LINES = r"""
 WITH l AS (SELECT row_nr, norm, source_file, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS line_nr
