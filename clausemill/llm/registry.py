@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from clausemill.llm import canonical, leakage, mixture, nearcopies, pieces, repeated_lines, survivors
+from clausemill.llm import canonical, leakage, mixture, nearcopies, personal, pieces, repeated_lines, survivors
 from clausemill.plans.session import table
 
 
@@ -82,7 +82,15 @@ def p9_shares(spark, d):
     return mixture.mix_report(table(spark, d, "documents"), table(spark, d, "mix_targets"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_removed, p3_found, p3_pieces, p4_found, p4_records, p5_found, p5_mapping, p7_found, p7_classes, p8_found, p8_reparameterised, p9_mix, p9_shares)}
+def p10_found(spark, d):
+    return personal.found_values(table(spark, d, "documents"))
+
+
+def p10_redacted(spark, d):
+    return personal.redacted(table(spark, d, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_removed, p3_found, p3_pieces, p4_found, p4_records, p5_found, p5_mapping, p7_found, p7_classes, p8_found, p8_reparameterised, p9_mix, p9_shares, p10_found, p10_redacted)}
 
 _LINES = r"""
 WITH l AS (SELECT row_nr, norm, source_file, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS line_nr
