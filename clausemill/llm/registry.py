@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from clausemill.llm import canonical, leakage, mixture, nearcopies, personal, pieces, repeated_lines, survivors
+from clausemill.llm import canonical, leakage, mixture, nearcopies, personal, pieces, repeated_lines, scanned, survivors
 from clausemill.plans.session import table
 
 
@@ -18,6 +18,18 @@ def p1_removed(spark, d):
     return repeated_lines.remove_repeated_lines(rows).select("row_nr", "text", "n_removed")
 
 
+def _p2(spark, d):
+    return table(spark, d, "segments").select("row_nr", "id", "type", "page", "text"), table(spark, d, "norm_catalog")
+
+
+def p2_found(spark, d):
+    return scanned.scan_damage(*_p2(spark, d))
+
+
+def p2_text(spark, d):
+    return scanned.mended_text(*_p2(spark, d))
+
+
 def p3_found(spark, d):
     return pieces.split_oversized(table(spark, d, "segments").select("row_nr", "text")).where("piece_nr = 1").select("row_nr")
 
@@ -90,7 +102,7 @@ def p10_redacted(spark, d):
     return personal.redacted(table(spark, d, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_removed, p3_found, p3_pieces, p4_found, p4_records, p5_found, p5_mapping, p7_found, p7_classes, p8_found, p8_reparameterised, p9_mix, p9_shares, p10_found, p10_redacted)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_removed, p2_found, p2_text, p3_found, p3_pieces, p4_found, p4_records, p5_found, p5_mapping, p7_found, p7_classes, p8_found, p8_reparameterised, p9_mix, p9_shares, p10_found, p10_redacted)}
 
 _LINES = r"""
 WITH l AS (SELECT row_nr, norm, source_file, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS line_nr
