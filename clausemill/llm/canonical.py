@@ -119,8 +119,13 @@ def _ordered(sets: DataFrame, keys: list[str], rank: DataFrame) -> DataFrame:
     return listed.select(*keys, "kind", F.col("o.token").alias("tokens"), F.size("o").alias("n"))
 
 
+def _least(c: Column) -> Column:
+    """The least whole number that isn't below c but for rounding."""
+    return F.ceil(c - 1e-9)
+
+
 def _prefixes(sets: DataFrame, keys: list[str], threshold: float) -> DataFrame:
-    size = (F.col("n") - F.ceil(F.lit(threshold) * F.col("n")) + 1).cast("int")
+    size = (F.col("n") - _least(F.lit(threshold) * F.col("n")) + 1).cast("int")
     return sets.select(*keys, "kind", "tokens", "n", F.posexplode(F.slice("tokens", F.lit(1), size)).alias("pos", "token"))
 
 
@@ -133,7 +138,7 @@ def similar_pairs(probes: DataFrame, sets: DataFrame, threshold: float = THRESHO
     if sets.count() * 40 <= BROADCAST_ROWS:
         right = F.broadcast(right)
     n, m = F.col("n"), F.col("m")
-    need = F.ceil(F.lit(threshold / (1 + threshold)) * (n + m))
+    need = _least(F.lit(threshold / (1 + threshold)) * (n + m))
     met = _prefixes(left, ["value"], threshold).join(right, ["kind", "token"]).where(
         (n >= F.lit(threshold) * m) & (m >= F.lit(threshold) * n) & (1 + F.least(n - F.col("pos") - 1, m - F.col("at") - 1) >= need)
     )

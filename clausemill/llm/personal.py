@@ -61,12 +61,12 @@ _DOT = r"(?:\.|[^\S\n]{0,2}(?:\(dot\)|\[dot\]|\{dot\}|<dot>)[^\S\n]{0,2}|[^\S\n]
 EMAIL = re.compile(rf"(?<![\w.+@-])[A-Za-z0-9](?:[\w.+%-]*\w)?{_AT}(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?{_DOT})+[A-Za-z]{{2,12}}(?![\w@])", re.ASCII)
 
 PHONES = [
-    (0.7, re.compile(r"(?<![\w.+/@-])(?:\+|00)[1-9]\d{0,2}[ .\-\xa0]?(?:\(0\)[ \xa0]?)?\d(?:[ .\-\xa0]?\d){6,11}(?!/)(?![\w@])")),
-    (0.6, re.compile(r"(?<![\w.+/@-])\(\d{3}\)[ \xa0]?\d{3}[-. ]\d{4}(?!\w)")),
-    (0.6, re.compile(r"(?<![\w.+/@-])[2-9]\d{2}([.-])\d{3}\1\d{4}(?![\w-])")),
-    (0.6, re.compile(r"(?<![\w.+/@-])0\d{2,4}/\d{4,8}(?:-\d{1,5})?(?!\w)")),
-    (0.6, re.compile(r"(?<![\w.+/@-])0\d{2,4}[ \xa0]\d{3,4}[ \xa0]\d{4}(?!\w)")),
-    (0.6, re.compile(r"(?<![\w.+/@-])0[1-9](?:([ .\xa0])\d{2})(?:\1\d{2}){3}(?!\w)")),
+    (0.7, re.compile(r"(?<![\w.+/@-])(?<!\d )(?:\+|00)[1-9]\d{0,2}[ .\-\xa0]?(?:\(0\)[ \xa0]?)?\d(?:[ .\-\xa0]?\d){6,11}(?!/)(?![\w@])")),
+    (0.6, re.compile(r"(?<![\w.+/@-])(?<!\d )\(\d{3}\)[ \xa0]?\d{3}[-. ]\d{4}(?!\w)")),
+    (0.6, re.compile(r"(?<![\w.+/@-])(?<!\d )[2-9]\d{2}([.-])\d{3}\1\d{4}(?![\w-])")),
+    (0.6, re.compile(r"(?<![\w.+/@-])(?<!\d )0\d{2,4}/\d{4,8}(?:-\d{1,5})?(?!\w)")),
+    (0.6, re.compile(r"(?<![\w.+/@-])(?<!\d )0\d{2,4}[ \xa0]\d{3,4}[ \xa0]\d{4}(?!\w)")),
+    (0.6, re.compile(r"(?<![\w.+/@-])(?<!\d )0[1-9](?:([ .\xa0])\d{2})(?:\1\d{2}){3}(?!\w)")),
 ]
 _PHONE_NEAR = re.compile(r"(?i)(?:phone|tel|fax|voice|call|reach|mobile|rufnummer|erreichbar|joignable|appel|t[ée]l)[^\n]{0,14}$")
 
@@ -79,7 +79,7 @@ IDS: list[tuple[float, re.Pattern[str], Callable[[str], bool]]] = [
     (0.6, re.compile(r"(?<![\w.-])[A-Z]\d[A-Z]\d{2}[A-Z]\d[A-Z]\d(?!\w)"), _never),
     (0.6, re.compile(r"(?<![\w.-])[A-Z]\d[A-Z]\d-\d{5}-[A-Z0-9](?!\w)"), _never),
     (0.1, re.compile(r"(?<![\w.-])[A-Z]{2}\d{2}(?:[ \xa0]?[A-Z0-9]{4}){2,7}(?:[ \xa0]?[A-Z0-9]{1,3})?(?!\w)"), mod97),
-    (0.0, re.compile(r"(?<![\w.+-])\d(?:[ \xa0-]?\d){12,18}(?![\w-])"), luhn),
+    (0.0, re.compile(r"(?<![\w.+-])[2-6](?:[ \xa0-]?\d){12,18}(?![\w-])"), luhn),
     (0.0, re.compile(r"(?<![\w.+/-])\d{11}(?![\w/-])"), mod11_10),
 ]
 _ID_NEAR = re.compile(r"(?i)(?:\bid\b|identi|passport|passeport|pass-?nr|tax|steuer|social security|security n|personenkenn|ausweis|national|insurance|versicherung|num[ée]ro)[^\n]{0,24}$")
@@ -152,8 +152,8 @@ def _proposals(text: str) -> Iterator[tuple[float, int, int, str]]:
             for m in p.finditer(text, low, high):
                 before = text[max(0, m.start() - 48) : m.start()]
                 plain = re.sub(r"[\s/-]", "", m.group())
-                confirmed = valid(plain) and len(set(plain)) > 2
-                yield base + 0.5 * confirmed + 0.3 * bool(_ID_NEAR.search(before)) - 0.5 * bool(_NOT_PERSONAL.search(before)), m.start(), m.end(), "id_number"
+                confirmed = valid(plain) and len(set(plain)) > 1
+                yield base + 0.8 * confirmed + 0.3 * bool(_ID_NEAR.search(before)) - 0.5 * bool(_NOT_PERSONAL.search(before)), m.start(), m.end(), "id_number"
 
 
 def _resolve(spans: list[tuple[float, int, int, str]]) -> list[tuple[float, int, int, str]]:
