@@ -8,6 +8,7 @@ from clausemill.functions import identifiers as I
 from clausemill.functions import text as T
 from clausemill.operators import graph, incremental, merge, profiles, retrieval, sequences
 from clausemill.plans.session import table
+from clausemill.sources import exports
 
 QUERIES, SQL = {}, {}
 
@@ -443,3 +444,32 @@ def incremental_aliases(spark, d):
 def incremental_upsert(spark, d):
     rows = _segments(spark, d, "id", "row_nr", "norm", "version", "ingested_at").where("id IS NOT NULL")
     return incremental.upsert(rows.limit(0), rows, ["id"], ["ingested_at", "row_nr"]).select("id", "row_nr", "norm", "version")
+
+
+# ---- exports
+
+
+@query("""SELECT source_file, string_agg(CASE WHEN type = 'SECTION' THEN repeat('=', least(len(string_split(section, '.')), 5) + 1) || ' ' || text WHEN type = 'NORM' THEN '[.normative]' || chr(10) || text
+  WHEN type = 'INFORM' THEN '[.informative]' || chr(10) || text ELSE text END || chr(10), chr(10) ORDER BY row_nr) AS body
+FROM segments WHERE type NOT IN ('HEADER', 'FOOTER', 'TOC', 'OTHER') AND text IS NOT NULL AND source_file IS NOT NULL GROUP BY 1""")
+def export_asciidoc(spark, d):
+    return exports.asciidoc(_segments(spark, d, "row_nr", "source_file", "type", "section", "text"))
+
+
+@query(f"""WITH {_EDGES} SELECT DISTINCT from_id, to_id, regexp_replace(from_id, '\\W', '_', 'g') || CASE WHEN type = 'normative' THEN ' --> ' ELSE ' -.-> ' END || regexp_replace(to_id, '\\W', '_', 'g') AS line FROM e ORDER BY 1, 2, 3 LIMIT 100""")
+def export_mermaid(spark, d):
+    return exports.mermaid(_edges(spark, d))
+
+
+@query(f"""WITH {_EDGES}, h AS (SELECT DISTINCT lower(trim(source_file)) AS id FROM spec_docs WHERE source_file IS NOT NULL), x AS (SELECT from_id AS id FROM e UNION SELECT to_id FROM e)
+SELECT 0 AS pos, 'digraph references {{' AS line UNION ALL SELECT 3, '}}' UNION ALL SELECT 1, '  "' || id || '" [style=solid];' FROM h UNION ALL SELECT 1, '  "' || id || '" [style=dashed];' FROM x WHERE id NOT IN (SELECT id FROM h)
+UNION ALL SELECT DISTINCT 2, '  "' || from_id || '" -> "' || to_id || '" [penwidth=' || CASE WHEN type = 'normative' THEN '2' ELSE '1' END || '];' FROM e""")
+def export_dot(spark, d):
+    e = _edges(spark, d)
+    return exports.dot(graph.graph_nodes(table(spark, d, "spec_docs"), e), e)
+
+
+@query("""SELECT source_file, CAST(sum(n) AS BIGINT) AS segment_count, '{' || string_agg('"' || type || '":' || n, ',' ORDER BY type) || '}' AS type_counts
+FROM (SELECT source_file, type, count(*) AS n FROM segments WHERE source_file IS NOT NULL AND type IS NOT NULL GROUP BY 1, 2) GROUP BY 1""")
+def export_envelopes(spark, d):
+    return exports.envelopes(_segments(spark, d, "source_file", "type"))
