@@ -1,11 +1,13 @@
 """Short neighbouring segments merged into longer ones, in a document's order.
 
-The rule carries a growing length from segment to segment, which no window expresses: it is a fold. A document's segments
-are bounded by the document, so one group is one task's small share, and the fold runs over Arrow batches.
+The rule carries a growing length from segment to segment, which no window expresses: it is a fold. Partitions are sorted
+by document and position and folded in one pass; only the run being merged is held, whatever a document's size.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,31 +15,29 @@ from pyspark.sql import functions as F
 MOST_CHARS, ENOUGH_CHARS = 1800, 200
 MERGED_TYPES, ENDINGS = ("NORM", "INFORM"), (".", ";", ":")
 _COLUMNS = ["doc", "pos", "id", "type", "page", "section", "text", "keywords", "n_merged"]
+_TYPE, _SECTION, _TEXT, _KEYWORDS, _MERGED = 3, 5, 6, 7, 8
 
 
-def fold(rows: pd.DataFrame, most: int = MOST_CHARS, enough: int = ENOUGH_CHARS) -> pd.DataFrame:
-    out: list[dict] = []
-    held: dict | None = None
-    for r in rows.sort_values("pos", kind="stable").to_dict("records"):
-        text = r["text"] or ""
-        words = list(r["keywords"]) if r["keywords"] is not None else []
-        if r["type"] not in MERGED_TYPES:
-            held = None
-            out.append({**r, "keywords": words, "n_merged": 1})
-            continue
-        alike = held is not None and (held["type"], held["section"]) == (r["type"], r["section"])
-        if alike and len(held["text"]) + 1 + len(text) <= most:
-            held["text"] = f"{held['text'].rstrip()} {text.strip()}"
-            held["keywords"] += [w for w in words if w not in held["keywords"]]
-            held["n_merged"] += 1
+def fold(rows: Iterable[tuple], most: int = MOST_CHARS, enough: int = ENOUGH_CHARS) -> Iterator[list]:
+    """Merged rows of rows in order; a row is closed once the next can't join it."""
+    held: list | None = None
+    for r in rows:
+        text = r[_TEXT] or ""
+        words = list(r[_KEYWORDS]) if r[_KEYWORDS] is not None else []
+        joins = held is not None and (held[0], held[_TYPE], held[_SECTION]) == (r[0], r[_TYPE], r[_SECTION]) and len(held[_TEXT]) + 1 + len(text) <= most
+        if joins:
+            held[_TEXT] = f"{held[_TEXT].rstrip()} {text.strip()}"
+            held[_KEYWORDS] += [w for w in words if w not in held[_KEYWORDS]]
+            held[_MERGED] += 1
         else:
-            held = {**r, "text": text, "keywords": words, "n_merged": 1}
-            out.append(held)
-        if len(held["text"]) >= enough and held["text"].rstrip().endswith(ENDINGS):
+            if held is not None:
+                yield held
+            held = [*r[:_TEXT], text, words, 1]
+        if held[_TYPE] not in MERGED_TYPES or len(held[_TEXT]) >= enough and held[_TEXT].rstrip().endswith(ENDINGS):
+            yield held
             held = None
-    for r in out:
-        r["text"] = (r["text"] or "").strip()
-    return pd.DataFrame(out, columns=_COLUMNS)
+    if held is not None:
+        yield held
 
 
 def merge_short(segments: DataFrame) -> DataFrame:
@@ -48,5 +48,20 @@ def merge_short(segments: DataFrame) -> DataFrame:
     """
     kinds = dict(segments.dtypes)
     schema = f"doc {kinds['doc']}, pos {kinds['pos']}, id string, type string, page int, section string, text string, keywords array<string>, n_merged int"
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def rows() -> Iterator[tuple]:
+            for b in batches:
+                yield from zip(*(b[c].astype(object).where(b[c].notna(), None) if c == "page" else b[c] for c in _COLUMNS[:-1]))
+
+        out: list[list] = []
+        for r in fold(rows()):
+            r[_TEXT] = r[_TEXT].strip()
+            out.append(r)
+            if len(out) >= 5000:
+                yield pd.DataFrame(out, columns=_COLUMNS)
+                out = []
+        yield pd.DataFrame(out, columns=_COLUMNS)
+
     rows = segments.select(*_COLUMNS[:-1]).withColumn("section", F.coalesce("section", F.lit("")))
-    return rows.groupBy("doc").applyInPandas(lambda g: fold(g), schema)
+    return rows.repartition("doc").sortWithinPartitions("doc", "pos").mapInPandas(run, schema)

@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from clausemill.plans.session import materialize
+
 K1, B, LEAST_IDF = 1.2, 0.75, 1e-6
 INDEXED, EMBEDDED = ("NORM", "INFORM", "SECTION"), ("NORM", "INFORM")
 # Accented letters and their plain forms, for the tokenizer.
@@ -37,11 +39,22 @@ class Index:
     totals: DataFrame
 
 
-def build_index(segments: DataFrame) -> Index:
-    """segments (id, text). Grouping by term and id is combined map-side but for the positions."""
-    words = segments.select("id", tokens("text").alias("words"))
-    lengths = words.select("id", F.size("words").alias("len"))
-    each = words.select("id", F.posexplode("words").alias("pos", "term"))
+def build_index(segments: DataFrame, query: str | None = None) -> Index:
+    """The index of segments (id, text); with a query, only of its terms.
+
+    Texts are tokenized once. With a query that one scan is written as (id, len, hits), which is narrow, and all that
+    ranking needs is read from there; without one, store the three tables and search them.
+    """
+    words = segments.select("id", tokens(F.col("text")).alias("words"))
+    if query is None:
+        lengths = words.select("id", F.size("words").alias("len"))
+        each = words.select("id", F.posexplode("words").alias("pos", "term"))
+    else:
+        q = parse_query(query)
+        terms = sorted({t for x in (*q.alternatives, *q.phrases, q.excluded) for t in x})
+        placed = F.transform("words", lambda w, i: F.struct(i.alias("pos"), w.alias("term")))
+        scan = materialize(words.select("id", F.size("words").alias("len"), F.filter(placed, lambda x: _match(terms, x["term"])).alias("hits")), "index-scan")
+        lengths, each = scan.select("id", "len"), scan.select("id", F.inline("hits"))
     postings = each.groupBy("term", "id").agg(F.count("*").alias("tf"), F.sort_array(F.collect_list("pos")).alias("positions"))
     return Index(postings, lengths, lengths.agg(F.count("*").alias("n"), F.avg("len").alias("avg_len")))
 
@@ -64,10 +77,11 @@ def parse_query(text: str) -> Query:
     return Query([a for a in alternatives if a], [p for p in phrases if p], excluded)
 
 
-def _match(terms: Sequence[str]) -> Column:
+def _match(terms: Sequence[str], term: Column | None = None) -> Column:
+    term = F.col("term") if term is None else term
     cond = F.lit(False)
     for t in terms:
-        cond = cond | (F.col("term").startswith(t[:-1]) if t.endswith("*") else F.col("term") == t)
+        cond = cond | (term.startswith(t[:-1]) if t.endswith("*") else term == t)
     return cond
 
 

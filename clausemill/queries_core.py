@@ -231,24 +231,28 @@ score AS (SELECT id, sum(CASE WHEN ln((n - df + 0.5) / (df + 0.5)) <= 0 THEN 1e-
   FROM hit JOIN df USING (slot) JOIN len USING (id), tot GROUP BY id HAVING count(*) >= {n}) SELECT id, round(score, 6) AS score FROM score WHERE {where}"""
 
 
+def _searched(spark, d, query):
+    return retrieval.bm25(retrieval.build_index(_indexed(spark, d), query), query)
+
+
 @query("WITH " + _bm25_sql("CASE WHEN term IN ('escrow', 'agreement', 'ledger') THEN term END", 3))
 def search_all_terms(spark, d):
-    return retrieval.bm25(retrieval.build_index(_indexed(spark, d)), "escrow agreement ledger").withColumn("score", F.round("score", 6))
+    return _searched(spark, d, "escrow agreement ledger").withColumn("score", F.round("score", 6))
 
 
 @query("WITH " + _bm25_sql("CASE WHEN term IN ('notarial', 'beacon') THEN term END", 1))
 def search_any_term(spark, d):
-    return retrieval.bm25(retrieval.build_index(_indexed(spark, d)), "notarial OR beacon").withColumn("score", F.round("score", 6))
+    return _searched(spark, d, "notarial OR beacon").withColumn("score", F.round("score", 6))
 
 
 @query("WITH " + _bm25_sql("CASE WHEN starts_with(term, 'custod') THEN 'custod' WHEN term = 'sealed' THEN term END", 2))
 def search_prefix(spark, d):
-    return retrieval.bm25(retrieval.build_index(_indexed(spark, d)), "custod* sealed").withColumn("score", F.round("score", 6))
+    return _searched(spark, d, "custod* sealed").withColumn("score", F.round("score", 6))
 
 
 @query("WITH " + _bm25_sql("CASE WHEN term IN ('disputed', 'ballot') THEN term END", 2, "id IN (SELECT id FROM tok WHERE regexp_matches(' ' || array_to_string(w, ' ') || ' ', ' disputed ballot ')) AND id NOT IN (SELECT id FROM post WHERE term = 'escrow')"))
 def search_phrase_without(spark, d):
-    return retrieval.bm25(retrieval.build_index(_indexed(spark, d)), '"disputed ballot" NOT escrow').withColumn("score", F.round("score", 6))
+    return _searched(spark, d, '"disputed ballot" NOT escrow').withColumn("score", F.round("score", 6))
 
 
 @query("""WITH q AS (SELECT vec_id AS query_id, embedding AS e FROM embeddings WHERE vec_id % 20 = 0),
@@ -269,7 +273,7 @@ f AS (SELECT coalesce(ln.id, vx.id) AS id, coalesce(b, 0) AS b, coalesce(c, 0) A
 SELECT id, round(b, 6) AS bm25, round(c, 6) AS cosine, round(0.5 * b + 0.5 * c, 4) AS score FROM f ORDER BY score DESC, id LIMIT 20"""))
 def search_hybrid(spark, d):
     vectors = table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
-    lexical = retrieval.normalized(retrieval.top(retrieval.bm25(retrieval.build_index(_indexed(spark, d)), "escrow ledger"), 40))
+    lexical = retrieval.normalized(retrieval.top(_searched(spark, d, "escrow ledger"), 40))
     out = retrieval.hybrid(lexical, retrieval.vector_scores(vectors, _query_vector(spark, d), 40), 20)
     return out.select("id", F.round("bm25", 6).alias("bm25"), F.round("cosine", 6).alias("cosine"), "score")
 
