@@ -20,9 +20,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clausemill.plans.session import BROADCAST_ROWS
+from clausemill.plans.session import BROADCAST_ROWS, materialize
 
-THRESHOLD, ACCEPT = 0.4, 0.48
+THRESHOLD = ACCEPT = 0.48
 #: Digits as they're misread, and abbreviated title words with their full forms.
 MISREAD, DIGITS = "oilzbs", "011285"
 SHORT_WORDS = {r"\bsec\.": "security", r"\breqs\.": "requirements", r"\bconf\.": "conformance", r"\bf\.": "for"}
@@ -130,27 +130,37 @@ def _prefixes(sets: DataFrame, keys: list[str], threshold: float) -> DataFrame:
 
 
 def similar_pairs(probes: DataFrame, sets: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(value, norm, kind, similarity) of all pairs of one kind whose Jaccard similarity reaches threshold."""
+    """(value, norm, kind, similarity) of all pairs of one kind whose Jaccard similarity reaches threshold.
+
+    Only prefixes are joined, as narrow rows. What a pair shares in its prefixes, and what can follow after its last
+    shared positions, bounds its overlap; the sets themselves are attached to the pairs that this leaves, and verified.
+    """
     every = probes.select("tokens").unionAll(sets.select("tokens"))
     rank = every.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("rarity"))
-    left, right = _ordered(probes, ["value"], rank), _prefixes(_ordered(sets, ["norm"], rank), ["norm"], threshold)
-    right = right.select("kind", "token", "norm", F.col("tokens").alias("theirs"), F.col("n").alias("m"), F.col("pos").alias("at"))
-    if sets.count() * 40 <= BROADCAST_ROWS:
-        right = F.broadcast(right)
+    spread = max(2, probes.sparkSession.sparkContext.defaultParallelism)
+    left = materialize(_ordered(probes, ["value"], rank).withColumn("x", F.xxhash64("value", "kind", "tokens")).repartition(spread, "x"), "list-values")
+    right = materialize(_ordered(sets, ["norm"], rank).withColumn("y", F.xxhash64("norm", "kind", "tokens")), "list-entries")
+    theirs = _prefixes(right, ["y"], threshold).select("kind", "token", "y", F.col("n").alias("m"), F.col("pos").alias("at"))
+    small = right.count() * 40 <= BROADCAST_ROWS
     n, m = F.col("n"), F.col("m")
     need = _least(F.lit(threshold / (1 + threshold)) * (n + m))
-    met = _prefixes(left, ["value"], threshold).join(right, ["kind", "token"]).where(
-        (n >= F.lit(threshold) * m) & (m >= F.lit(threshold) * n) & (1 + F.least(n - F.col("pos") - 1, m - F.col("at") - 1) >= need)
-    )
+    met = (
+        _prefixes(left, ["x"], threshold).select("kind", "token", "x", "n", "pos").repartition(spread, "x")
+        .join(F.broadcast(theirs) if small else theirs, ["kind", "token"])
+        .where((n >= F.lit(threshold) * m) & (m >= F.lit(threshold) * n))
+        .groupBy("x", "y", "n", "m").agg(F.count("*").alias("met"), F.max("pos").alias("pos"), F.max("at").alias("at"))
+        .where(F.col("met") + F.least(n - F.col("pos") - 1, m - F.col("at") - 1) >= need)
+    )
+    entries = right.select("y", "norm", F.col("tokens").alias("theirs"))
+    pairs = met.select("x", "y", "n", "m").join(left.select("x", "value", "kind", "tokens"), "x").join(F.broadcast(entries) if small else entries, "y")
     common = F.size(F.array_intersect("tokens", "theirs"))
-    # a pair may meet at several tokens; verifying is cheaper than a shuffle of the sets to meet once
-    return met.select("value", "norm", "kind", (common / (n + m - common)).alias("similarity")).where(F.col("similarity") >= threshold).distinct()
+    return pairs.select("value", "norm", "kind", (common / (n + m - common)).alias("similarity")).where(F.col("similarity") >= threshold - 1e-12).distinct()
 
 
 def map_to_list(aliases: DataFrame, entries: DataFrame, accept: float = ACCEPT) -> DataFrame:
     """(alias_id, alias, norm, kind, similarity): the entry meant by each alias; '' and nulls where none is."""
     values = aliases.where(F.col("alias").isNotNull()).select(F.col("alias").alias("value")).distinct()
-    pairs = similar_pairs(value_probes(values), entry_sets(entries))
+    pairs = similar_pairs(value_probes(values), entry_sets(entries), min(THRESHOLD, accept))
     order = F.create_map(*[F.lit(x) for kv in (("number", 0), ("item", 1), ("code", 2), ("title", 3), ("name", 3)) for x in kv])
     ranked = pairs.where((F.col("similarity") >= accept) | ~F.col("kind").isin("title", "name")).withColumn("prior", order[F.col("kind")])
     by_entry = ranked.groupBy("value", "prior", "norm").agg(F.max(F.struct("similarity", "kind")).alias("s"))
