@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from clausemill.functions import embedding
 from clausemill.functions import identifiers as I
 from clausemill.functions import text as T
-from clausemill.operators import graph, incremental, merge, profiles, retrieval, sequences
+from clausemill.operators import graph, incremental, merge, profiles, retrieval, sections, sequences
 from clausemill.plans.session import table
 from clausemill.sources import exports
 
@@ -477,3 +478,99 @@ def export_dot(spark, d):
 FROM (SELECT source_file, type, count(*) AS n FROM segments WHERE source_file IS NOT NULL AND type IS NOT NULL GROUP BY 1, 2) GROUP BY 1""")
 def export_envelopes(spark, d):
     return exports.envelopes(_segments(spark, d, "source_file", "type"))
+
+
+# ---- sections, coverage and views
+
+
+_SECT = "sec AS (SELECT DISTINCT id, string_split(id, '#')[1] AS doc, page_from, page_to, text FROM toc_segments WHERE id IS NOT NULL AND page_from IS NOT NULL AND page_to >= page_from)"
+_PAGED = "cov AS (SELECT sec.id, count(*) AS n, sum(length(s.text)) AS chars FROM sec JOIN segments s ON s.source_file = sec.doc AND s.page BETWEEN sec.page_from AND sec.page_to GROUP BY 1)"
+
+
+def _sections(spark, d):
+    t = table(spark, d, "toc_segments").where("id IS NOT NULL AND page_from IS NOT NULL AND page_to >= page_from")
+    return t.select("id", F.substring_index("id", "#", 1).alias("doc"), "page_from", "page_to", "text").distinct()
+
+
+@query(f"WITH {_SECT}, {_PAGED} SELECT id, n, CAST(chars AS BIGINT) AS chars FROM cov")
+def section_pages(spark, d):
+    return sections.pages_in_sections(_sections(spark, d), _segments(spark, d, F.col("source_file").alias("doc"), "page", "text"))
+
+
+@query(f"""WITH {_SECT}, {_PAGED} SELECT doc, extracted, available, round(extracted / greatest(available, 1), 3) AS ratio, round(extracted / greatest(available, 1), 3) < 0.85 AS low
+FROM (SELECT doc, CAST(sum(length(text)) AS BIGINT) AS extracted, CAST(sum(chars) AS BIGINT) AS available FROM sec JOIN cov USING (id) GROUP BY 1)""")
+def section_coverage(spark, d):
+    own = _sections(spark, d)
+    return sections.coverage(sections.pages_in_sections(own, _segments(spark, d, F.col("source_file").alias("doc"), "page", "text")), own)
+
+
+@query(r"""SELECT id, num, CASE WHEN regexp_matches(title, '(?i)Intellectual Property|Essential patents|Important Notice|Modal verbs terminology|Foreword|Introduction') THEN 'boilerplate' WHEN regexp_matches(num, '^(?i:annex\s+)?[A-Z](\.|$)') THEN 'annex'
+  WHEN regexp_matches(title, '(?i)\(informative\)|^NOTE\b|^EXAMPLE\b') THEN 'inform' ELSE 'norm' END AS kind FROM toc_segments""")
+def section_classes(spark, d):
+    return table(spark, d, "toc_segments").select("id", "num", sections.section_class(F.col("title"), F.col("num")).alias("kind"))
+
+
+@query("SELECT title, count(*) AS n FROM toc_segments WHERE title IS NOT NULL AND regexp_full_match(num, '\\d+|[A-Z]') GROUP BY 1 ORDER BY n DESC, title LIMIT 40")
+def section_title_frequencies(spark, d):
+    return sections.title_frequencies(table(spark, d, "toc_segments"))
+
+
+@query("SELECT page, count(*) AS docs FROM (SELECT string_split(id, '#')[1] AS doc, min(page_from) AS page FROM toc_segments WHERE page_from IS NOT NULL AND id IS NOT NULL GROUP BY 1) GROUP BY 1")
+def section_body_starts(spark, d):
+    return sections.body_starts(table(spark, d, "toc_segments"))
+
+
+@query("SELECT type, row_nr FROM (SELECT type, row_nr, row_number() OVER (PARTITION BY type ORDER BY row_nr) AS r FROM (SELECT type, min(row_nr) AS row_nr FROM segments WHERE text IS NOT NULL AND type IS NOT NULL GROUP BY type, text[1:200])) WHERE r <= 3")
+def profile_first_samples(spark, d):
+    return sections.first_samples(_segments(spark, d, "row_nr", "type", "text"))
+
+
+@query("SELECT count(*) AS files, median(m) AS median FROM (SELECT source_file, median(length(text)) AS m FROM segments WHERE text IS NOT NULL AND source_file IS NOT NULL AND type IN ('NORM', 'INFORM') GROUP BY 1)")
+def profile_file_medians(spark, d):
+    return sections.file_medians(_segments(spark, d, "source_file", "type", "text"))
+
+
+@query("""SELECT CASE WHEN regexp_matches(norm, '(?i)\\b(EN|TS|TR|ES|EG)\\b') THEN upper(regexp_extract(norm, '(?i)\\b(EN|TS|TR|ES|EG)\\b', 1)) ELSE 'Other' END AS kind, strftime(ingested_at, '%Y-%m') AS month, count(*) AS n, count(DISTINCT source_file) AS files FROM spec_docs GROUP BY 1, 2""")
+def profile_by_month(spark, d):
+    kind = F.coalesce(I.doc_type(F.col("norm")), F.lit("Other"))
+    return table(spark, d, "spec_docs").groupBy(kind.alias("kind"), F.date_format("ingested_at", "yyyy-MM").alias("month")).agg(F.count("*").alias("n"), F.count_distinct("source_file").alias("files"))
+
+
+@query("""SELECT source_file FROM spec_docs WHERE source_file IS NOT NULL AND norm IS NOT NULL AND regexp_full_match(version, 'v[0-9]+\\.[0-9]+\\.[0-9]+')
+EXCEPT SELECT arg_max(source_file, (k, source_file, version)) FROM (SELECT norm, version, source_file, list_transform(regexp_extract_all(version, '[0-9]+'), lambda x: CAST(x AS INT)) AS k FROM spec_docs WHERE norm IS NOT NULL AND regexp_full_match(version, 'v[0-9]+\\.[0-9]+\\.[0-9]+')) GROUP BY norm""")
+def set_superseded_files(spark, d):
+    docs = table(spark, d, "spec_docs")
+    dated = docs.where(F.col("source_file").isNotNull() & F.col("norm").isNotNull() & I.version_key(F.col("version")).isNotNull())
+    return dated.select("source_file").distinct().join(sequences.latest_versions(docs), "source_file", "left_anti")
+
+
+@query(f"""WITH {_EDGES}, h AS (SELECT DISTINCT lower(trim(source_file)) AS id FROM spec_docs WHERE source_file IS NOT NULL), v AS (SELECT * FROM e WHERE type = 'normative' AND to_id NOT IN (SELECT id FROM h)) SELECT to_id, count(*) AS n, count(DISTINCT from_id) AS documents FROM v GROUP BY 1""")
+def graph_dangling(spark, d):
+    have = table(spark, d, "spec_docs").where("source_file IS NOT NULL").select(F.lower(F.trim("source_file")).alias("to_id")).distinct()
+    lost = _edges(spark, d).where("type = 'normative'").join(have, "to_id", "left_anti")
+    return lost.groupBy("to_id").agg(F.count("*").alias("n"), F.count_distinct("from_id").alias("documents"))
+
+
+@query(f"WITH {_EDGES} SELECT to_id AS id, 'in' AS side, from_id AS other, type FROM e WHERE to_id LIKE 'en_337%' UNION ALL SELECT from_id, 'out', to_id, type FROM e WHERE from_id LIKE 'en_337%'")
+def graph_neighbours(spark, d):
+    e = _edges(spark, d)
+    into = e.where("to_id LIKE 'en_337%'").select(F.col("to_id").alias("id"), F.lit("in").alias("side"), F.col("from_id").alias("other"), "type")
+    return into.unionAll(e.where("from_id LIKE 'en_337%'").select("from_id", F.lit("out"), "to_id", "type"))
+
+
+@query(rf"""SELECT DISTINCT doc_id, ref FROM (SELECT doc_id, regexp_replace(regexp_replace(upper(r[1:2]) || r[3:], '\s+', ' ', 'g'), '(\d{{3}}) ?(\d{{3}})', '\1 \2') AS ref FROM (SELECT doc_id, unnest(regexp_extract_all(text, '{_SPEC}', 1)) AS r FROM documents WHERE text IS NOT NULL))
+WHERE regexp_replace(ref, '-\d+$', '') IN (SELECT regexp_replace(norm, '-\d+$', '') FROM norm_catalog)""")
+def graph_relevant_citations(spark, d):
+    base = lambda c: F.regexp_replace(c, r"-\d+$", "").alias("base")
+    cited = graph.reference_rows(table(spark, d, "documents").select("doc_id", "text"), "doc_id").where("source = 'spec'")
+    return cited.select("doc_id", "ref", base(F.col("ref"))).join(table(spark, d, "norm_catalog").select(base(F.col("norm"))).distinct(), "base", "left_semi").select("doc_id", "ref")
+
+
+@query("SELECT row_nr, length(text) AS n FROM segments WHERE type IN ('NORM', 'INFORM') AND coalesce(has_embedding, 0) = 0 AND trim(coalesce(text, '')) <> ''")
+def incremental_unembedded(spark, d):
+    return embedding.missing(_segments(spark, d, "row_nr", "type", "text", "has_embedding")).select("row_nr", F.length("text").alias("n"))
+
+
+@query()
+def incremental_embeddings(spark, d):
+    return embedding.embed_missing(_segments(spark, d, "row_nr", "type", "text", "has_embedding"))
