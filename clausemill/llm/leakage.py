@@ -135,10 +135,11 @@ def leaked_pairs(docs: DataFrame, items: DataFrame, window: int = WINDOW, block_
     """(doc_id, item_id, n_exact, n_template, consistent): every pair that shares at least one template window."""
     spark = docs.sparkSession
     doc_type, item_type = dict(docs.dtypes)["doc_id"], dict(items.dtypes)["item_id"]
-    schema = f"doc_id {doc_type}, item_id {item_type}, n_exact int, n_template int, consistent boolean"
-    known = items.where(F.col("text").isNotNull()).select("item_id", "text").distinct()
+    # keys travel as strings: pandas would turn whole numbers beside nulls into floats
+    schema = "doc_id string, item_id string, n_exact int, n_template int, consistent boolean"
+    known = items.where(F.col("text").isNotNull()).select(F.col("item_id").cast("string").alias("item_id"), "text").distinct()
     blocks = max(1, -(-known.count() // block_items))
-    texts = docs.where(F.length("text") > 0).select("doc_id", "text")
+    texts = docs.where(F.length("text") > 0).select(F.col("doc_id").cast("string").alias("doc_id"), "text")
     out = []
     for b in range(blocks):
         rows = known.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == b).collect()
@@ -155,9 +156,8 @@ def leaked_pairs(docs: DataFrame, items: DataFrame, window: int = WINDOW, block_
                 yield pd.DataFrame(got, columns=["doc_id", "item_id", "n_exact", "n_template", "consistent"])
 
         out.append(texts.mapInPandas(run, schema))
-    if not out:
-        return spark.createDataFrame([], schema)
-    merged = reduce(DataFrame.unionByName, out)
+    merged = reduce(DataFrame.unionByName, out) if out else spark.createDataFrame([], schema)
+    merged = merged.withColumn("doc_id", F.col("doc_id").cast(doc_type)).withColumn("item_id", F.col("item_id").cast(item_type))
     return merged.groupBy("doc_id", "item_id").agg(
         F.max("n_exact").alias("n_exact"), F.max("n_template").alias("n_template"), F.max("consistent").alias("consistent")
     )

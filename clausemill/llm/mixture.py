@@ -72,8 +72,9 @@ def with_tokens(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
         for b in batches:
             yield pd.DataFrame({"doc_id": b["doc_id"], "source": b["source"], "tokens": [count(t) for t in b["text"]]})
 
-    rows = docs.where(F.length("text") > 0).select("doc_id", _name("source").alias("source"), "text").where(F.col("source").isNotNull())
-    return rows.mapInPandas(run, f"doc_id {kind}, source string, tokens long")
+    rows = docs.where(F.length("text") > 0).select(F.col("doc_id").cast("string").alias("doc_id"), _name("source").alias("source"), "text").where(F.col("source").isNotNull())
+    # keys travel as strings: pandas would turn whole numbers beside nulls into floats
+    return rows.mapInPandas(run, "doc_id string, source string, tokens long").withColumn("doc_id", F.col("doc_id").cast(kind))
 
 
 def _name(c: str):

@@ -204,7 +204,9 @@ def found_values(docs: DataFrame) -> DataFrame:
             yield pd.DataFrame(list(got), columns=["doc_id", "kind", "value"])
 
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.where(F.length("text") > 0).select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, kind string, value string").distinct()
+    # keys travel as strings: pandas would turn whole numbers beside nulls into floats
+    rows = docs.where(F.length("text") > 0).select(F.col("doc_id").cast("string").alias("doc_id"), "text")
+    return rows.mapInPandas(run, "doc_id string, kind string, value string").withColumn("doc_id", F.col("doc_id").cast(kind)).distinct()
 
 
 def redacted(docs: DataFrame) -> DataFrame:
@@ -216,4 +218,5 @@ def redacted(docs: DataFrame) -> DataFrame:
             yield pd.DataFrame({"doc_id": b["doc_id"], "text": [redact(t, s) if s else t for t, s in zip(b["text"], spans)], "n_found": [len(s) for s in spans]})
 
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, text string, n_found int")
+    out = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text").mapInPandas(run, "doc_id string, text string, n_found int")
+    return out.withColumn("doc_id", F.col("doc_id").cast(kind))

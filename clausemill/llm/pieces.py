@@ -122,6 +122,7 @@ def split_oversized(rows: DataFrame, key: str = "row_nr", limit: int = LIMIT, le
             ]
             yield pd.DataFrame(got, columns=[key, "piece_nr", "begin_at", "end_at", "cut", "piece"])
 
-    long = rows.where(F.length("text") > limit).select(key, "text")
-    kind = dict(long.dtypes)[key]
-    return long.mapInPandas(run, f"{key} {kind}, piece_nr int, begin_at int, end_at int, cut string, piece string")
+    # keys travel as strings: pandas would turn whole numbers beside nulls into floats
+    long = rows.where(F.length("text") > limit).select(F.col(key).cast("string").alias(key), "text")
+    out = long.mapInPandas(run, f"{key} string, piece_nr int, begin_at int, end_at int, cut string, piece string")
+    return out.withColumn(key, F.col(key).cast(dict(rows.dtypes)[key]))

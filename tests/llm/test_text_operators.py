@@ -166,3 +166,12 @@ def test_redaction_keeps_the_rest(spark):
     out = {r.doc_id: r for r in personal.redacted(docs.selectExpr("*", "'k' AS kind", "'v' AS value")).collect()}
     assert out[1].text == "Dear all, write to [EMAIL]. Bye" and out[1].n_found == 1
     assert out[2].text is None and out[3].text == "" and len(out[None].text) == 300_000
+
+
+def test_null_keys_leave_large_keys_exact(spark):
+    big = 2**60 + 1
+    text = "Write to a.b@c.example " + "one two three four five six seven eight nine ten eleven twelve thirteen " * 3
+    docs = spark.createDataFrame([(big, text), (None, text)], "doc_id long, text string")
+    items = spark.createDataFrame([(big, text), (None, "x")], "item_id long, text string")
+    assert {r.doc_id for r in personal.found_values(docs).collect()} == {big, None}
+    assert {(r.doc_id, r.item_id) for r in leakage.verbatim_leaks(docs, items).collect()} == {(big, big), (None, big)}
