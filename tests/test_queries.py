@@ -37,7 +37,7 @@ def test_query_equals_its_sql(spark, small, duck, name):
 def test_contract(spark, small):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert {n for n in entry.queries() if n not in entry.oracle_sql() and n in QUERIES} == {"merge_short_segments", "seq_virtual_pages"}
+    assert {n for n in entry.queries() if n not in entry.oracle_sql() and n in QUERIES} == {"merge_short_segments", "seq_virtual_pages", "incremental_embeddings"}
 
 
 def test_the_rest_imports_without_the_subpackage():
