@@ -47,6 +47,31 @@ def reference_rows(docs: DataFrame, key: str) -> DataFrame:
     return docs.select(key, F.explode(references(F.col("text"))).alias("r")).select(key, "r.source", "r.ref").distinct()
 
 
+def section_references(docs: DataFrame, key: str) -> DataFrame:
+    """(key, normative, informative, all): references of a text's reference sections; what is normative isn't informative.
+
+    Without such sections, or with none cited there, `all` holds what the whole text cites and the others are empty.
+    """
+    refs = lambda c: F.transform(references(c), lambda r: r["ref"])
+    n, i = refs(F.regexp_extract("text", NORMATIVE, 1)), refs(F.regexp_extract("text", INFORMATIVE, 1))
+    parts = docs.where("text IS NOT NULL").select(key, "text", n.alias("normative"), i.alias("__i")).select(key, "text", "normative", F.array_except("__i", "normative").alias("informative"))
+    both = F.array_union("normative", "informative")
+    return parts.select(key, "normative", "informative", F.when(F.size(both) > 0, both).otherwise(refs(F.col("text"))).alias("all"))
+
+
+def visible(nodes: DataFrame, edges: DataFrame, kinds: tuple[str, ...] = ("normative",), stubs: bool = True, roots: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """The part of a graph that a view shows: edges of some kinds, with or without stubs, or only those at given roots;
+    nodes without a shown edge are left out."""
+    e = edges.where(F.col("type").isin(*kinds))
+    if not stubs:
+        known = nodes.where("known").select("id")
+        e = e.join(known.withColumnRenamed("id", "to_id"), "to_id", "left_semi").join(known.withColumnRenamed("id", "from_id"), "from_id", "left_semi")
+    if roots is not None:
+        e = e.join(roots.select(F.col("id").alias("from_id")), "from_id", "left_semi")
+    ends = e.select(F.col("from_id").alias("id")).unionAll(e.select("to_id")).distinct()
+    return nodes.join(ends, "id", "left_semi"), e.select(*edges.columns)
+
+
 def clean_edges(edges: DataFrame) -> DataFrame:
     """(edge_id, from_id, to_id, type, source) with ends trimmed and lower-cased; edges without an end or to itself go."""
     end = lambda c: F.lower(F.trim(F.col(c))).alias(c)

@@ -95,3 +95,10 @@ def virtual_pages(paragraphs: DataFrame, most: int = 3000) -> DataFrame:
 
     folded = paragraphs.groupBy("doc").agg(F.aggregate(lengths, zero, step, lambda a: a["out"]).alias("p"))
     return folded.select("doc", F.inline("p"))
+
+
+def milestone_state(milestones: DataFrame, upcoming: int = 3) -> DataFrame:
+    """(doc, last_done, pending): the last achieved milestone and the next ones; (doc, pos, name, achieved)."""
+    done = F.max_by("name", F.when(F.col("achieved").isNotNull(), F.col("pos")))
+    open_ = F.sort_array(F.collect_list(F.when(F.col("achieved").isNull(), F.struct("pos", "name"))))
+    return milestones.groupBy("doc").agg(done.alias("last_done"), F.transform(F.slice(open_, 1, upcoming), lambda x: x["name"]).alias("pending"))

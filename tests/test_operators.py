@@ -189,3 +189,25 @@ def test_length_quantiles_by_index(spark):
     row = profiles.length_quantiles(spark.createDataFrame([("T", "x" * k) for k in n], "type string, text string")).first()
     s = sorted(n)
     assert (row.median, row.p10, row.p90, row.short) == (s[5], s[len(s) // 10], s[len(s) * 9 // 10], 9)
+
+
+def test_reference_sections(spark):
+    text = "1 Scope\nSee RFC 9.\nNormative references\nEN 319 401, RFC 3161\nInformative references\nRFC 3161, RFC 5280\n3 Terms"
+    out = {r.k: r for r in graph.section_references(spark.createDataFrame([(1, text), (2, "Only RFC 9999 here"), (3, None), (4, "")], "k int, text string"), "k").collect()}
+    assert sorted(out[1].normative) == ["EN 319 401", "RFC 3161"] and out[1].informative == ["RFC 5280"] and len(out[1].all) == 3
+    assert out[2].normative == [] and out[2].all == ["RFC 9999"] and 3 not in out and out[4].all == []
+
+
+def test_graph_views(spark):
+    n = spark.createDataFrame([("a", True), ("b", True), ("x", False), ("lone", True)], "id string, known boolean")
+    e = spark.createDataFrame([("a", "b", "normative"), ("a", "x", "normative"), ("b", "a", "informative")], "from_id string, to_id string, type string")
+    nodes, edges = graph.visible(n, e)
+    assert {r.id for r in nodes.collect()} == {"a", "b", "x"} and edges.count() == 2
+    nodes, edges = graph.visible(n, e, ("normative", "informative"), stubs=False, roots=n.where("id = 'b'"))
+    assert {r.id for r in nodes.collect()} == {"a", "b"} and edges.count() == 1
+
+
+def test_milestones(spark):
+    rows = [("d", 1, "start", "2024-01-01"), ("d", 2, "draft", "2024-02-01"), ("d", 3, "vote", None), ("d", 4, "publish", None), ("e", 1, "start", None)]
+    out = {r.doc: (r.last_done, r.pending) for r in sequences.milestone_state(spark.createDataFrame(rows, "doc string, pos int, name string, achieved string")).collect()}
+    assert out == {"d": ("draft", ["vote", "publish"]), "e": (None, ["start"])}
