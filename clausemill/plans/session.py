@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Broadcasts are only asked for below this many rows of a side whose rows have a bounded width.
 BROADCAST_ROWS = 200_000
+_written: list[str] = []
 
 
 def build_session(name: str = "clausemill", cores: str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -43,8 +44,18 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write df as a table in the shared folder and read it back: cuts lineage, survives lost executors, computes once."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _written.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> int:
+    """Delete the tables this process has materialised, once no result that reads them is needed any more."""
+    gone, jvm = 0, spark.sparkContext._jvm
+    while _written:
+        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+        gone += path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return gone
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
