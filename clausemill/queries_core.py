@@ -108,7 +108,7 @@ def text_templates(spark, d):
     return profiles.template_frequencies(_segments(spark, d, "type", "text"))
 
 
-@query("SELECT doc_id, md5(text) AS md5, sha1(text)[1:12] AS sha, length(text) AS n, CASE WHEN length(text) > 80 THEN text[1:77] || '...' ELSE text END AS short FROM documents WHERE text IS NOT NULL")
+@query("SELECT doc_id, md5(text) AS md5, sha1(text)[1:12] AS sha, CAST(length(text) AS INTEGER) AS n, CASE WHEN length(text) > 80 THEN text[1:77] || '...' ELSE text END AS short FROM documents WHERE text IS NOT NULL")
 def text_hashes(spark, d):
     t = F.col("text")
     return table(spark, d, "documents").where("text IS NOT NULL").select("doc_id", F.md5(t).alias("md5"), F.left(F.sha1(t), F.lit(12)).alias("sha"), F.length(t).alias("n"), T.shortened(t, 80).alias("short"))
@@ -123,7 +123,7 @@ def text_title_jaccard(spark, d):
     return a.join(c, "norm").select("alias_id", F.round(T.word_jaccard(F.col("mine"), F.col("shortname")), 6).alias("similarity"))
 
 
-@query(r"""SELECT row_nr, pos, regexp_extract(line, '^([A-Z]?\.?(?:\d+\.)*\d+\.?)\s{1,6}([^\n]{2,80}?)[.\s]{3,}(\d{1,4})\s*$', 1) AS num, regexp_replace(regexp_extract(line, '^([A-Z]?\.?(?:\d+\.)*\d+\.?)\s{1,6}([^\n]{2,80}?)[.\s]{3,}(\d{1,4})\s*$', 2), '^\s+|\s+$', '', 'g') AS title,
+@query(r"""SELECT row_nr, CAST(pos AS INTEGER) AS pos, regexp_extract(line, '^([A-Z]?\.?(?:\d+\.)*\d+\.?)\s{1,6}([^\n]{2,80}?)[.\s]{3,}(\d{1,4})\s*$', 1) AS num, regexp_replace(regexp_extract(line, '^([A-Z]?\.?(?:\d+\.)*\d+\.?)\s{1,6}([^\n]{2,80}?)[.\s]{3,}(\d{1,4})\s*$', 2), '^\s+|\s+$', '', 'g') AS title,
   CAST(regexp_extract(line, '^([A-Z]?\.?(?:\d+\.)*\d+\.?)\s{1,6}([^\n]{2,80}?)[.\s]{3,}(\d{1,4})\s*$', 3) AS INT) AS to_page
 FROM (SELECT row_nr, regexp_replace(unnest(string_split(text, chr(10))), '^\s+|\s+$', '', 'g') AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM segments WHERE type = 'TOC' AND text IS NOT NULL)
 WHERE regexp_matches(line, '^([A-Z]?\.?(?:\d+\.)*\d+\.?)\s{1,6}([^\n]{2,80}?)[.\s]{3,}(\d{1,4})\s*$')""")
@@ -169,7 +169,7 @@ def seq_carried_section(spark, d):
     return rows.select("row_nr", sequences.carried(F.col("section"), "source_file", ["page", "row_nr"]).alias("carried"))
 
 
-@query("""SELECT row_nr, row_number() OVER (PARTITION BY source_file, page ORDER BY row_nr) AS ordinal FROM segments WHERE source_file IS NOT NULL AND page IS NOT NULL""")
+@query("""SELECT row_nr, CAST(row_number() OVER (PARTITION BY source_file, page ORDER BY row_nr) AS INTEGER) AS ordinal FROM segments WHERE source_file IS NOT NULL AND page IS NOT NULL""")
 def seq_ordinals(spark, d):
     from pyspark.sql import Window
 
@@ -279,7 +279,7 @@ def search_hybrid(spark, d):
     return out.select("id", F.round("bm25", 6).alias("bm25"), F.round("cosine", 6).alias("cosine"), "score")
 
 
-@query("""SELECT norm, version, count(*) AS segments, count(*) FILTER (type = 'NORM') AS norm_count, count(*) FILTER (type = 'INFORM') AS inform_count, count(*) FILTER (type = 'SECTION') AS section_count, sum(has_embedding) AS embedded,
+@query("""SELECT norm, version, count(*) AS segments, count(*) FILTER (type = 'NORM') AS norm_count, count(*) FILTER (type = 'INFORM') AS inform_count, count(*) FILTER (type = 'SECTION') AS section_count, CAST(sum(has_embedding) AS BIGINT) AS embedded,
   arg_min(text, (id, row_nr)) FILTER (type = 'SECTION' AND section = '1') AS title FROM segments GROUP BY ALL""")
 def lookup_catalogue(spark, d):
     return retrieval.catalogue(_segments(spark, d, "row_nr", "id", "norm", "version", "type", "section", "text", "has_embedding"))
@@ -391,13 +391,13 @@ def profile_repeated_ingests(spark, d):
     return profiles.repeated_ingests(table(spark, d, "spec_docs"))
 
 
-@query("""SELECT type, count(*) AS n, median(length(text)) AS median, list_sort(list(length(text)))[count(*) // 10 + 1] AS p10, list_sort(list(length(text)))[count(*) * 9 // 10 + 1] AS p90, count(*) FILTER (length(text) < 100) AS short
+@query("""SELECT type, count(*) AS n, median(length(text)) AS median, CAST(list_sort(list(length(text)))[count(*) // 10 + 1] AS INTEGER) AS p10, CAST(list_sort(list(length(text)))[count(*) * 9 // 10 + 1] AS INTEGER) AS p90, count(*) FILTER (length(text) < 100) AS short
 FROM segments WHERE text IS NOT NULL AND type IS NOT NULL GROUP BY 1""")
 def profile_lengths(spark, d):
     return profiles.length_quantiles(_segments(spark, d, "type", "text"))
 
 
-@query("SELECT norm, count(*) AS total, sum(has_embedding) AS embedded, count(*) - sum(has_embedding) AS gap FROM segments WHERE type IN ('NORM', 'INFORM') AND norm IS NOT NULL GROUP BY 1 HAVING count(*) > sum(has_embedding) ORDER BY gap DESC, norm LIMIT 5")
+@query("SELECT norm, count(*) AS total, CAST(sum(has_embedding) AS BIGINT) AS embedded, CAST(count(*) - sum(has_embedding) AS BIGINT) AS gap FROM segments WHERE type IN ('NORM', 'INFORM') AND norm IS NOT NULL GROUP BY 1 HAVING count(*) > sum(has_embedding) ORDER BY gap DESC, norm LIMIT 5")
 def profile_embedding_gaps(spark, d):
     return profiles.embedding_gaps(_segments(spark, d, "type", "norm", "has_embedding"))
 
@@ -566,7 +566,7 @@ def graph_relevant_citations(spark, d):
     return cited.select("doc_id", "ref", base(F.col("ref"))).join(table(spark, d, "norm_catalog").select(base(F.col("norm"))).distinct(), "base", "left_semi").select("doc_id", "ref")
 
 
-@query("SELECT row_nr, length(text) AS n FROM segments WHERE type IN ('NORM', 'INFORM') AND coalesce(has_embedding, 0) = 0 AND trim(coalesce(text, '')) <> ''")
+@query("SELECT row_nr, CAST(length(text) AS INTEGER) AS n FROM segments WHERE type IN ('NORM', 'INFORM') AND coalesce(has_embedding, 0) = 0 AND trim(coalesce(text, '')) <> ''")
 def incremental_unembedded(spark, d):
     return embedding.missing(_segments(spark, d, "row_nr", "type", "text", "has_embedding")).select("row_nr", F.length("text").alias("n"))
 
