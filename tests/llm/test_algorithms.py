@@ -5,6 +5,7 @@ import re
 from datetime import datetime
 
 import numpy as np
+import pyarrow as pa
 
 import pytest
 from hypothesis import given, settings
@@ -150,6 +151,46 @@ def test_near_pairs_recall_and_precision(spark):
     assert nearcopies.near_pairs(df.limit(0)).count() == 0
 
 
+def hot_rows(n=240):
+    """A third of the rows are copies of one text, each with edits of its own; the last is delivered again and again."""
+    rng = random.Random(4)
+    vocab = [f"word{i}" for i in range(2000)]
+    base = rng.choices(vocab, k=90)
+    texts = [rng.choices(vocab, k=60) for _ in range(2 * n // 3)]
+    for i in range(n // 3):
+        w = list(base)
+        for at in rng.sample(range(90), 8):
+            w[at] = f"own{i}x{at}"
+        texts.append(w)
+    texts += texts[-1:] * 40
+    return [(i, f"id{i}", " ".join(w)) for i, w in enumerate(texts)]
+
+
+def test_near_pairs_of_a_hot_group_are_whole_however_rows_are_cut(spark):
+    rows = hot_rows()
+    want = near_truth(rows)
+    df = spark.createDataFrame(rows, "row_nr long, id string, text string")
+    assert len(want) > 2000
+    for parts in (1, 5):
+        assert {tuple(r) for r in nearcopies.near_pairs(df.repartition(parts, "row_nr")).collect()} == want
+
+
+@pytest.mark.parametrize("least", [0.3, 0.5, 0.8])
+def test_meetings_lose_no_near_pair(least):
+    rng = np.random.default_rng(2)
+    texts = [" ".join(f"w{k}" for k in rng.integers(0, 6, rng.integers(30, 400))) for _ in range(150)] + ["a " * 60, "a " * 60 + "b"]
+    x = nearcopies.Batch(texts, nearcopies._Hashes())
+    sets = np.split(x.shingles, np.cumsum(x.count)[:-1])
+    words, size = x.bitmaps()
+    need = x.count - nearcopies._common(x.count, least) + 1
+    some = [np.sort(s)[:k].astype(np.uint32).view(np.int32) for s, k in zip(sets, need)]
+    cols = [np.zeros(len(sets), np.int32), np.arange(len(sets)), x.count.astype(np.int32), np.split(words.view(np.int64), np.cumsum(size)[:-1]), some]
+    half = pa.RecordBatch.from_arrays([pa.array(cols[0]), pa.array(cols[1]), pa.array(cols[2]), pa.array(cols[3], pa.list_(pa.int64())), pa.array(cols[4], pa.list_(pa.int32()))], ["g", "c", "n", "bits", "keys"])
+    got = {tuple(sorted(p)) for a, b in nearcopies._meetings([half, half.slice(7)], least) for p in zip(a.tolist(), b.tolist())}
+    near = {(a, b) for a in range(len(sets)) for b in range(a + 1, len(sets)) if len(np.intersect1d(sets[a], sets[b])) >= least * max(x.count[a], x.count[b])}
+    assert near <= got and near
+
+
 def test_quotas_are_split_exactly():
     q = np.array([5, 0, 1000, 33, 1])
     out = mixture.split_quotas(q, 13, np.random.default_rng(1))
