@@ -8,7 +8,9 @@ joined, and a break ends a paragraph.
 
 Words are counted over all texts. A word is misread if undoing usual confusions of characters gives one that is RATIO
 times as common; a line-end hyphen is taken out if the halves join to a known or so mended word, and kept in compounds.
-What all tasks get is bounded: LEXICON words, the model's table, and the fixed reference list's titles.
+Every distinct word and every word that halves may make is joined with the counts of all words, so that no word is too
+rare to count. Tasks get the mends and the halves that join, the model's table, and the fixed reference list's titles. A
+table of CELLS counts keeps readings that no word can have out of that join; it only makes the join smaller.
 
 Defined results: null texts come out null and undamaged; a row without page takes it from its id, or has no page
 number to find; a null type isn't scanned; unknown standards still show by their form; repeated rows are treated alike;
@@ -18,6 +20,7 @@ empty tables give empty results; further columns are ignored; texts of any lengt
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -28,7 +31,7 @@ from pyspark.sql import functions as F
 
 from clausemill.plans.session import materialize
 
-LEXICON, RATIO, MOST_MENDS = 200_000, 20, 4
+RATIO, MOST_MENDS, CELLS = 20, 4, 1 << 22
 #: What is read for what.
 CONFUSIONS = (("c", "e"), ("cl", "d"), ("ii", "u"), ("b", "h"), ("f", "t"), ("q", "g"), ("rn", "m"), ("vv", "w"), ("5", "s"), ("1", "l"), ("1", "i"), ("!", "i"), ("|", "l"), ("0", "o"), ("ﬂ", "fl"), ("ﬁ", "fi"), ("ſ", "s"), ("li", "h"), ("8", "b"), ("6", "b"), ("9", "g"), ("$", "s"))
 HYPHENS = "-­‐‑¬"
@@ -144,48 +147,46 @@ class Lines:
         return out[::-1]
 
 
-class Mender:
-    """Finds the common word that a rare one is a misreading of."""
-
-    def __init__(self, counts: dict[str, int]):
-        self.counts, self.known = counts, {}
-
-    def mend(self, word: str) -> str | None:
-        """The word meant, or None if word needs no mending or can't be mended."""
-        if word not in self.known:
-            if len(self.known) > 300_000:
-                self.known.clear()
-            self.known[word] = self._mend(word)
-        return self.known[word]
-
-    def _mend(self, word: str) -> str | None:
-        if len(word) < 2 or len(word) > 40 or sum(c.isalpha() for c in word) < 2:
-            return None
-        own, best, most = max(1, self.counts.get(word, 0)) * RATIO, None, 0
-        layer, seen = {word}, {word}
-        for _ in range(MOST_MENDS):
-            found = set()
-            for w in layer:
-                for wrong, right in CONFUSIONS:
-                    at = w.find(wrong)
-                    while at >= 0:
-                        v = w[:at] + right + w[at + len(wrong) :]
-                        if v not in seen:
-                            found.add(v)
-                        at = w.find(wrong, at + 1)
-            seen |= found
-            for v in sorted(found):
-                if (k := self.counts.get(v, 0)) >= own and k > most:
-                    best, most = v, k
-            if best or len(seen) > 3000:
-                return best
-            layer = found
-        return best
-
-    def joins(self, left: str, right: str) -> bool:
-        """The halves of a broken word, rather than of a compound."""
-        word = (left + right).lower()
-        return self.counts.get(word, 0) >= 3 or self.mend(word) is not None
+def readings(word: str) -> Iterator[tuple[int, str]]:
+    """(confusions undone, what word may be a misreading of)."""
+    if len(word) < 2 or len(word) > 40 or sum(c.isalpha() for c in word) < 2:
+        return
+    layer, seen = {word}, {word}
+    for n in range(1, MOST_MENDS + 1):
+        found = set()
+        for w in layer:
+            for wrong, right in CONFUSIONS:
+                at = w.find(wrong)
+                while at >= 0:
+                    v = w[:at] + right + w[at + len(wrong) :]
+                    if v not in seen:
+                        found.add(v)
+                    at = w.find(wrong, at + 1)
+        seen |= found
+        for v in found:
+            yield n, v
+        if len(seen) > 3000:
+            return
+        layer = found
+
+
+def halves(lines: list[str], classes: list[int]) -> set[str]:
+    """All words that broken ones may make of their halves, whichever header lines between them go."""
+    out: set[str] = set()
+    before: list[set[str]] = [set() for _ in lines]  # what may be joined to the beginning of each line
+    for i, line in enumerate(lines):
+        if not (m := _BROKEN.search(line)):
+            continue
+        left = {m[1]}
+        if not line[: m.start(1)].strip():
+            left |= {b + m[1] for b in before[i]}
+        for j in range(i + 1, len(lines)):
+            if n := _NEXT.match(lines[j]):
+                out |= {(b + n[1]).lower() for b in left}
+                before[j] |= left
+            if classes[j] not in (PAGE, OTHER_PAGE, STANDARD, TITLE):
+                break
+    return out
 
 
 def _page_of(page: float | None, key: str | None) -> int | None:
@@ -198,8 +199,8 @@ def _page_of(page: float | None, key: str | None) -> int | None:
 class Scan:
     """All that a task needs to read scanned text."""
 
-    def __init__(self, titles: frozenset[str], model: Lines, counts: dict[str, int]):
-        self.layout, self.model, self.mender = Layout(titles), model, Mender(counts)
+    def __init__(self, titles: frozenset[str], model: Lines, mends: dict[str, str], joined: frozenset[str]):
+        self.layout, self.model, self.mends, self.joined = Layout(titles), model, mends, joined
 
     def read(self, text: str, page: int | None, whole: bool = True) -> tuple[set[str], str | None]:
         """(kinds of damage, mended text if whole)."""
@@ -223,27 +224,22 @@ class Scan:
         while i + 1 < len(kept):
             line = kept[i][0]
             m, n = _BROKEN.search(line), _NEXT.match(kept[i + 1][0])
-            if m and n and self.mender.joins(m[1], n[1]):
+            if m and n and (m[1] + n[1]).lower() in self.joined:
                 damage.add("hyphen")
                 kept[i : i + 2] = [[line[: m.end(1)] + kept[i + 1][0].lstrip(), kept[i + 1][1]]]
             elif m and n and n[1][0].islower():  # a compound, broken at its own hyphen
                 kept[i : i + 2] = [[line.rstrip() + kept[i + 1][0].lstrip(), kept[i + 1][1]]]
             else:
                 i += 1
-        counts, mend = self.mender.counts, self.mender.mend
+        mends = self.mends
         for k in kept:
-            wrong = {w for w in set(_WORD.findall(k[0])) if self._common(w.lower(), counts) is False and mend(w.lower())}
+            wrong = {w for w in set(_WORD.findall(k[0])) if w.lower() in mends}
             if wrong:
                 damage.add("char")
                 if whole:
-                    k[0] = _WORD.sub(lambda m, wrong=wrong: _cased(mend(m[0].lower()), m[0]) if m[0] in wrong else m[0], k[0])
+                    k[0] = _WORD.sub(lambda m, wrong=wrong: _cased(mends[m[0].lower()], m[0]) if m[0] in wrong else m[0], k[0])
         return damage, _paragraphs(kept) if whole else None
 
-    @staticmethod
-    def _common(word: str, counts: dict[str, int]) -> bool:
-        """Too common to be a misreading of anything, whatever else the lexicon holds."""
-        return counts.get(word, 0) * RATIO > counts.get("", 0)
-
 
 def _suspect(e: int) -> int:
     return 0 if e in (PAGE, OTHER_PAGE, STANDARD, TITLE) else 1
@@ -268,8 +264,8 @@ def _paragraphs(kept: list[list]) -> str:
     return "\n".join(out)
 
 
-def _statistics(rows: DataFrame, titles: frozenset[str]) -> tuple[Lines, dict[str, int]]:
-    """The fitted model, and the lexicon with its largest count under ''."""
+def _statistics(rows: DataFrame, titles: frozenset[str]) -> tuple[Lines, dict[str, str], frozenset[str]]:
+    """The fitted model, the misread words with those meant, and the words that halves may be joined to."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         layout, words, other = Layout(titles), Counter(), Counter()
@@ -287,30 +283,48 @@ def _statistics(rows: DataFrame, titles: frozenset[str]) -> tuple[Lines, dict[st
                     for e in layout.classes(lines, _page_of(page, key)):
                         other["h", str(e)] += 1
                     continue
-                words.update(_WORD.findall(text.lower()))
+                low = text.lower()
+                words.update(_WORD.findall(low))
+                if len(low) != len(text):  # a letter became several, which may cut words
+                    other.update(("j", w.lower()) for w in _WORD.findall(text))
                 if len(lines) > 1:
                     c = layout.classes(lines, _page_of(page, key))
                     for p in zip(c, c[1:]):
                         other["p", f"{p[0]},{p[1]}"] += 1
-            if len(words) > 500_000:
+                    other.update(("j", w) for w in halves(lines, c))
+            if len(words) + len(other) > 500_000:
                 yield flush()
         yield flush()
 
     counts = materialize(rows.mapInPandas(run, "kind string, key string, n long").groupBy("kind", "key").agg(F.sum("n").alias("n")), "scan-counts")
-    # the commonest words, without sorting them: from a histogram of their counts, whose steps are an eighth of a doubling
-    step = F.floor(8 * F.log2("n"))
-    sizes = counts.where("kind = 'w' AND n > 1").groupBy(step.alias("step")).agg(F.count("*").alias("k")).collect()
-    cut, total = 0, 0
-    for r in sorted(sizes, key=lambda r: -r["step"]):
-        total += r["k"]
-        if total > LEXICON:
-            cut = r["step"] + 1
-            break
-    kept = counts.where((F.col("kind") != "w") | ((F.col("n") > 1) & (step >= cut))).collect()
-    lexicon = {r["key"]: r["n"] for r in kept if r["kind"] == "w"}
-    lexicon[""] = max(lexicon.values(), default=0)
+    known = counts.where(f"kind = 'w' AND n >= {RATIO}").select(F.col("key").alias("meant"), F.col("n").alias("k"))
+    cells = known.groupBy((F.crc32(F.col("meant").cast("binary")) % CELLS).alias("cell")).agg(F.max("k").alias("k")).toPandas()
+    most = np.zeros(CELLS, np.uint8)  # a count's bits
+    most[cells["cell"].to_numpy(np.int64)] = [int(k).bit_length() for k in cells["k"]]
+    shared = rows.sparkSession.sparkContext.broadcast(most)
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        most = shared.value
+        for b in batches:
+            got = []
+            for word, n in zip(b["word"], b["n"]):
+                own = max(1, n) * RATIO
+                bits = own.bit_length()
+                got += [(word, own, layer, v) for layer, v in readings(word) if most[zlib.crc32(v.encode()) % CELLS] >= bits]
+            yield pd.DataFrame(got, columns=["word", "own", "layer", "meant"])
+
+    is_word = F.col("kind") == "w"
+    asked = counts.where("kind IN ('w', 'j')").groupBy(F.col("key").alias("word")).agg(F.coalesce(F.max(F.when(is_word, F.col("n"))), F.lit(0)).alias("n"), F.max(~is_word).alias("half"))
+    may = asked.select("word", "n").mapInPandas(read, "word string, own long, layer int, meant string")
+    # fewest confusions first, then the commonest word
+    best = may.join(known, "meant").where("k >= own").groupBy("word").agg(F.min(F.struct("layer", (-F.col("k")).alias("k"), "meant")).alias("best"))
+    best = materialize(best.select("word", "best.meant"), "scan-mends")
+    mends = {r["word"]: r["meant"] for r in best.collect()}
+    halved = asked.where("half").join(best, "word", "left").where("n >= 3 OR meant IS NOT NULL").select("word")
+    joined = {r["word"] for r in halved.collect()}
+    kept = counts.where("kind IN ('p', 'h')").collect()
     pairs = {tuple(map(int, r["key"].split(","))): r["n"] for r in kept if r["kind"] == "p"}
-    return Lines.fit(pairs, {int(r["key"]): r["n"] for r in kept if r["kind"] == "h"}), lexicon
+    return Lines.fit(pairs, {int(r["key"]): r["n"] for r in kept if r["kind"] == "h"}), mends, frozenset(joined)
 
 
 def _prepared(segments: DataFrame, catalog: DataFrame):
@@ -318,8 +332,8 @@ def _prepared(segments: DataFrame, catalog: DataFrame):
     # keys travel as strings: pandas would turn whole numbers beside nulls into floats
     titles = frozenset(squeezed(re.sub(r"^[^;]*\([A-Z]+\);\s*", "", r["title"])) for r in catalog.select("title").where("title IS NOT NULL").distinct().collect()) - {""}
     rows = segments.where(F.col("type").isin("NORM", "INFORM", "HEADER", "FOOTER") & (F.length("text") > 0)).select(F.col("row_nr").cast("string").alias("row_nr"), "id", "type", "page", "text")
-    model, lexicon = _statistics(rows, titles)
-    return rows.where(F.col("type").isin("NORM", "INFORM")), segments.sparkSession.sparkContext.broadcast((titles, model, lexicon))
+    model, mends, joined = _statistics(rows, titles)
+    return rows.where(F.col("type").isin("NORM", "INFORM")), segments.sparkSession.sparkContext.broadcast((titles, model, mends, joined))
 
 
 def scan_damage(segments: DataFrame, catalog: DataFrame) -> DataFrame:

@@ -1,5 +1,6 @@
 """Problems 1, 2, 8 and 10."""
 
+import itertools
 import random
 from collections import defaultdict
 
@@ -82,6 +83,21 @@ def test_scan_damage_kinds_and_mended_text(spark):
     assert text[6].startswith("the long-term quorum")
 
 
+def test_words_count_however_many_are_commoner(spark):
+    filler = ["".join(w) for w in itertools.product("xzkwymp", repeat=6)] + ["".join(w) for w in itertools.product("xzkwymp", repeat=7)][:100_000]
+    rows = [seg(30_000 + i, " ".join(filler[i * 2000 : (i + 1) * 2000] * 3)) for i in range(len(filler) // 2000 + 1)]
+    rows += [seg(i, "heptagon") for i in range(10, 13)] + [seg(1, "hepta-\ngon"), seg(2, "heptag0n"), seg(3, "gasket-\n- 1 -\nry")] + [seg(i, "gasketry") for i in range(13, 16)]
+    df, cat = scans(spark, rows)
+    assert len(filler) > 200_000
+    assert {(r.row_nr, r.damage) for r in scanned.scan_damage(df, cat).collect()} == {(1, "hyphen"), (3, "hyphen"), (3, "page_nr")}
+
+
+def test_halves_of_words_broken_twice_and_across_headers():
+    lines = ["the re-", "- 4 -", "ta-", "in it"]
+    classes = scanned.Layout(frozenset()).classes(lines, 4)
+    assert {"reta", "retain", "tain"} <= scanned.halves(lines, classes)
+
+
 def test_viterbi_is_the_best_path():
     import itertools
 
