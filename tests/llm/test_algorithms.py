@@ -191,6 +191,18 @@ def test_meetings_lose_no_near_pair(least):
     assert near <= got and near
 
 
+def test_links_do_not_depend_on_where_copies_of_a_class_lie(spark):
+    shared = [f"s{k}" for k in range(12)]
+    texts = [" ".join([f"{x}{k}" for k in range(30)] + shared) for x in "ab"] + [" ".join(shared + shared[:1] + [f"c{k}" for k in range(20)])]
+    rows = [(i, f"id{i}", texts[i % 3]) for i in range(24)] + near_rows(60)
+    rows = [(k, *r[1:]) for k, r in enumerate(rows)]
+    df = spark.createDataFrame(rows, "row_nr long, id string, text string")
+    for parts in (1, 6):
+        links = nearcopies.link_classes(df.repartition(parts, "row_nr"))[1].collect()
+        assert len(links) == len({tuple(sorted(r)) for r in links})
+        assert {tuple(r) for r in nearcopies.near_pairs(df.repartition(parts, "row_nr")).collect()} == near_truth(rows)
+
+
 def test_quotas_are_split_exactly():
     q = np.array([5, 0, 1000, 33, 1])
     out = mixture.split_quotas(q, 13, np.random.default_rng(1))
