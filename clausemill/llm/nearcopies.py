@@ -31,11 +31,11 @@ from pyspark.sql import functions as F
 from clausemill.plans.session import materialize
 
 SHINGLE, MIN_WORDS = 3, 30
-#: Texts for each group of keys that one task joins, the fewest groups, and pairs that are compared at once.
-GROUP_TEXTS, LEAST_GROUPS, PAIRS = 50_000, 8, 200_000
+#: Texts for each group of keys that one task joins, classes of a key that one task joins, and pairs that are compared at once.
+GROUP_TEXTS, HOT_CLASSES, PAIRS = 70_000, 20_000, 200_000
 _WORD = re.compile(r"[^\W_]+")
 _CACHE = 400_000
-_MUL = np.uint64(0x9E3779B97F4A7C15)
+_MUL, _MUL32 = np.uint64(0x9E3779B97F4A7C15), np.uint32(0x9E3779B1)
 
 
 class _Hashes(dict):
@@ -87,25 +87,12 @@ class Batch:
         raw = self.shingles.tobytes()
         return np.array([xxhash.xxh3_64_intdigest(raw[8 * (e - c) : 8 * e]) for e, c in zip(ends.tolist(), self.count.tolist())], np.uint64).view(np.int64)
 
-    def bitmaps(self) -> tuple[np.ndarray, np.ndarray]:
-        """(64-bit words, how many are each text's): bitmaps of 4 to 8 bits a shingle, each shingle flipping one bit."""
-        size = np.array([max(1, 1 << (int(n) * 4 - 1).bit_length() >> 6) for n in self.count], np.int64)
-        words = np.zeros(int(size.sum()), np.uint64)
-        at = (self.shingles * _MUL) >> np.uint64(32)
-        word = (at >> np.uint64(6)).astype(np.int64) & (size[self.sdoc] - 1)
-        np.bitwise_xor.at(words, (np.cumsum(size) - size)[self.sdoc] + word, np.uint64(1) << (at & np.uint64(63)))
-        return words, size
-
 
 def _lists(doc: np.ndarray, values: np.ndarray, n: int) -> pa.ListArray:
     offsets = np.concatenate(([0], np.cumsum(np.bincount(doc, minlength=n)))).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
 
 
-def _read(b: pa.RecordBatch, hashes: _Hashes, shingle: int, min_words: int) -> Batch:
-    return Batch(b.column("text").to_pylist(), hashes, shingle, min_words)
-
-
 def _fresh(c: np.ndarray, done: set[int]) -> np.ndarray:
     return np.array([v not in done and not done.add(v) for v in c.tolist()], bool)
 
@@ -115,33 +102,62 @@ def _common(n: np.ndarray, least: float) -> np.ndarray:
     return np.maximum(1, np.ceil(least * n - 1e-9)).astype(np.int64)
 
 
+def _bitmaps(doc: np.ndarray, keys: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(64-bit words, how many are each set's): bitmaps of 8 to 16 bits a shingle, each shingle flipping one bit."""
+    size = np.array([max(1, 1 << (int(n) * 8 - 1).bit_length() >> 6) for n in count], np.int64)
+    words = np.zeros(int(size.sum()), np.uint64)
+    at = (keys.astype(np.uint64) * _MUL) >> np.uint64(32)
+    word = (at >> np.uint64(6)).astype(np.int64) & (size[doc] - 1)
+    np.bitwise_xor.at(words, (np.cumsum(size) - size)[doc] + word, np.uint64(1) << (at & np.uint64(63)))
+    return words, size
+
+
+def _apart(x: np.ndarray) -> np.ndarray:
+    """Bits set in each row of x, whose width is a power of two; bytes are added up eight at a time."""
+    c = np.bitwise_count(x)
+    if c.shape[1] < 8:
+        return c.sum(1, dtype=np.int64)
+    c = c.view(np.uint64)
+    low = np.uint64(0x00FF00FF00FF00FF)
+    c = ((c & low) + ((c >> np.uint64(8)) & low)) * np.uint64(0x0001000100010001) >> np.uint64(48)
+    return (c[:, 0] if c.shape[1] == 1 else c.sum(1, dtype=np.uint64)).astype(np.int64)
+
+
+def _joined(batches: list[pa.RecordBatch], name: str) -> tuple[np.ndarray, np.ndarray]:
+    """(values, offsets) of a list column over several batches."""
+    lists = [b.column(name) for b in batches]
+    size = np.concatenate([np.diff(v.offsets.to_numpy()) for v in lists])
+    return np.concatenate([v.flatten().to_numpy(zero_copy_only=False) for v in lists]), np.concatenate(([0], np.cumsum(size, dtype=np.int64)))
+
+
 def _meetings(batches: list[pa.RecordBatch], least: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(smaller, larger) classes that share a key, and whose bitmaps don't rule out that they are near."""
-    if not sum(b.num_rows for b in batches):
+    """(smaller, larger) classes that share a key where both can still be near, and whose bitmaps don't rule that out."""
+    batches = [b for b in batches if b.num_rows]
+    if not batches:
         return
-    t = pa.Table.from_batches(batches).combine_chunks()
-    g, c, n = (t[k].to_numpy() for k in ("g", "c", "n"))
-    bits, keys = (t[k].combine_chunks() for k in ("bits", "keys"))
-    if isinstance(bits, pa.ChunkedArray):
-        bits, keys = bits.chunk(0), keys.chunk(0)
-    key = keys.flatten().to_numpy().view(np.uint32).astype(np.int64) | (np.repeat(g, np.diff(keys.offsets.to_numpy())).astype(np.int64) << 32)
-    words, begin = bits.flatten().to_numpy().view(np.uint64), bits.offsets.to_numpy().astype(np.int64)
-    size, begin = np.diff(begin), begin[:-1] - begin[0]
+    g, c, n = (np.concatenate([b.column(k).to_numpy() for b in batches]) for k in ("g", "c", "n"))
+    (keys, kept), (places, _), (words, begin) = (_joined(batches, k) for k in ("keys", "places", "bits"))
+    each = np.diff(kept)
+    key = keys.view(np.uint32).astype(np.int64) | (np.repeat(g, each).astype(np.int64) << 32)
+    words, size, begin = words.view(np.uint64), np.diff(begin), begin[:-1]
 
     # classes in order of their size, once each; what other tasks or groups sent again is the same
     o = np.lexsort((c, n))
     new = np.ones(o.size, bool)
     new[1:] = c[o][1:] != c[o][:-1]
-    place = np.empty(o.size, np.int64)
-    place[o] = np.cumsum(new) - 1
+    rank = np.empty(o.size, np.int64)
+    rank[o] = np.cumsum(new) - 1
     o = o[new]
-    rank = np.repeat(place, np.diff(keys.offsets.to_numpy()))
+    rank = np.repeat(rank, each)
     c, n, size, begin = c[o], n[o].astype(np.int64), size[o], begin[o]
     o = np.lexsort((rank, key))
-    key, rank = key[o], rank[o]
+    key, rank, places = key[o], rank[o], places[o].view(np.uint8)
     new = np.ones(key.size, bool)
     new[1:] = (key[1:] != key[:-1]) | (rank[1:] != rank[:-1])
-    key, rank = key[new], rank[new]
+    key, rank, places = key[new], rank[new], places[new]
+    # from its place on, a set has so few shingles left that a set larger than this can't be near if this key is the first in common
+    n_mine = n[rank]
+    limit = np.floor((n_mine - -(-places.astype(np.int64) * n_mine // 256)) / least + 1e-9).astype(np.int64)
 
     for w in np.unique(size):
         lo, hi = np.searchsorted(size, [w, w + 1])
@@ -152,20 +168,21 @@ def _meetings(batches: list[pa.RecordBatch], least: float) -> Iterator[tuple[np.
             for part in np.array_split(at, max(1, at.size * v // 4_000_000)):
                 maps[part - lo] = np.bitwise_xor.reduce(words[begin[part][:, None] + np.arange(v)].reshape(-1, v // w, w), 1)
         mine = (rank >= lo) & (rank < top)
-        k, r = key[mine], rank[mine]
+        k, r, most = key[mine], rank[mine], limit[mine]
+        m = n[r]
         found, held = [], 0
         i, d = np.flatnonzero(r < hi), 0
         while True:
             d += 1
-            i = i[i + d < r.size]
-            i = i[(k[i] == k[i + d]) & (n[r[i + d]] * least <= n[r[i]])]
+            i = i[: np.searchsorted(i, r.size - d)]
+            i = i[(k[i] == k[i + d]) & (m[i + d] <= most[i])]
             if not i.size:
                 break
             step = max(1, PAIRS * 8 // int(w))
             for j in range(0, i.size, step):
-                a, b = r[i[j : j + step]], r[i[j : j + step] + d]
-                apart = np.bitwise_count(maps[a - lo] ^ maps[b - lo]).sum(1, dtype=np.int64)
-                near = n[a] + n[b] - apart >= 2 * _common(n[b], least)
+                x, y = i[j : j + step], i[j : j + step] + d
+                a, b = r[x], r[y]
+                near = m[x] + m[y] - _apart(maps[a - lo] ^ maps[b - lo]) >= 2 * _common(m[y], least)
                 found.append(a[near] << 32 | b[near])
                 held += found[-1].size
             if held > 2_000_000:
@@ -178,84 +195,107 @@ def _meetings(batches: list[pa.RecordBatch], least: float) -> Iterator[tuple[np.
 
 
 def sketch_width(n_rows: int) -> int:
-    return 1 << min(22, max(10, (max(1, n_rows // 6) - 1).bit_length()))
+    return 1 << min(22, max(10, (max(1, n_rows) - 1).bit_length()))
 
 
-def link_classes(rows: DataFrame, shingle: int = SHINGLE, min_words: int = MIN_WORDS, least: float = 0.5) -> tuple[DataFrame, DataFrame]:
+def _summed(t: pa.Table) -> pa.Table:
+    """One block of the sketch: the sum of all tasks' counts."""
+    total = np.sum([np.asarray(v.values, np.int64) for v in t.column("cells")], 0)
+    return pa.table({"block": t.column("block")[:1], "counts": pa.array([np.minimum(total, 2**32 - 1).astype(np.uint32).tobytes()], pa.binary())})
+
+
+def _split(doc: np.ndarray, keys: np.ndarray, places: np.ndarray, c: np.ndarray, freq: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Postings of hot keys once for every pair of blocks that their class's block is in, so that no key is one task's alone.
+
+    Of a key that may have more than `most` classes, these fall into blocks by their id; any two classes meet under the
+    pair of their blocks."""
+    blocks = -(-freq.astype(np.int64) // most)
+    hot = np.flatnonzero(blocks > 1)
+    if not hot.size:
+        return doc, keys, places
+    at = np.repeat(hot, blocks[hot])
+    other = np.arange(at.size) - np.repeat(np.cumsum(blocks[hot]) - blocks[hot], blocks[hot])
+    own = (c[doc[at]].view(np.uint64) % blocks[at].astype(np.uint64)).astype(np.int64)
+    pair = np.minimum(own, other) << 32 | np.maximum(own, other)
+    mixed = _fold([keys[at].astype(np.uint64), pair.astype(np.uint64)]) >> np.uint64(32)
+    cold = blocks <= 1
+    return np.concatenate((doc[cold], doc[at])), np.concatenate((keys[cold], mixed.astype(np.uint32))), np.concatenate((places[cold], places[at]))
+
+
+def link_classes(rows: DataFrame, shingle: int = SHINGLE, min_words: int = MIN_WORDS, least: float = 0.5, hot: int = HOT_CLASSES) -> tuple[DataFrame, DataFrame]:
     """members (row_nr, id, c, n): each eligible row's class; links (a, b): pairs of classes, each once, with at least the
     share `least` of either's shingles in common."""
     texts = rows.where(F.length("text") > 0).select("row_nr", "id", "text")
     kinds = dict(texts.dtypes)
     n_texts = texts.count()
-    width, groups = sketch_width(n_texts), max(LEAST_GROUPS, n_texts // GROUP_TEXTS)
+    width, groups = sketch_width(n_texts), max(rows.sparkSession.sparkContext.defaultParallelism, n_texts // GROUP_TEXTS)
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, cells, done = _Hashes(), np.zeros(width, np.int64), set()
         for b in batches:
-            x = _read(b, hashes, shingle, min_words)
-            c = x.classes()
+            x = Batch(b.column("text").to_pylist(), hashes, shingle, min_words)
+            c, keys = x.classes(), x.shingles.astype(np.uint32)
             fresh = _fresh(c, done)
-            cells += np.bincount((x.shingles[fresh[x.sdoc]] % np.uint64(width)).astype(np.int64), minlength=width)
+            cells += np.bincount((keys[fresh[x.sdoc]] % np.uint32(width)).astype(np.int64), minlength=width)
             k = b.take(pa.array(x.rows))
+            sets = _lists(x.sdoc, keys.view(np.int32), x.rows.size).take(pa.array(np.where(fresh, np.arange(fresh.size), -1), mask=~fresh))
             none = pa.nulls(x.rows.size, pa.int32()), pa.nulls(x.rows.size, pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([k.column("row_nr"), k.column("id"), pa.array(c), pa.array(x.count.astype(np.int32)), *none], ["row_nr", "id", "c", "n", "block", "cells"])
+            yield pa.RecordBatch.from_arrays([k.column("row_nr"), k.column("id"), pa.array(c), pa.array(x.count.astype(np.int32)), sets, *none], ["row_nr", "id", "c", "n", "s", "block", "cells"])
         if cells.any():
-            blocks, m = width // 1024, width // 1024
-            counts = _lists(np.repeat(np.arange(blocks), 1024), np.minimum(cells, 2**31 - 1).astype(np.int32), m)
-            yield pa.RecordBatch.from_arrays(
-                [pa.nulls(m, b.schema.field("row_nr").type), pa.nulls(m, b.schema.field("id").type), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int32()), pa.array(np.arange(m, dtype=np.int32)), counts],
-                ["row_nr", "id", "c", "n", "block", "cells"],
-            )
-
-    seen = materialize(texts.mapInArrow(first, f"row_nr {kinds['row_nr']}, id {kinds['id']}, c long, n int, block int, cells array<int>"), "near-classes")
+            m = width // 1024
+            counts = _lists(np.repeat(np.arange(m), 1024), np.minimum(cells, 2**31 - 1).astype(np.int32), m)
+            none = [pa.nulls(m, t) for t in (b.schema.field("row_nr").type, b.schema.field("id").type, pa.int64(), pa.int32(), pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays([*none, pa.array(np.arange(m, dtype=np.int32)), counts], ["row_nr", "id", "c", "n", "s", "block", "cells"])
+
+    schema = f"row_nr {kinds['row_nr']}, id {kinds['id']}, c long, n int, s array<int>, block int, cells array<int>"
+    seen = materialize(texts.mapInArrow(first, schema), "near-classes")
     members = seen.where("c IS NOT NULL").select("row_nr", "id", "c", "n")
-    cells = seen.where("block IS NOT NULL").select("block", F.posexplode("cells").alias("pos", "k")).groupBy("block", "pos").agg(F.sum("k").alias("k")).where("k > 0").toPandas()
+    full = seen.where("s IS NOT NULL").select("c", "s")
+    cells = seen.where("block IS NOT NULL").select("block", "cells").groupBy("block").applyInArrow(_summed, "block int, counts binary").collect()
     table = np.zeros(width, np.uint32)
-    table[cells["block"].to_numpy(np.int64) * 1024 + cells["pos"].to_numpy(np.int64)] = np.minimum(cells["k"].to_numpy(np.int64), 2**32 - 1)
+    for r in cells:
+        table[r["block"] * 1024 : (r["block"] + 1) * 1024] = np.frombuffer(r["counts"], np.uint32)
     sketch = rows.sparkSession.sparkContext.broadcast(table)
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, freq, done = _Hashes(), sketch.value, set()
+        freq, done = sketch.value, set()
         for b in batches:
-            x = _read(b, hashes, shingle, min_words)
-            c = x.classes()
-            fresh = _fresh(c, done)[x.sdoc]
-            doc, keys = x.sdoc[fresh], x.shingles[fresh]
-            o = np.lexsort((keys, freq[(keys % np.uint64(width)).astype(np.int64)], doc))
-            doc, keys = doc[o], keys[o]
-            pos = np.arange(doc.size) - np.searchsorted(doc, doc)
-            keep = pos <= x.count[doc] - _common(x.count[doc], least)
-            doc, keys = doc[keep], keys[keep]
-            group = (keys % np.uint64(groups)).astype(np.int64)
-            o = np.lexsort((group, doc))
-            doc, keys, group = doc[o], keys[o], group[o]
+            b = b.filter(pa.array(_fresh(b.column("c").to_numpy(), done)))
+            if not b.num_rows:
+                continue
+            c, (keys, begin) = b.column("c").to_numpy(), _joined([b], "s")
+            keys, count = keys.view(np.uint32), np.diff(begin)
+            doc = np.repeat(np.arange(count.size), count)
+            words, size = _bitmaps(doc, keys, count)
+            # one sorted word holds the order: text, frequency, and where the key stands
+            often = np.minimum(freq[(keys % np.uint32(width)).astype(np.int64)], 2**32 - 1).astype(np.uint64)
+            o = np.lexsort((keys, often, doc))
+            place = np.arange(doc.size) - np.repeat(begin[:-1], count)
+            keep = place <= (count - _common(count, least))[doc]
+            o, doc, place = o[keep], doc[keep], place[keep]
+            keys, often = keys[o], often[o]
+            doc, keys, place = _split(doc, keys, (place * 256 // count[doc]).astype(np.uint8), c, often, hot)
+            group = ((keys * _MUL32) >> np.uint32(7)) % np.uint32(groups)
+            o = np.argsort(doc * groups + group, kind="stable")
+            doc, keys, group, place = doc[o], keys[o], group[o], place[o]
             new = np.ones(doc.size, bool)
             new[1:] = (doc[1:] != doc[:-1]) | (group[1:] != group[:-1])
             row = np.cumsum(new) - 1
             at = doc[new]
-            words, size = x.bitmaps()
             bits = _lists(np.repeat(np.arange(size.size), size), words.view(np.int64), size.size).take(pa.array(at))
-            some = _lists(row, (keys >> np.uint64(8)).astype(np.uint32).view(np.int32), at.size)
-            yield pa.RecordBatch.from_arrays([pa.array(group[new].astype(np.int32)), pa.array(c[at]), pa.array(x.count[at].astype(np.int32)), bits, some], ["g", "c", "n", "bits", "keys"])
+            lists = _lists(row, keys.view(np.int32), at.size), _lists(row, place.view(np.int8), at.size)
+            yield pa.RecordBatch.from_arrays([pa.array(group[new].astype(np.int32)), pa.array(c[at]), pa.array(count[at].astype(np.int32)), bits, *lists], ["g", "c", "n", "bits", "keys", "places"])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for a, b in _meetings(list(batches), least):
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
-    posts = texts.mapInArrow(index, "g int, c long, n int, bits array<long>, keys array<int>").repartitionById(groups, F.col("g"))
+    posts = full.mapInArrow(index, "g int, c long, n int, bits array<long>, keys array<int>, places array<tinyint>").repartitionById(groups, F.col("g"))
     # the first of a pair has the smaller set: that one will be moved to the other
     pairs = materialize(posts.mapInArrow(meet, "a long, b long").distinct(), "near-candidates")
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, done = _Hashes(), set()
-        for b in batches:
-            x = _read(b, hashes, shingle, min_words)
-            lists = _lists(x.sdoc, x.shingles.astype(np.uint32).view(np.int32), x.rows.size)
-            c = x.classes()
-            yield pa.RecordBatch.from_arrays([pa.array(c), lists], ["c", "s"]).filter(pa.array(_fresh(c, done)))
-
     wanted = pairs.select(F.col("a").alias("c")).union(pairs.select("b")).distinct()
-    full = texts.mapInArrow(sets, "c long, s array<int>").join(wanted, "c", "left_semi").dropDuplicates(["c"])
+    full = full.join(wanted, "c", "left_semi").dropDuplicates(["c"])
     moved = pairs.join(full.select(F.col("c").alias("a"), F.col("s").alias("t")), "a")
     both = moved.join(full.select(F.col("c").alias("b"), "s"), "b")
     links = both.where(F.size(F.array_intersect("s", "t")) >= least * F.greatest(F.size("s"), F.size("t"))).select("a", "b")

@@ -124,7 +124,22 @@ def _best(field: str) -> str:
     return f"coalesce((SELECT value FROM (SELECT id, {field} AS value, row_number() OVER (PARTITION BY id ORDER BY trust, segmented_at DESC NULLS LAST, {field}) AS r FROM u WHERE {field} IS NOT NULL) q WHERE q.id = g.id AND q.r = 1), '') AS {field}"
 
 
+_NEAR = r"""
+WITH w AS (SELECT row_nr, id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM segments WHERE type IN ('NORM', 'INFORM')),
+e AS (SELECT row_nr, id, list_sort(list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) AS s FROM w WHERE len(w) >= 30),
+c AS (SELECT s, min(row_nr) AS c, len(s) AS n FROM e GROUP BY s), m AS (SELECT row_nr, id, c.c FROM e JOIN c USING (s)),
+g AS (SELECT c, n, unnest(s) AS g FROM c),
+l AS (SELECT a.c AS a, b.c AS b FROM g a JOIN g b ON a.g = b.g AND a.c < b.c AND 2 * least(a.n, b.n) >= greatest(a.n, b.n) GROUP BY 1, 2 HAVING 2 * count(*) >= greatest(any_value(a.n), any_value(b.n)))
+"""
+
+
 SQL = {
+    "p7_found": _NEAR
+    + """, k AS (SELECT c AS a, c AS b FROM c UNION ALL SELECT a, b FROM l)
+SELECT DISTINCT least(x.row_nr, y.row_nr) AS row_a, greatest(x.row_nr, y.row_nr) AS row_b FROM k JOIN m x ON x.c = a JOIN m y ON y.c = b WHERE (a <> b OR x.row_nr < y.row_nr) AND x.id IS DISTINCT FROM y.id""",
+    "p7_classes": _NEAR
+    + """SELECT row_nr, m.c AS class_id, n_copies, coalesce(n_links, 0) AS n_links FROM m JOIN (SELECT c, count(*) AS n_copies FROM m GROUP BY 1) k USING (c)
+LEFT JOIN (SELECT c, count(*) AS n_links FROM (SELECT a AS c FROM l UNION ALL SELECT b FROM l) GROUP BY 1) d USING (c)""",
     "p1_found": _LINES + "SELECT row_nr, CAST(line_nr AS INTEGER) AS line_nr FROM k JOIN f USING (norm, letters)",
     "p1_removed": _LINES
     + """, gone AS (SELECT row_nr, list(line_nr) AS nrs FROM k JOIN f USING (norm, letters) GROUP BY 1)

@@ -181,11 +181,12 @@ def test_meetings_lose_no_near_pair(least):
     texts = [" ".join(f"w{k}" for k in rng.integers(0, 6, rng.integers(30, 400))) for _ in range(150)] + ["a " * 60, "a " * 60 + "b"]
     x = nearcopies.Batch(texts, nearcopies._Hashes())
     sets = np.split(x.shingles, np.cumsum(x.count)[:-1])
-    words, size = x.bitmaps()
+    words, size = nearcopies._bitmaps(x.sdoc, x.shingles.astype(np.uint32), x.count)
     need = x.count - nearcopies._common(x.count, least) + 1
-    some = [np.sort(s)[:k].astype(np.uint32).view(np.int32) for s, k in zip(sets, need)]
+    some = [np.sort(s.astype(np.uint32))[:k].view(np.int32) for s, k in zip(sets, need)]
+    places = [(np.arange(k) * 256 // n).astype(np.uint8).view(np.int8) for k, n in zip(need, x.count)]
     cols = [np.zeros(len(sets), np.int32), np.arange(len(sets)), x.count.astype(np.int32), np.split(words.view(np.int64), np.cumsum(size)[:-1]), some]
-    half = pa.RecordBatch.from_arrays([pa.array(cols[0]), pa.array(cols[1]), pa.array(cols[2]), pa.array(cols[3], pa.list_(pa.int64())), pa.array(cols[4], pa.list_(pa.int32()))], ["g", "c", "n", "bits", "keys"])
+    half = pa.RecordBatch.from_arrays([pa.array(cols[0]), pa.array(cols[1]), pa.array(cols[2]), pa.array(cols[3], pa.list_(pa.int64())), pa.array(cols[4], pa.list_(pa.int32())), pa.array(places, pa.list_(pa.int8()))], ["g", "c", "n", "bits", "keys", "places"])
     got = {tuple(sorted(p)) for a, b in nearcopies._meetings([half, half.slice(7)], least) for p in zip(a.tolist(), b.tolist())}
     near = {(a, b) for a in range(len(sets)) for b in range(a + 1, len(sets)) if len(np.intersect1d(sets[a], sets[b])) >= least * max(x.count[a], x.count[b])}
     assert near <= got and near
@@ -231,3 +232,10 @@ def test_mix_reaches_shares_and_repeats_at_most(spark):
     assert mixture.mix(D.limit(0), targets).count() == 0
     capped = {r.source: r for r in mixture.mix_report(D, targets, total=10**9, shards=8).collect()}
     assert capped["small"].tokens_mixed == 3 * capped["small"].tokens_available and capped["big"].tokens_mixed == capped["big"].tokens_available
+
+
+def test_hot_keys_in_blocks_lose_no_link(spark):
+    rows = hot_rows()
+    df = spark.createDataFrame(rows, "row_nr long, id string, text string")
+    links = lambda **k: nearcopies.link_classes(df, **k)[1].count()
+    assert links(hot=7) == links() > 3000
