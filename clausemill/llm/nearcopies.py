@@ -103,8 +103,8 @@ def _common(n: np.ndarray, least: float) -> np.ndarray:
 
 
 def _bitmaps(doc: np.ndarray, keys: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(64-bit words, how many are each set's): bitmaps of 8 to 16 bits a shingle, each shingle flipping one bit."""
-    size = np.array([max(1, 1 << (int(n) * 8 - 1).bit_length() >> 6) for n in count], np.int64)
+    """(64-bit words, how many are each set's): bitmaps of 6 to 12 bits a shingle, each shingle flipping one bit."""
+    size = np.array([max(1, 1 << (int(n) * 6 - 1).bit_length() >> 6) for n in count], np.int64)
     words = np.zeros(int(size.sum()), np.uint64)
     at = (keys.astype(np.uint64) * _MUL) >> np.uint64(32)
     word = (at >> np.uint64(6)).astype(np.int64) & (size[doc] - 1)
@@ -130,16 +130,31 @@ def _joined(batches: list[pa.RecordBatch], name: str) -> tuple[np.ndarray, np.nd
     return np.concatenate([v.flatten().to_numpy(zero_copy_only=False) for v in lists]), np.concatenate(([0], np.cumsum(size, dtype=np.int64)))
 
 
-def _meetings(batches: list[pa.RecordBatch], least: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+_PARTS = (("c", np.int64), ("words", np.uint64), ("size", np.int32), ("n", np.int32), ("each", np.int32), ("keys", np.uint32), ("places", np.uint8))
+
+
+def _packed(**parts: np.ndarray) -> bytes:
+    """Postings of one group of keys as one value: a row for each class would be more overhead than content."""
+    return b"".join([np.array([parts[k].size for k, _ in _PARTS], np.int64).tobytes(), *[np.ascontiguousarray(parts[k], t).tobytes() for k, t in _PARTS]])
+
+
+def _unpacked(blobs: list[bytes]) -> list[np.ndarray]:
+    out: list[list[np.ndarray]] = [[] for _ in _PARTS]
+    for b in blobs:
+        at = 8 * len(_PARTS)
+        for (_, t), n, to in zip(_PARTS, np.frombuffer(b, np.int64, len(_PARTS)).tolist(), out):
+            to.append(np.frombuffer(b, t, n, at))
+            at += to[-1].nbytes
+    return [np.concatenate(x) for x in out]
+
+
+def _meetings(blobs: list[bytes], least: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(smaller, larger) classes that share a key where both can still be near, and whose bitmaps don't rule that out."""
-    batches = [b for b in batches if b.num_rows]
-    if not batches:
+    if not blobs:
         return
-    g, c, n = (np.concatenate([b.column(k).to_numpy() for b in batches]) for k in ("g", "c", "n"))
-    (keys, kept), (places, _), (words, begin) = (_joined(batches, k) for k in ("keys", "places", "bits"))
-    each = np.diff(kept)
-    key = keys.view(np.uint32).astype(np.int64) | (np.repeat(g, each).astype(np.int64) << 32)
-    words, size, begin = words.view(np.uint64), np.diff(begin), begin[:-1]
+    c, words, size, n, each, keys, places = _unpacked(blobs)
+    key, size, each = keys.astype(np.int64), size.astype(np.int64), each.astype(np.int64)
+    begin = np.cumsum(size) - size
 
     # classes in order of their size, once each; what other tasks or groups sent again is the same
     o = np.lexsort((c, n))
@@ -151,7 +166,7 @@ def _meetings(batches: list[pa.RecordBatch], least: float) -> Iterator[tuple[np.
     rank = np.repeat(rank, each)
     c, n, size, begin = c[o], n[o].astype(np.int64), size[o], begin[o]
     o = np.lexsort((rank, key))
-    key, rank, places = key[o], rank[o], places[o].view(np.uint8)
+    key, rank, places = key[o], rank[o], places[o]
     new = np.ones(key.size, bool)
     new[1:] = (key[1:] != key[:-1]) | (rank[1:] != rank[:-1])
     key, rank, places = key[new], rank[new], places[new]
@@ -280,17 +295,24 @@ def link_classes(rows: DataFrame, shingle: int = SHINGLE, min_words: int = MIN_W
             doc, keys, group, place = doc[o], keys[o], group[o], place[o]
             new = np.ones(doc.size, bool)
             new[1:] = (doc[1:] != doc[:-1]) | (group[1:] != group[:-1])
-            row = np.cumsum(new) - 1
-            at = doc[new]
-            bits = _lists(np.repeat(np.arange(size.size), size), words.view(np.int64), size.size).take(pa.array(at))
-            lists = _lists(row, keys.view(np.int32), at.size), _lists(row, place.view(np.int8), at.size)
-            yield pa.RecordBatch.from_arrays([pa.array(group[new].astype(np.int32)), pa.array(c[at]), pa.array(count[at].astype(np.int32)), bits, *lists], ["g", "c", "n", "bits", "keys", "places"])
+            # rows of postings by group: which class, how many of its keys
+            begins = np.flatnonzero(new)
+            at, of, each = doc[begins], group[begins], np.diff(np.append(begins, doc.size))
+            wide = np.repeat(np.arange(size.size), size)
+            blobs = []
+            which = np.unique(of)
+            for g in which:
+                own = of == g
+                mine, has = group == g, np.zeros(size.size, bool)
+                has[at[own]] = True
+                blobs.append(_packed(c=c[at[own]], words=words[has[wide]], size=size[at[own]], n=count[at[own]], each=each[own], keys=keys[mine], places=place[mine]))
+            yield pa.RecordBatch.from_arrays([pa.array(which.astype(np.int32)), pa.array(blobs, pa.binary())], ["g", "posts"])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for a, b in _meetings(list(batches), least):
+        for a, b in _meetings([v.as_py() for x in batches for v in x.column("posts")], least):
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
-    posts = full.mapInArrow(index, "g int, c long, n int, bits array<long>, keys array<int>, places array<tinyint>").repartitionById(groups, F.col("g"))
+    posts = full.mapInArrow(index, "g int, posts binary").repartitionById(groups, F.col("g"))
     # the first of a pair has the smaller set: that one will be moved to the other
     pairs = materialize(posts.mapInArrow(meet, "a long, b long").distinct(), "near-candidates")
 

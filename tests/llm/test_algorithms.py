@@ -183,11 +183,11 @@ def test_meetings_lose_no_near_pair(least):
     sets = np.split(x.shingles, np.cumsum(x.count)[:-1])
     words, size = nearcopies._bitmaps(x.sdoc, x.shingles.astype(np.uint32), x.count)
     need = x.count - nearcopies._common(x.count, least) + 1
-    some = [np.sort(s.astype(np.uint32))[:k].view(np.int32) for s, k in zip(sets, need)]
-    places = [(np.arange(k) * 256 // n).astype(np.uint8).view(np.int8) for k, n in zip(need, x.count)]
-    cols = [np.zeros(len(sets), np.int32), np.arange(len(sets)), x.count.astype(np.int32), np.split(words.view(np.int64), np.cumsum(size)[:-1]), some]
-    half = pa.RecordBatch.from_arrays([pa.array(cols[0]), pa.array(cols[1]), pa.array(cols[2]), pa.array(cols[3], pa.list_(pa.int64())), pa.array(cols[4], pa.list_(pa.int32())), pa.array(places, pa.list_(pa.int8()))], ["g", "c", "n", "bits", "keys", "places"])
-    got = {tuple(sorted(p)) for a, b in nearcopies._meetings([half, half.slice(7)], least) for p in zip(a.tolist(), b.tolist())}
+    some = [np.sort(s.astype(np.uint32))[:k] for s, k in zip(sets, need)]
+    places = [(np.arange(k) * 256 // n).astype(np.uint8) for k, n in zip(need, x.count)]
+    bits = np.split(words, np.cumsum(size)[:-1])
+    blob = lambda i: nearcopies._packed(c=np.arange(len(sets))[i:], words=np.concatenate(bits[i:]), size=size[i:], n=x.count[i:], each=need[i:], keys=np.concatenate(some[i:]), places=np.concatenate(places[i:]))
+    got = {tuple(sorted(p)) for a, b in nearcopies._meetings([blob(0), blob(7)], least) for p in zip(a.tolist(), b.tolist())}
     near = {(a, b) for a in range(len(sets)) for b in range(a + 1, len(sets)) if len(np.intersect1d(sets[a], sets[b])) >= least * max(x.count[a], x.count[b])}
     assert near <= got and near
 
