@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,6 +50,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of jobs that are done: its cleaner only acts once the driver has collected garbage."""
+    for _ in range(2):  # the first lets go of the plans, the second of what hung on them
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
+
+
 def release(spark: SparkSession) -> int:
     """Delete the tables this process has materialised, once no result that reads them is needed any more."""
     gone, jvm = 0, spark.sparkContext._jvm
