@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clausemill.plans.session import materialize
+from clausemill.plans.session import free_shuffles, materialize
 
 SHINGLE, MIN_WORDS = 3, 30
 #: Texts for each group of keys that one task joins, classes of a key that one task joins, and pairs that are compared at once.
@@ -315,6 +315,8 @@ def link_classes(rows: DataFrame, shingle: int = SHINGLE, min_words: int = MIN_W
     posts = full.mapInArrow(index, "g int, posts binary").repartitionById(groups, F.col("g"))
     # the first of a pair has the smaller set: that one will be moved to the other
     pairs = materialize(posts.mapInArrow(meet, "a long, b long").distinct(), "near-candidates")
+    del posts
+    free_shuffles(rows.sparkSession)
 
     wanted = pairs.select(F.col("a").alias("c")).union(pairs.select("b")).distinct()
     full = full.join(wanted, "c", "left_semi").dropDuplicates(["c"])
