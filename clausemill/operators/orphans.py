@@ -2,8 +2,9 @@
 
 A reference is orphaned directly when its target is absent, deleted, or became available only after the record that
 refers to it. A record is orphaned by inheritance when one of its references, or its parent, is itself an orphaned
-record. Directly orphaned references are the cascade's round 0; each further round semi-joins the children of the last
-round's new records, so a round moves only the frontier.
+record. Directly orphaned references are the cascade's round 0; each further round semi-joins the links down the
+foreign-key graph with the records found in the round before. Links are written once, in folders by a hash of their
+target, and a round reads only the folders in which the last round's records lie.
 
 Defined results: null references and null elements are no references; a null array has none; a record without a key
 keeps its references under a null key; a target delivered more than once counts as deleted if any delivery is, and as
@@ -81,41 +82,69 @@ def direct_orphans(toc: DataFrame, docs: DataFrame, edges: DataFrame) -> DataFra
     )
 
 
-def orphan_cascade(toc: DataFrame, docs: DataFrame, edges: DataFrame, max_rounds: int = 1000) -> DataFrame:
-    """Orphaned records (src_table, src_key, at, kind, round): kind direct at round 0, inherited after it.
+#: Links to a folder, and the most folders; folder numbers are all that a round sends to the driver.
+FOLDER_LINKS, MOST_FOLDERS = 200_000, 4096
+
+
+class Cascade:
+    """The fixpoint cascade over the foreign-key graph of toc_segments (cross_refs and parent, both to id) and of ref_edges
+    (to_id, to spec_docs, from which nothing hangs): round 0 is `direct`, the rounds after it are run by `records`."""
+
+    def __init__(self, toc: DataFrame, docs: DataFrame, edges: DataFrame):
+        self.toc, self.direct = toc, direct_orphans(toc, docs, edges)
+
+    def _links(self) -> tuple[DataFrame, int]:
+        """(child, target, at, folder): every reference and parent of a record that has a key."""
+        refs = section_references(self.toc).select(F.col("src_key").alias("child"), F.col("ref").alias("target"), "at")
+        parents = self.toc.where(F.col("parent").isNotNull()).select(F.col("id").alias("child"), _key(F.col("parent")).alias("target"), F.col("extracted_at").alias("at"))
+        links = refs.unionByName(parents).groupBy("child", "target").agg(F.min("at").alias("at"))
+        folders = min(MOST_FOLDERS, max(8, self.toc.count() // FOLDER_LINKS))
+        return materialize(links.withColumn("folder", F.pmod(F.xxhash64("target"), F.lit(folders)).cast("int")), "orphans-links", by="folder"), folders
+
+    def records(self, max_rounds: int = 1000) -> DataFrame:
+        """Orphaned records (src_table, src_key, at, kind, round): kind direct at round 0, inherited after it.
+
+        A record's round is its distance from the nearest direct orphan; the loop ends when a round adds no record.
+        """
+        self.direct = materialize(self.direct, "orphans-direct")
+        found = self.direct.where(F.col("src_key").isNotNull()).groupBy("src_table", "src_key").agg(F.min("at").alias("at"))
+        self.links, folders = self._links()
+        rounds = [materialize(found.withColumn("round", F.lit(0)), "orphans-round-0")]
+        frontier = seen = rounds[0].where(F.col("src_table") == "toc_segments").select("src_key", "at", "round")
+        for n in range(1, max_rounds + 1):
+            targets = frontier.select(_key(F.col("src_key")).alias("target")).distinct()
+            where = [r[0] for r in targets.select(F.pmod(F.xxhash64("target"), F.lit(folders)).cast("int")).distinct().collect()]
+            hit = self.links.where(F.col("folder").isin(where) & F.col("child").isNotNull()).join(targets, "target", "left_semi")
+            new = hit.groupBy(F.col("child").alias("src_key")).agg(F.min("at").alias("at")).join(seen, "src_key", "left_anti")
+            frontier = materialize(new.withColumn("round", F.lit(n)), f"orphans-round-{n}")
+            if frontier.isEmpty():
+                break
+            rounds.append(frontier.withColumn("src_table", F.lit("toc_segments")).select(rounds[0].columns))
+            seen = seen.unionByName(frontier)
+        else:
+            raise RuntimeError(f"the cascade did not end within {max_rounds} rounds")
+        out = rounds[0]
+        for r in rounds[1:]:
+            out = out.unionByName(r)
+        return out.select("src_table", "src_key", "at", F.when(F.col("round") == 0, "direct").otherwise("inherited").alias("kind"), "round")
 
-    The foreign-key graph down which the cascade runs is that of toc_segments: cross_refs and parent, both to id.
-    A record's round is its distance from the nearest direct orphan; the loop ends when a round adds no record.
-    """
-    found = direct_orphans(toc, docs, edges).groupBy("src_table", "src_key").agg(F.min("at").alias("at"))
-    direct = materialize(found.where(F.col("src_key").isNotNull()).withColumn("round", F.lit(0)), "orphans-direct")
-    refs = section_references(toc).select(F.col("src_key").alias("child"), F.col("ref").alias("target"), "at")
-    parents = toc.where(F.col("parent").isNotNull()).select(F.col("id").alias("child"), _key(F.col("parent")).alias("target"), F.col("extracted_at").alias("at"))
-    links = materialize(
-        refs.unionByName(parents).where(F.col("child").isNotNull()).groupBy("child", "target").agg(F.min("at").alias("at")), "orphans-links"
-    )
-    seen = direct.where(F.col("src_table") == "toc_segments").select("src_key", "at", "round")
-    frontier, rounds = seen, [direct]
-    for n in range(1, max_rounds + 1):
-        hit = links.join(frontier.select(_key(F.col("src_key")).alias("target")).distinct(), "target", "left_semi")
-        new = hit.groupBy(F.col("child").alias("src_key")).agg(F.min("at").alias("at")).join(seen, "src_key", "left_anti")
-        frontier = materialize(new.withColumn("round", F.lit(n)), f"orphans-round-{n}")
-        if frontier.isEmpty():
-            break
-        rounds.append(frontier.withColumn("src_table", F.lit("toc_segments")).select(direct.columns))
-        seen = seen.unionByName(frontier)
-    else:
-        raise RuntimeError(f"the cascade did not end within {max_rounds} rounds")
-    out = rounds[0]
-    for r in rounds[1:]:
-        out = out.unionByName(r)
-    return out.select("src_table", "src_key", "at", F.when(F.col("round") == 0, "direct").otherwise("inherited").alias("kind"), "round")
+
+def orphan_cascade(toc: DataFrame, docs: DataFrame, edges: DataFrame, max_rounds: int = 1000) -> DataFrame:
+    return Cascade(toc, docs, edges).records(max_rounds)
 
 
 def orphan_report(toc: DataFrame, docs: DataFrame, edges: DataFrame) -> DataFrame:
-    """Orphaned records per table, month and kind."""
-    return (
-        orphan_cascade(toc, docs, edges)
-        .groupBy("src_table", F.date_format("at", "yyyy-MM").alias("period"), "kind")
-        .agg(F.count("*").alias("records"))
-    )
+    """(src_table, period, kind, refs, records): orphan references, and the records that hold them, per table and month.
+
+    A reference is direct, or inherited when its target is an orphaned record and it isn't direct itself. Records without
+    a key count as one record a month and kind, their references in full.
+    """
+    cascade = Cascade(toc, docs, edges)
+    orphaned = cascade.records().where(F.col("src_table") == "toc_segments").select(_key(F.col("src_key")).alias("target")).distinct()
+    direct = cascade.direct.select("src_table", "src_key", "ref", "at", F.lit("direct").alias("kind"))
+    own = cascade.direct.where(F.col("src_table") == "toc_segments").select("src_key", "ref").distinct()
+    hung = cascade.links.join(orphaned, "target", "left_semi").select(F.lit("toc_segments").alias("src_table"), F.col("child").alias("src_key"), F.col("target").alias("ref"), "at", F.lit("inherited").alias("kind"))
+    inherited = hung.join(own, hung["src_key"].eqNullSafe(own["src_key"]) & (hung["ref"] == own["ref"]), "left_anti")
+    rows = direct.unionByName(inherited).withColumn("period", F.date_format("at", "yyyy-MM"))
+    per = rows.groupBy("src_table", "period", "kind", "src_key").agg(F.count("*").alias("refs"))
+    return per.groupBy("src_table", "period", "kind").agg(F.sum("refs").alias("refs"), F.count("*").alias("records"))

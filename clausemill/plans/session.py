@@ -42,10 +42,12 @@ def shared_dir(spark: SparkSession) -> str:
     return own
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write df as a table in the shared folder and read it back: cuts lineage, survives lost executors, computes once."""
+def materialize(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    """Write df as a table in the shared folder and read it back: cuts lineage, survives lost executors, computes once.
+
+    With `by`, an int column, the table is laid out in one folder for each of its values, which filters on it select."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.repartition(by).write.partitionBy(by) if by else df.write).parquet(path)
     _written.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

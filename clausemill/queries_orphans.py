@@ -15,7 +15,7 @@ def _tables(spark, d):
 
 
 def p6_found(spark, d):
-    return orphans.direct_orphans(*_tables(spark, d)).select("src_table", "src_key", "ref").distinct()
+    return orphans.Cascade(*_tables(spark, d)).direct.select("src_table", "src_key", "ref").distinct()
 
 
 def p6_cascade(spark, d):
@@ -45,15 +45,15 @@ SQL = {
     + """,
 links AS (SELECT child, target, min(at_ts) AS at_ts FROM (
   SELECT src_key AS child, ref AS target, at_ts FROM toc_refs
-  UNION ALL SELECT id, lower(trim(parent)), extracted_at FROM toc_segments WHERE parent IS NOT NULL) WHERE child IS NOT NULL GROUP BY 1, 2),
+  UNION ALL SELECT id, lower(trim(parent)), extracted_at FROM toc_segments WHERE parent IS NOT NULL) GROUP BY 1, 2),
 hit AS (
   SELECT DISTINCT src_key FROM direct WHERE src_table = 'toc_segments' AND src_key IS NOT NULL
   UNION
-  SELECT l.child FROM links l JOIN hit h ON l.target = lower(trim(h.src_key))),
-d AS (SELECT src_table, src_key, min(at_ts) AS at_ts, 'direct' AS kind FROM direct WHERE src_key IS NOT NULL GROUP BY 1, 2),
-inh AS (
-  SELECT 'toc_segments' AS src_table, h.src_key, min(t.extracted_at) AS at_ts, 'inherited' AS kind FROM hit h JOIN toc_segments t ON t.id = h.src_key
-  WHERE h.src_key NOT IN (SELECT src_key FROM d WHERE src_table = 'toc_segments') GROUP BY 1, 2)
-SELECT src_table, strftime(at_ts, '%Y-%m') AS period, kind, count(*) AS records FROM (SELECT * FROM d UNION ALL SELECT * FROM inh) GROUP BY 1, 2, 3
+  SELECT l.child FROM links l JOIN hit h ON l.target = lower(trim(h.src_key)) WHERE l.child IS NOT NULL),
+o AS (SELECT DISTINCT lower(trim(src_key)) AS target FROM hit),
+r AS (SELECT src_table, src_key, at_ts, 'direct' AS kind FROM direct
+  UNION ALL SELECT 'toc_segments', child, at_ts, 'inherited' FROM links l WHERE target IN (SELECT target FROM o)
+    AND NOT EXISTS (SELECT 1 FROM direct d WHERE d.src_table = 'toc_segments' AND d.src_key IS NOT DISTINCT FROM l.child AND d.ref = l.target))
+SELECT src_table, strftime(at_ts, '%Y-%m') AS period, kind, count(*) AS refs, count(DISTINCT coalesce(src_key, chr(1))) AS records FROM r GROUP BY 1, 2, 3
 """,
 }
