@@ -1,13 +1,16 @@
 """Evaluation items leaking into documents: template windows, a hash join, and slot checks.
 
-Words (runs of letters or digits, lower-cased) are canonicalised: numbers, units and names become typed placeholders,
-so that a window of 12 template words is the same for a passage and for its re-parameterised copy. Window hashes of the
-items are joined with those of the documents; each hit's slots are then compared. Equal slots throughout a window mean a
-verbatim passage; other slots, filled consistently over all of the pair's windows, a re-parameterised item.
-
-The items are the small, fixed side. They're read in blocks of a bounded number of rows, and each block's windows are
-the build side of one pass over the documents; the probe is vectorised over a whole Arrow batch. A document lies in one
-row, so its hits are summed up in place and only found pairs are shuffled.
+A text's words (runs of letters or digits, lower-cased) are read twice. In both readings numbers and units are typed
+placeholders; in the second, words written with a capital within a sentence are names and become placeholders too. A
+word's reading depends on nothing but itself and the mark before it, so templates don't depend on what else is loaded.
+Every window of 12 words of either reading is hashed; a second reading with more than MOST_SLOTS placeholders says too
+little and makes no window.
+
+Items' windows are a table. Documents' windows are joined with it by hash in Spark; before that, a Bloom filter of the
+items' hashes, of bounded size, drops in the task that reads a document nearly every window that no item has, so what is
+shuffled grows with what leaks and not with the corpus. The filter never drops a window that an item has. The words of
+both windows are compared after the join: equal words are a verbatim passage; other slots, filled consistently over all
+windows of a document and item, a re-parameterised item.
 
 Defined results: null and empty texts, and items shorter than a window, leak nothing; null keys come out as null;
 repeated documents or items under one key are one pair; empty tables give an empty result; further columns are ignored.
@@ -15,52 +18,45 @@ repeated documents or items under one key are one pair; empty tables give an emp
 
 from __future__ import annotations
 
-from collections import defaultdict
-from collections.abc import Iterable, Iterator
-from functools import reduce
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import regex
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-WINDOW = 12
-#: Rows of the evaluation set that one pass over the documents holds in a task's memory.
-BLOCK_ITEMS = 2_000
+from clausemill.plans.session import materialize
+
+WINDOW, MOST_SLOTS = 12, 6
+#: Bits of the filter for each window of the items, and the powers of two between which its size lies (at most 64 MB).
+FILTER_BITS, LEAST_LOG, MOST_LOG, BLOCK_LOG = 24, 16, 29, 16
 #: Words that count things, in the singular and plural; which of them follows a number may be changed with the number.
 UNITS = frozenset(
     "attempt attempts copy copies day days hour hours minute minutes month months octet octets week weeks witness witnesses "
     "year years tag tage mal stunden wochen monate jahre jour jours fois heures semaines mois ans".split()
 )
-_WORD = regex.compile(r"[^\W_]+")
-_OTHER, _NUM, _UNIT, _NAME = 0, 1, 2, 3
+_TOKEN = regex.compile(r"[.!?:\n]|[^\W_]+")
+_MARKS = frozenset(".!?:\n")
+# A word's code: 61 bits of its hash, then whether it has a capital, is a placeholder, is a mark.
+_CAPITAL, _SLOT, _MARK = 1, 2, 4
+_NUM, _UNIT, _NAME = (k << 3 | _SLOT for k in (1, 2, 3))
 _CACHE = 400_000
+_SEEDS = tuple(np.uint64(s) for s in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93))
 
 
-def words(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
-
-
-class _Canon(dict):
-    """Word as written -> id: its own if the items use it, a placeholder's, or 0 for a word no item has."""
-
-    def __init__(self, plain: dict[str, int], names: set[str]):
-        super().__init__()
-        self.plain, self.names = plain, names
-
+class _Codes(dict):
     def __missing__(self, word: str) -> int:
         low = word.lower()
-        if any(c.isdigit() for c in low):
+        if word in _MARKS:
+            out = _MARK
+        elif any(c.isdigit() for c in low):
             out = _NUM
         elif low in UNITS:
             out = _UNIT
-        elif low in self.plain:
-            out = self.plain[low]
-        elif low in self.names or word[:1].isupper():
-            out = _NAME
         else:
-            out = _OTHER
+            out = xxhash.xxh3_64_intdigest(low) & ~7 | (_CAPITAL if word[:1].isupper() else 0)
         if len(self) > _CACHE:
             self.clear()
         self[word] = out
@@ -69,7 +65,7 @@ class _Canon(dict):
 
 def _hashes(ids: np.ndarray, window: int) -> np.ndarray:
     out = np.zeros(max(0, ids.size - window + 1), np.uint64)
-    x = ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(0x632BE59BD9B4E019)
+    x = ids * np.uint64(0x9E3779B97F4A7C15) + np.uint64(0x632BE59BD9B4E019)
     x ^= x >> np.uint64(29)
     p = np.uint64(1)
     for k in range(window):
@@ -78,93 +74,123 @@ def _hashes(ids: np.ndarray, window: int) -> np.ndarray:
     return out
 
 
-class ItemIndex:
-    """The template windows of one block of items."""
-
-    def __init__(self, items: Iterable[tuple[object, str]], window: int = WINDOW):
-        self.window = window
-        texts = [(k, _WORD.findall(t)) for k, t in items if t]
-        lowered = {w for _, ws in texts for w in ws if w == w.lower()}
-        inside = {w.lower() for _, ws in texts for w in ws if w != w.lower()} - lowered
-        firsts = {ws[0].lower() for _, ws in texts if ws}
-        self.plain = {w: i for i, w in enumerate(sorted(lowered | (inside & firsts)), 10)}
-        self.names = inside - firsts
-        canon = _Canon(self.plain, self.names)
-        self.templates: dict[int, list[tuple[object, tuple[str, ...]]]] = defaultdict(list)
-        for key, ws in texts:
-            ids = np.fromiter((canon[w] for w in ws), np.int64, len(ws))
-            low = [w.lower() for w in ws]
-            for i, h in enumerate(_hashes(ids, window).tolist()):
-                self.templates[h].append((key, tuple(low[i : i + window])))
-        self.keys = np.array(sorted(self.templates), np.uint64)
-
-    def probe(self, texts: list[str | None], canon: _Canon) -> Iterator[tuple[int, object, int, int, bool]]:
-        """(number of the text, item, windows found verbatim, found as templates, slots consistent)."""
-        toks = [_WORD.findall(t) if t else [] for t in texts]
-        sizes = np.array([len(t) for t in toks], np.int64)
-        n = int(sizes.sum())
-        if n < self.window or not self.keys.size:
-            return
-        ids = np.fromiter((canon[w] for t in toks for w in t), np.int64, n)
-        ends = np.cumsum(sizes)
-        bad = np.concatenate(([0], np.cumsum(ids == _OTHER)))
-        last = np.repeat(ends, sizes)
-        at = np.flatnonzero((bad[self.window :] == bad[: -self.window]) & (np.arange(self.window, n + 1) <= last[: n - self.window + 1]))
-        h = _hashes(ids, self.window)[at]
-        i = np.minimum(np.searchsorted(self.keys, h), self.keys.size - 1)
-        hit = self.keys[i] == h
-        at, h = at[hit], h[hit]
-        doc = np.searchsorted(ends, at, "right")
-        pairs: dict[tuple[int, object], list] = {}
-        for d, pos, hh in zip(doc.tolist(), at.tolist(), h.tolist()):
-            begin = pos - int(ends[d] - sizes[d])
-            mine = tuple(w.lower() for w in toks[d][begin : begin + self.window])
-            for key, theirs in self.templates[hh]:
-                p = pairs.setdefault((d, key), [0, 0, True, {}])
-                if mine == theirs:
-                    p[0] += 1
-                p[1] += 1
-                for a, b in zip(theirs, mine):
-                    if a != b and p[3].setdefault(a, b) != b:
-                        p[2] = False
-        for (d, key), (exact, template, consistent, _) in pairs.items():
-            yield d, key, exact, template, consistent
-
-
-def leaked_pairs(docs: DataFrame, items: DataFrame, window: int = WINDOW, block_items: int = BLOCK_ITEMS) -> DataFrame:
-    """(doc_id, item_id, n_exact, n_template, consistent): every pair that shares at least one template window."""
-    spark = docs.sparkSession
-    doc_type, item_type = dict(docs.dtypes)["doc_id"], dict(items.dtypes)["item_id"]
-    # keys travel as strings: pandas would turn whole numbers beside nulls into floats
-    schema = "doc_id string, item_id string, n_exact int, n_template int, consistent boolean"
-    known = items.where(F.col("text").isNotNull()).select(F.col("item_id").cast("string").alias("item_id"), "text").distinct()
-    blocks = max(1, -(-known.count() // block_items))
-    texts = docs.where(F.length("text") > 0).select(F.col("doc_id").cast("string").alias("doc_id"), "text")
-    out = []
-    for b in range(blocks):
-        rows = known.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == b).collect()
-        if not rows:
-            continue
-        index = spark.sparkContext.broadcast([(r["item_id"], r["text"]) for r in rows])
-
-        def run(batches: Iterator[pd.DataFrame], index=index) -> Iterator[pd.DataFrame]:
-            block = ItemIndex(index.value, window)
-            canon = _Canon(block.plain, block.names)
-            for x in batches:
-                ids = x["doc_id"].to_numpy()
-                got = [(ids[d], *rest) for d, *rest in block.probe(x["text"].tolist(), canon)]
-                yield pd.DataFrame(got, columns=["doc_id", "item_id", "n_exact", "n_template", "consistent"])
-
-        out.append(texts.mapInPandas(run, schema))
-    merged = reduce(DataFrame.unionByName, out) if out else spark.createDataFrame([], schema)
-    merged = merged.withColumn("doc_id", F.col("doc_id").cast(doc_type)).withColumn("item_id", F.col("item_id").cast(item_type))
-    return merged.groupBy("doc_id", "item_id").agg(
-        F.max("n_exact").alias("n_exact"), F.max("n_template").alias("n_template"), F.max("consistent").alias("consistent")
-    )
+def _inside(flags: np.ndarray, window: int) -> np.ndarray:
+    """How many of each window's words are flagged."""
+    upto = np.concatenate(([0], np.cumsum(flags)))
+    return upto[window:] - upto[:-window]
+
+
+def windows(texts: list[str | None], codes: _Codes, window: int, wanted: Callable[[np.ndarray], np.ndarray]) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """(number of the text, hash, words) of the distinct windows of either reading whose hash is wanted."""
+    tokens = [_TOKEN.findall(t) if t else [] for t in texts]
+    sizes = np.array([len(t) for t in tokens], np.int64)
+    code = np.fromiter((codes[w] for t in tokens for w in t), np.uint64, int(sizes.sum()))
+    mark = (code & np.uint64(_MARK)) > 0
+    doc = np.repeat(np.arange(sizes.size), sizes)
+    after = np.concatenate(([True], mark[:-1])) | (np.concatenate(([-1], doc[:-1])) != doc)
+    word = ~mark
+    code, doc, after = code[word], doc[word], after[word]
+    if code.size < window:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), []
+    capital = (code & np.uint64(_CAPITAL)) > 0
+    first = np.where(capital, code ^ np.uint64(_CAPITAL), code)
+    named = capital & ~after
+    second = np.where(named, np.uint64(_NAME), first)
+    whole = doc[window - 1 :] == doc[: doc.size - window + 1]
+    other = whole & (_inside(named, window) > 0) & (_inside((second & np.uint64(_SLOT)) > 0, window) <= MOST_SLOTS)
+    found = []
+    for ids, ok in ((first, whole), (second, other)):
+        at = np.flatnonzero(ok)
+        h = _hashes(ids, window)[at]
+        keep = wanted(h)
+        found.append((at[keep], h[keep]))
+    at, h = (np.concatenate(x) for x in zip(*found))
+    begins = np.searchsorted(doc, np.arange(sizes.size))
+    texts_of: dict[int, list[str]] = {}
+    out: dict[tuple[int, int, str], None] = {}
+    for d, i, x in zip(doc[at].tolist(), at.tolist(), h.tolist()):
+        if d not in texts_of:
+            texts_of[d] = [w.lower() for w in tokens[d] if w not in _MARKS]
+        i -= int(begins[d])
+        out[d, x, " ".join(texts_of[d][i : i + window])] = None
+    return np.array([k[0] for k in out], np.int64), np.array([k[1] for k in out], np.uint64), [k[2] for k in out]
+
+
+def _positions(h: np.ndarray, log: int) -> list[np.ndarray]:
+    return [((h * s) >> np.uint64(64 - log)).astype(np.int64) for s in _SEEDS]
+
+
+def _window_rows(df: DataFrame, key: str, window: int, filtered=None, log: int = 0) -> DataFrame:
+    """(key, h, w): the windows of df (key, text), of a filtered corpus only those that the filter lets through."""
+    kind = dict(df.dtypes)[key]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes = _Codes()
+        bits = None if filtered is None else np.frombuffer(filtered.value, np.uint8)
+
+        def wanted(h: np.ndarray) -> np.ndarray:
+            keep = np.arange(h.size)
+            for s in _SEEDS if bits is not None else ():
+                p = ((h[keep] * s) >> np.uint64(64 - log)).astype(np.int64)
+                keep = keep[(bits[p >> 3] >> (p & 7).astype(np.uint8)) & 1 > 0]
+            return keep
+
+        for b in batches:
+            doc, h, words = windows(b.column("text").to_pylist(), codes, window, wanted)
+            yield pa.RecordBatch.from_arrays([b.column(key).take(pa.array(doc)), pa.array(h.view(np.int64)), pa.array(words, pa.string())], [key, "h", "w"])
+
+    return df.where(F.length("text") > 0).select(key, "text").mapInArrow(run, f"{key} {kind}, h long, w string")
+
+
+def _filter(hashes: DataFrame, n: int) -> tuple[bytes, int]:
+    """A Bloom filter of the hashes, put together block by block in the tasks, and the logarithm of its bits."""
+    log = min(MOST_LOG, max(LEAST_LOG, (max(1, n) * FILTER_BITS - 1).bit_length()))
+    size = 1 << BLOCK_LOG
+
+    def set_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = np.zeros(1 << (log - 3), np.uint8)
+        for b in batches:
+            for p in _positions(b.column("h").to_numpy().view(np.uint64), log):
+                np.bitwise_or.at(own, p >> 3, np.left_shift(1, p & 7).astype(np.uint8))
+        blocks = own.reshape(-1, size // 8)
+        used = np.flatnonzero(blocks.any(1))
+        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array([blocks[k].tobytes() for k in used], pa.binary())], ["block", "bits"])
+
+    def united(t: pa.Table) -> pa.Table:
+        both = np.bitwise_or.reduce([np.frombuffer(v.as_py(), np.uint8) for v in t.column("bits")])
+        return pa.table({"block": t.column("block")[:1], "bits": pa.array([both.tobytes()], pa.binary())})
+
+    bits = bytearray(1 << (log - 3))
+    for r in hashes.select("h").mapInArrow(set_bits, "block int, bits binary").groupBy("block").applyInArrow(united, "block int, bits binary").collect():
+        bits[r["block"] * size // 8 : (r["block"] + 1) * size // 8] = r["bits"]
+    return bytes(bits), log
+
+
+def matched_windows(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
+    """(doc_id, item_id, w, v): windows of a document and of an item that are one template, with the words of both."""
+    known = materialize(_window_rows(items, "item_id", window).distinct(), "leak-items")
+    bits, log = _filter(known, known.count())
+    sent = docs.sparkSession.sparkContext.broadcast(bits)
+    return _window_rows(docs, "doc_id", window, sent, log).join(known.withColumnRenamed("w", "v"), "h").select("doc_id", "item_id", "w", "v")
 
 
 def verbatim_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
-    return leaked_pairs(docs, items).where("n_exact > 0").select("doc_id", "item_id")
+    return matched_windows(docs, items).where(F.col("w") == F.col("v")).select("doc_id", "item_id").distinct()
+
+
+def leaked_pairs(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
+    """(doc_id, item_id, n_exact, n_template, consistent): every pair that shares at least one template window.
+
+    Windows are counted by their words, once each. Slots are consistent if each word of the item's is one word of the
+    document's wherever it is replaced; that is counted by word before it is by pair, so no pair's windows are collected.
+    """
+    hits = matched_windows(docs, items, window).distinct()
+    each = F.arrays_zip(F.split("w", " ").alias("mine"), F.split("v", " ").alias("theirs"))
+    other = F.filter(each, lambda x: x["mine"] != x["theirs"])
+    rows = hits.select("doc_id", "item_id", (F.col("w") == F.col("v")).cast("int").alias("same"), F.posexplode_outer(other).alias("pos", "x"))
+    rows = rows.select("doc_id", "item_id", "same", F.coalesce(F.col("pos") == 0, F.lit(True)).cast("int").alias("one"), "x.mine", "x.theirs")
+    by_word = rows.groupBy("doc_id", "item_id", "theirs").agg(F.sum(F.col("same") * F.col("one")).alias("n_exact"), F.sum("one").alias("n_template"), (F.min("mine").eqNullSafe(F.max("mine"))).alias("consistent"))
+    return by_word.groupBy("doc_id", "item_id").agg(F.sum("n_exact").cast("int").alias("n_exact"), F.sum("n_template").cast("int").alias("n_template"), F.min("consistent").alias("consistent"))
 
 
 def reparameterised_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:

@@ -133,7 +133,30 @@ l AS (SELECT a.c AS a, b.c AS b FROM g a JOIN g b ON a.g = b.g AND a.c < b.c AND
 """
 
 
+_UNITS = ", ".join(f"'{u}'" for u in sorted(leakage.UNITS))
+
+
+def _templates(name: str, key: str) -> str:
+    return rf"""
+{name}w AS (SELECT k, list_transform(p, lambda x: lower(regexp_extract(x, '[\p{{L}}\p{{N}}]+$'))) AS l,
+    list_transform(p, lambda x, i: i > 1 AND regexp_matches(x, '\p{{Lu}}[\p{{L}}\p{{N}}]*$') AND regexp_matches(x, '^[^\p{{L}}\p{{N}}]*\p{{Lu}}[\p{{L}}\p{{N}}]*$') AND NOT regexp_matches(x, '[.!?:\n]')) AS cap
+  FROM (SELECT {key} AS k, regexp_extract_all(text, '[^\p{{L}}\p{{N}}]*[\p{{L}}\p{{N}}]+') AS p FROM {name} WHERE text IS NOT NULL)),
+{name}i AS (SELECT *, list_transform(l, lambda x: CASE WHEN regexp_matches(x, '\p{{Nd}}') THEN '<1>' WHEN x IN ({_UNITS}) THEN '<2>' ELSE x END) AS a FROM {name}w),
+{name}j AS (SELECT *, list_transform(a, lambda x, i: CASE WHEN cap[i] AND x NOT IN ('<1>', '<2>') THEN '<3>' ELSE x END) AS b FROM {name}i),
+{name}x AS (SELECT k, l[i:i + 11] AS l, a[i:i + 11] AS a, b[i:i + 11] AS b FROM (SELECT *, unnest(range(1, len(l) - 10)) AS i FROM {name}j)),
+{name}t AS (SELECT DISTINCT k, l, a AS g FROM {name}x UNION SELECT DISTINCT k, l, b FROM {name}x WHERE a <> b AND len(list_filter(b, lambda x: x IN ('<1>', '<2>', '<3>'))) <= {leakage.MOST_SLOTS})"""
+
+
 SQL = {
+    "p8_reparameterised": "WITH "
+    + _templates("documents", "doc_id")
+    + ", "
+    + _templates("eval_items", "item_id")
+    + """, h AS (SELECT DISTINCT d.k AS doc_id, e.k AS item_id, d.l AS w, e.l AS v FROM documentst d JOIN eval_itemst e USING (g)),
+n AS (SELECT doc_id, item_id, count(*) AS n_template, count(*) FILTER (w = v) AS n_exact FROM h GROUP BY 1, 2),
+s AS (SELECT doc_id, item_id, v[i] AS theirs, w[i] AS mine FROM (SELECT *, unnest(range(1, 13)) AS i FROM h)),
+bad AS (SELECT DISTINCT doc_id, item_id FROM s WHERE theirs <> mine GROUP BY doc_id, item_id, theirs HAVING count(DISTINCT mine) > 1)
+SELECT doc_id, item_id, CAST(n_template AS INTEGER) AS n_template FROM n WHERE n_exact = 0 AND NOT EXISTS (SELECT 1 FROM bad WHERE bad.doc_id = n.doc_id AND bad.item_id = n.item_id)""",
     "p7_found": _NEAR
     + """, k AS (SELECT c AS a, c AS b FROM c UNION ALL SELECT a, b FROM l)
 SELECT DISTINCT least(x.row_nr, y.row_nr) AS row_a, greatest(x.row_nr, y.row_nr) AS row_b FROM k JOIN m x ON x.c = a JOIN m y ON y.c = b WHERE (a <> b OR x.row_nr < y.row_nr) AND x.id IS DISTINCT FROM y.id""",

@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import re
 from collections import defaultdict
 
 import pytest
@@ -126,12 +127,12 @@ def test_leaks_against_brute_force(spark):
             t[5:5] = w[2 : 2 + k]
         docs.append((i, " ".join(t).upper() if i % 2 else ", ".join(t)))
     docs += [(100, None), (101, ""), docs[0]]
-    grams = lambda t: {tuple(w[i : i + 12]) for w in [leakage.words(t or "")] for i in range(len(w) - 11)}
+    grams = lambda t: {tuple(w[i : i + 12]) for w in [re.findall(r"[^\W_]+", (t or "").lower())] for i in range(len(w) - 11)}
     want = sorted((d, i) for d, t in set(docs) for i, u in items if grams(t) & grams(u))
     D, E = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
     got = sorted(map(tuple, leakage.verbatim_leaks(D, E).collect()))
     assert got == want and want
-    assert sorted((r.doc_id, r.item_id) for r in leakage.leaked_pairs(D, E, block_items=2).where("n_exact > 0").collect()) == want
+    assert sorted((r.doc_id, r.item_id) for r in leakage.leaked_pairs(D, E).where("n_exact > 0").collect()) == want
 
 
 def test_reparameterised_questions(spark):
@@ -144,6 +145,16 @@ def test_reparameterised_questions(spark):
     assert [(r.doc_id, r.item_id) for r in leakage.verbatim_leaks(docs, items).where("doc_id = 2").collect()] == [(2, 7)]
 
 
+def test_templates_do_not_depend_on_other_items(spark):
+    item, again = ("The custodian %s must keep every sealed register of the old quorum for %d days" % x for x in (("Alice", 3), ("Robert", 40)))
+    docs = spark.createDataFrame([(1, again), (2, item.upper())], "doc_id long, text string").selectExpr("*", "'v' AS v", "'w' AS w", "1L AS h")
+    for more in ([], [(8, "write to alice at once"), (9, "robert robert " * 10)]):
+        items = spark.createDataFrame([(7, item)] + more, "item_id long, text string")
+        assert [(r.doc_id, r.item_id) for r in leakage.reparameterised_leaks(docs, items).collect()] == [(1, 7)]
+        assert [tuple(r) for r in leakage.verbatim_leaks(docs, items).collect()] == [(2, 7)]
+    assert leakage.leaked_pairs(docs.limit(0), items).count() == leakage.leaked_pairs(docs, items.limit(0)).count() == 0
+
+
 @pytest.mark.parametrize(
     ("text", "want"),
     [
