@@ -14,14 +14,22 @@ from clausemill.sources import exports
 QUERIES, SQL = {}, {}
 
 
-def query(sql: str | None = None):
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            SQL[f.__name__] = sql
-        return f
+def register(queries: dict, statements: dict):
+    """A decorator that enters a query, and its SQL if there is any, in these tables."""
 
-    return add
+    def query(sql: str | None = None):
+        def add(f):
+            queries[f.__name__] = f
+            if sql:
+                statements[f.__name__] = sql
+            return f
+
+        return add
+
+    return query
+
+
+query = register(QUERIES, SQL)
 
 
 def _segments(spark, d, *columns):
@@ -90,7 +98,7 @@ def text_keywords(spark, d):
     return _segments(spark, d, "row_nr", "text").where("text IS NOT NULL").select("row_nr", F.array_join(T.normative_keywords(F.col("text")), ",").alias("keywords"))
 
 
-@query(r"""SELECT id, num, array_to_string(list_sort(list_distinct(regexp_extract_all(text, '(?i)\b(?:clause|section|annex)\s+([A-Z]?\d+(?:\.\d+)*)', 1))), ',') AS refs
+@query(r"""SELECT id, num, array_to_string(list_sort(list_distinct(regexp_extract_all(text, '(?i)\b(?:clause|section|annex)\s+([a-z]?[0-9]+(?:[.][0-9]+)*)', 1))), ',') AS refs
 FROM toc_segments WHERE text IS NOT NULL""")
 def text_cross_references(spark, d):
     return table(spark, d, "toc_segments").where("text IS NOT NULL").select("id", "num", F.array_join(T.cross_references(F.col("text")), ",").alias("refs"))
@@ -123,16 +131,6 @@ def text_title_jaccard(spark, d):
     return a.join(c, "norm").select("alias_id", F.round(T.word_jaccard(F.col("mine"), F.col("shortname")), 6).alias("similarity"))
 
 
-@query(r"""SELECT row_nr, CAST(pos AS INTEGER) AS pos, regexp_extract(line, '^([A-Z]?\.?(?:\d+\.)*\d+\.?)\s{1,6}([^\n]{2,80}?)[.\s]{3,}(\d{1,4})\s*$', 1) AS num, regexp_replace(regexp_extract(line, '^([A-Z]?\.?(?:\d+\.)*\d+\.?)\s{1,6}([^\n]{2,80}?)[.\s]{3,}(\d{1,4})\s*$', 2), '^\s+|\s+$', '', 'g') AS title,
-  CAST(regexp_extract(line, '^([A-Z]?\.?(?:\d+\.)*\d+\.?)\s{1,6}([^\n]{2,80}?)[.\s]{3,}(\d{1,4})\s*$', 3) AS INT) AS to_page
-FROM (SELECT row_nr, regexp_replace(unnest(string_split(text, chr(10))), '^\s+|\s+$', '', 'g') AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM segments WHERE type = 'TOC' AND text IS NOT NULL)
-WHERE regexp_matches(line, '^([A-Z]?\.?(?:\d+\.)*\d+\.?)\s{1,6}([^\n]{2,80}?)[.\s]{3,}(\d{1,4})\s*$')""")
-def text_contents_lines(spark, d):
-    lines = _segments(spark, d, "row_nr", "type", "text").where("type = 'TOC'").select("row_nr", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    e = T.toc_entry(F.col("line"))
-    return lines.select("row_nr", (F.col("pos") + 1).alias("pos"), e.alias("e")).where("e IS NOT NULL AND e.num NOT LIKE 'Annex%'").select("row_nr", "pos", "e.num", "e.title", F.col("e.page").alias("to_page"))
-
-
 @query(r"""SELECT doc_id, list_position(list_transform(string_split(text, chr(10)), lambda x: regexp_matches(x, '(?i)escrow\s+agreement')), true) AS first_line FROM documents WHERE regexp_matches(text, '(?i)escrow\s+agreement')""")
 def text_regex_search(spark, d):
     hit = table(spark, d, "documents").where(F.col("text").rlike(r"(?i)escrow\s+agreement"))
@@ -374,7 +372,7 @@ def graph_reachable(spark, d):
 
 @query(r"""SELECT type, n, files, round(avg_len, 6) AS avg_len, round(boilerplate, 6) AS boilerplate, round(cv, 6) AS cv, CASE WHEN boilerplate > 0.8 THEN 'static' WHEN cv > 0.4 THEN 'review' ELSE 'low-variance' END AS verdict FROM (
 SELECT type, count(*) AS n, count(DISTINCT source_file) AS files, avg(length(text)) AS avg_len, stddev_samp(length(text)) / greatest(avg(length(text)), 1) AS cv,
-  avg(CAST(length(t) < 5 OR regexp_matches(t, '^\d+$|^(?i:ETSI)\s|(?i:Draft\s+EN)|^Table of [Cc]ontents|^[Cc]opyright|^\.\.+\s*\d+$|^\s{0,4}[IVX]+\s{0,4}$') AS INT)) AS boilerplate
+  avg(CAST(length(t) < 5 OR ltrim(t, '0123456789') = '' OR ltrim(t, 'IVX') = '' OR starts_with(upper(t), 'ETSI ') OR contains(upper(t), 'DRAFT EN') OR t LIKE 'Table of contents%' OR t LIKE 'Table of Contents%' OR t LIKE 'Copyright%' OR t LIKE 'copyright%' OR (t LIKE '..%' AND regexp_matches(t, '^[.]+ *[0-9]+$')) AS INT)) AS boilerplate
 FROM (SELECT *, regexp_replace(text, '^\s+|\s+$', '', 'g') AS t FROM segments) GROUP BY 1)""")
 def profile_types(spark, d):
     out = profiles.type_profile(_segments(spark, d, "type", "text", "source_file"))

@@ -35,8 +35,12 @@ def test_text_functions(spark):
     assert one(spark, "17", T.is_boilerplate) and not one(spark, "A sentence.", T.is_boilerplate)
     assert one(spark, "CCoommmmiitttteeee Committee", T.undouble) == "Committee Committee"
     assert one(spark, "a\nthe key here\nb\nc", lambda c: T.snippet(c, "KEY")) == "a\n>>> the key here\nb"
-    assert tuple(one(spark, "5.3  General requirements ......... 42", T.toc_entry)) == ("5.3", "General requirements", 42)
-    assert tuple(one(spark, "Annex A (normative):  Forms ......... 55", T.toc_entry)) == ("Annex A", "Forms", 55)
+    assert tuple(one(spark, "5.3  General requirements ......... 42", T.toc_entry)) == ("5.3", "General requirements", 42, None, "leader")
+    assert tuple(one(spark, "Annex A (normative):  Forms ......... 55", T.toc_entry)) == ("Annex A", "Forms", 55, "normative", "annex")
+    assert tuple(one(spark, "Foreword ....... 5", T.toc_entry)) == ("", "Foreword", 5, None, "unnumbered")
+    assert tuple(one(spark, "7  Records  12", T.toc_entry)) == ("7", "Records", 12, None, "loose")
+    assert one(spark, "7 records 12", T.toc_entry) is None and one(spark, "5 Title ..... 12345", T.toc_entry) is None
+    assert one(spark, "4.1 Scope\nno 5 Heading\n6 General\n7 x", T.headings) == ["4.1", "6"]
     assert one(spark, "abc", T.crc32_hex) == "352441c2"
     assert one(spark, None, T.normative_keywords) is None
 
