@@ -1,32 +1,73 @@
-"""Embeddings without a server: signed hashing of words, unit length. A drop-in for a served model in tests and offline."""
+"""Embeddings without a server: signed hashing of words, unit length. A drop-in for a served model in tests and offline.
+
+A word's md5 gives its place and sign, so that any engine can work the same vectors out. A served model comes in as a
+function of a list of texts; `embedder` calls it in batches, tries again with growing pauses and gives null where it fails.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import hashlib
+import re
+import time
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import ArrayType, FloatType
 
-DIMENSIONS = 64
+DIMENSIONS, BATCH = 64, 16
+_WORD = re.compile(r"[^\W_]+")
+_CACHE = 400_000
+
 
+class _Places(dict):
+    def __missing__(self, word: str) -> tuple[int, int]:
+        h = hashlib.md5(word.encode()).hexdigest()
+        if len(self) > _CACHE:
+            self.clear()
+        self[word] = out = (int(h[:2], 16) % DIMENSIONS, 1 if h[2] in "01234567" else -1)
+        return out
 
-def hashed(text: str, dimensions: int = DIMENSIONS) -> np.ndarray:
-    v = np.zeros(dimensions)
-    for w in (text or "").lower().split():
-        h = xxhash.xxh3_64_intdigest(w)
-        v[(h >> 1) % dimensions] += 1 if h & 1 else -1
-    return (v / max(np.linalg.norm(v), 1e-12)).astype(np.float32)
+
+def hashed(text: str | None, places: _Places | None = None) -> np.ndarray:
+    v, places = np.zeros(DIMENSIONS), _Places() if places is None else places
+    for w in _WORD.findall((text or "").lower()):
+        at, sign = places[w]
+        v[at] += sign
+    return (v / max(np.sqrt(v @ v), 1e-12)).astype(np.float32)
 
 
 @pandas_udf(ArrayType(FloatType()))
 def embed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    places = _Places()
     for b in batches:
-        yield pd.Series([hashed(t) for t in b])
+        yield pd.Series([hashed(t, places) for t in b])
+
+
+def embedder(model: Callable[[], Callable[[Sequence[str]], Sequence[Sequence[float]]]], batch: int = BATCH, tries: int = 3, pause: float = 0.5) -> Callable[[Column], Column]:
+    """A column function over a served model. `model` is called once a task and gives the function that embeds a list."""
+
+    @pandas_udf(ArrayType(FloatType()))
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        ask = model()
+        for b in batches:
+            out: list = []
+            for i in range(0, len(b), batch):
+                texts = [t or "" for t in b.iloc[i : i + batch]]
+                got: Sequence | None = None
+                for k in range(tries):
+                    try:
+                        got = ask(texts)
+                        break
+                    except OSError:
+                        time.sleep(pause * (k + 1))
+                out += [np.asarray(v, np.float32) for v in got] if got is not None and len(got) == len(texts) else [None] * len(texts)
+            yield pd.Series(out)
+
+    return run
 
 
 def missing(segments: DataFrame) -> DataFrame:

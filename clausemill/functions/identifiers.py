@@ -56,6 +56,48 @@ def file_version(name: Column) -> Column:
     )
 
 
+def archive_key(norm: Column) -> Column:
+    """The standard that an archive key with a version stands for; null for other names."""
+    p = r"(?i)^ESI-00(\d{5})(?:-(\d+))?v"
+    return F.when(norm.rlike(p), archive_norm(_g(norm, p, 1), _g(norm, p, 2)))
+
+
+def archive_key_version(norm: Column) -> Column:
+    """The version of an archive key: the digits after its first v, one a field if there are two or three of them.
+
+    A key with a second v may end after two fields, one with a single v has three; longer runs are one field.
+    """
+    first, more = _g(norm, r"(?i)^ESI-\d{7}(?:-\d+)?v(\d+)", 1), norm.rlike(r"(?i)^ESI-\d{7}(?:-\d+)?v\d+v\d+(?:v\d+)?$")
+    n = F.length(first)
+    single = norm.rlike(r"(?i)^ESI-\d{7}(?:-\d+)?v\d+$")
+    return F.when((more & n.isin(2, 3)) | (single & (n == 3)), _dotted(first)).when(more | single, F.concat(F.lit("v"), first))
+
+
+def docx_doc_id(name: Column) -> Column:
+    """Contribution files read an archive number 19472 as 119 472, a TS; other names by their type and digits; null without."""
+    archive, typed = r"(?i)ESI-00(\d\d)(\d{3})-?(\d)?", r"(?i)(TS|TR|EN|ES)[\s_-]*(\d{3})[\s_-]*(\d{3})(?:[\s_-]*(\d+))?"
+    part = lambda p, i: F.when(_g(name, p, i) != "", F.concat(F.lit("-"), _number(_g(name, p, i)))).otherwise("")
+    return F.when(name.rlike(archive), F.concat(F.lit("TS 1"), _g(name, archive, 1), F.lit(" "), _g(name, archive, 2), part(archive, 3))).when(
+        name.rlike(typed), F.concat(F.upper(_g(name, typed, 1)), F.lit(" "), _g(name, typed, 2), F.lit(" "), _g(name, typed, 3), part(typed, 4))
+    )
+
+
+def html_doc_id(name: Column) -> Column:
+    return F.translate(F.regexp_replace(name, r"(?i)\.html$", ""), "_", " ")
+
+
+def text_doc_id(name: Column) -> Column:
+    n = _g(name, r"(?i)rfc(\d+)\.txt", 1)
+    return F.when(n != "", F.concat(F.lit("RFC "), n))
+
+
+def document_line(norm: Column, version: Column, title: Column) -> Column:
+    """norm, version and the beginning of a title on one line."""
+    v = F.when(F.coalesce(version, F.lit("")) != "", F.concat(F.lit(" v"), F.ltrim(version, F.lit("vV")))).otherwise("")
+    t = F.when(F.coalesce(title, F.lit("")) != "", F.concat(F.lit(" — "), F.left(title, F.lit(70)))).otherwise("")
+    return F.trim(F.concat(F.coalesce(norm, F.lit("")), v, t))
+
+
 def canonical_norm(norm: Column) -> Column:
     """File norms of the long form end in a spaced part number; this has it as -1, as elsewhere."""
     p = r"^([A-Z]+ \d{3} \d{3}) 0*(\d+)$"

@@ -151,3 +151,20 @@ def crc32_hex(c: Column) -> Column:
 
 def shortened(c: Column, n: int) -> Column:
     return F.when(F.length(c) > n, F.concat(F.left(c, F.lit(n - 3)), F.lit("..."))).otherwise(c)
+
+
+def figure_captions(c: Column) -> Column:
+    """(kind, number, title) of the lines that caption a figure or a table."""
+    p = r"(?i)^\s*(figure|table)\s+([a-z]?\.?\d[\d.]*)\s*[:.–-]\s*(\S.*)$"
+    lines = F.filter(F.split(c, "\n"), lambda x: x.rlike(p))
+    return F.transform(lines, lambda x: F.struct(F.lower(F.regexp_extract(x, p, 1)).alias("kind"), F.rtrim(F.regexp_extract(x, p, 2), F.lit(".")).alias("number"), strip(F.regexp_extract(x, p, 3)).alias("title")))
+
+
+def decoded_list(c: Column) -> Column:
+    """A JSON list of strings; a text that is none is a list of that text, a null or empty one an empty list."""
+    got = F.from_json(c, "array<string>")
+    return F.when(F.coalesce(c, F.lit("")) == "", F.array().cast("array<string>")).otherwise(F.coalesce(got, F.array(c)))
+
+
+def escaped_markdown(c: Column) -> Column:
+    return F.replace(F.replace(c, F.lit("|"), F.lit("\\|")), F.lit("\n"), F.lit(" "))

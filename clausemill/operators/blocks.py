@@ -1,15 +1,10 @@
-"""From glyphs to classified blocks: lines by height, blocks by gaps, classes by ordered rules."""
+"""From glyphs to blocks: lines by height, blocks by gaps, and how well a gap cuts. Their classes are in classes.py."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clausemill.functions.text import MODALS
-
-NOTES = r"^\s*(?:NOTE\b|EXAMPLE\b|Example\s+\d|\[i\.\d+\])|Annex\s+\w+\s+\(informative\)"
-
-
 def text_blocks(glyphs: DataFrame, gap: float = 20.0) -> DataFrame:
     """Blocks (doc, page, block, text, y_top, y_bot, size, bold) of glyphs (doc, page, text, top, bottom, x0, size, fontname).
 
@@ -30,10 +25,21 @@ def text_blocks(glyphs: DataFrame, gap: float = 20.0) -> DataFrame:
 
 
 def without_repeats(blocks: DataFrame, within: float = 5.0) -> DataFrame:
-    """Blocks that don't repeat the one before at nearly the same height."""
+    """Blocks that don't repeat the last block that was kept on their page, at nearly the same height.
+
+    What is kept depends on what was kept before, so a page's heights are folded; only the runs of one text need it, and a
+    run's heights are a few numbers. Texts stay where they are.
+    """
     w = Window.partitionBy("doc", "page").orderBy("y_top", "block")
-    again = (F.lag("text").over(w) == F.col("text")) & (F.abs(F.lag("y_top").over(w) - F.col("y_top")) < within)
-    return blocks.withColumn("__again", F.coalesce(again, F.lit(False))).where("NOT __again").drop("__again")
+    run = F.sum(F.when(F.lag("text").over(w).eqNullSafe(F.col("text")) & F.col("text").isNotNull(), 0).otherwise(1)).over(w)
+    marked = blocks.withColumn("__run", run)
+    far = lambda acc, y: (F.size(acc) == 0) | (F.abs(F.element_at(acc, -1) - y) >= within)
+    heights = F.array_sort(F.collect_list(F.struct("y_top", "block")))
+    kept = F.aggregate(heights, F.struct(F.array().cast("array<double>").alias("y"), F.array().cast("array<bigint>").alias("b")), lambda acc, x: F.when(
+        far(acc["y"], x["y_top"]), F.struct(F.array_append(acc["y"], x["y_top"].cast("double")).alias("y"), F.array_append(acc["b"], x["block"].cast("bigint")).alias("b"))).otherwise(acc), lambda acc: acc["b"])
+    keep = marked.groupBy("doc", "page", "__run").agg(kept.alias("__kept"))
+    same = ["doc", "page", "__run"]
+    return marked.join(keep, same).where(F.array_contains("__kept", F.col("block").cast("bigint"))).drop("__run", "__kept").select(*blocks.columns)
 
 
 def outside_boxes(glyphs: DataFrame, tables: DataFrame) -> DataFrame:
@@ -44,25 +50,28 @@ def outside_boxes(glyphs: DataFrame, tables: DataFrame) -> DataFrame:
     return glyphs.join(boxes, ["doc", "page"], "left").where(~F.coalesce(inside, F.lit(False))).drop("boxes")
 
 
-def block_class(text: Column, size: Column, bold: Column, top: Column, height: Column, page: Column, body_size: float = 10.0) -> Column:
-    """HEADER, FOOTER, OTHER, TOC, SECTION, INFORM, TABLE or NORM, by the first rule that holds."""
-    t = F.trim(text)
-    return (
-        F.when(top / height < 0.07, "HEADER").when(top / height > 0.93, "FOOTER")
-        .when((page <= 4) & t.rlike(r"(?i)copyright|intellectual property|important notice"), "OTHER")
-        .when(t.rlike(r"[.\s]{4,}\d{1,4}$"), "TOC")
-        .when(t.rlike(r"^(?:[A-Z]|\d+)(?:\.\d+)*\s+[A-Z]") & (F.length(t) < 120) & ((size > body_size * 1.15) | (bold >= 0.5)), "SECTION")
-        .when(t.rlike(NOTES), "INFORM").when(t.rlike(r"^(?:Table|Figure)\s+[\dA-Z]"), "TABLE").when(t.rlike(MODALS), "NORM").otherwise("OTHER")
-    )
-
-
 def gap_quality(glyphs: DataFrame, gaps: list[int]) -> DataFrame:
     """(doc, gap, n, median, short_share): how each gap threshold would cut. The thresholds are a short given list."""
     out = None
     for g in gaps:
         b = text_blocks(glyphs, g).select("doc", F.lit(g).alias("gap"), F.length("text").alias("n"))
         out = b if out is None else out.unionByName(b)
-    return out.groupBy("doc", "gap").agg(F.count("*").alias("n"), F.median("n").alias("median"), (F.count_if(F.col("n") < 100) / F.count("*")).alias("short_share"))
+    return out.groupBy("doc", "gap").agg(F.count("*").alias("n"), F.median("n").alias("median"), (F.count_if(F.col("n") < 100) / F.count("*")).alias("short_share"), (F.count_if(F.col("n") < 50) / F.count("*")).alias("tiny_share"))
+
+
+def judged(quality: DataFrame, baseline: DataFrame, least: int = 5, ratio: float = 0.3, most_median: float = 1200.0, enough: float = 150.0, most_short: float = 0.4) -> DataFrame:
+    """quality with collapsed and ok. A cut is collapsed with fewer than `least` blocks, less than `ratio` of the baseline's
+    (doc, baseline_n), or a median above `most_median`; it's ok if it isn't and its median and share of short blocks suffice."""
+    r = quality.join(baseline, "doc", "left")
+    base = F.coalesce("baseline_n", F.lit(0))
+    collapsed = (F.col("n") < least) | ((base > 0) & (F.col("n") < base * ratio)) | (F.col("median") > most_median)
+    return r.withColumn("collapsed", collapsed).withColumn("ok", ~collapsed & (F.col("median") >= enough) & (F.col("short_share") <= most_short))
+
+
+def tally(judgements: DataFrame) -> DataFrame:
+    """(verdict, n): ok, bad and collapsed cuts."""
+    verdict = F.when(F.col("collapsed"), "collapsed").when(F.col("ok"), "ok").otherwise("bad")
+    return judgements.groupBy(verdict.alias("verdict")).agg(F.count("*").alias("n"))
 
 
 def best_gap(quality: DataFrame, enough: float = 150.0) -> DataFrame:

@@ -97,15 +97,61 @@ def busy_subgraph(edges: DataFrame, more_than: int = 2) -> DataFrame:
     return edges.join(busy.withColumnRenamed("id", "from_id"), "from_id", "left_semi").join(busy.withColumnRenamed("id", "to_id"), "to_id", "left_semi")
 
 
+#: Edges to a folder, and the most folders, of edges that are walked.
+FOLDER_EDGES, MOST_FOLDERS = 500_000, 4096
+
+
 def reachable(edges: DataFrame, roots: DataFrame, depth: int) -> DataFrame:
-    """(id, depth): all nodes within depth steps of roots (id), at their least depth. A round moves only its frontier."""
+    """(id, depth): all nodes within depth steps of roots (id), at their least depth.
+
+    Distinct edges are written once, in folders by a hash of where they begin; a round reads only its frontier's folders.
+    """
     seen = materialize(roots.select("id").distinct().withColumn("depth", F.lit(0)), "reach-0")
     frontier = seen
     links = edges.select("from_id", "to_id").distinct()
+    folders = min(MOST_FOLDERS, max(8, edges.count() // FOLDER_EDGES))
+    of = lambda c: F.pmod(F.xxhash64(c), F.lit(folders)).cast("int")
+    links = materialize(links.withColumn("folder", of("from_id")), "reach-links", by="folder")
     for d in range(1, depth + 1):
-        step = links.join(frontier.select(F.col("id").alias("from_id")), "from_id", "left_semi").select(F.col("to_id").alias("id")).distinct()
+        where = [r[0] for r in frontier.select(of("id")).distinct().collect()]
+        step = links.where(F.col("folder").isin(where)).join(frontier.select(F.col("id").alias("from_id")), "from_id", "left_semi").select(F.col("to_id").alias("id")).distinct()
         frontier = materialize(step.join(seen, "id", "left_anti").withColumn("depth", F.lit(d)), f"reach-{d}")
         if frontier.isEmpty():
             break
         seen = seen.unionByName(frontier)
     return seen
+
+
+def built_edges(docs: DataFrame, key: str, relevant: DataFrame | None = None) -> DataFrame:
+    """(from_id, to_id, source, type): edges from each document (key, text) to what its reference sections cite.
+
+    Documents do not cite themselves. `relevant` (ref), if given, is the list of what may be cited: a part of a listed
+    standard counts as listed.
+    """
+    typed = docs.where("text IS NOT NULL").select(key, F.inline(F.array(
+        F.struct(F.lit("normative").alias("type"), references(F.regexp_extract("text", NORMATIVE, 1)).alias("r")),
+        F.struct(F.lit("informative").alias("type"), references(F.regexp_extract("text", INFORMATIVE, 1)).alias("r")),
+    )))
+    e = typed.select(F.col(key).cast("string").alias("from_id"), "type", F.inline("r")).select("from_id", F.col("ref").alias("to_id"), "source", "type").where("from_id <> to_id").distinct()
+    both = e.where("type = 'normative'").select("from_id", "to_id")
+    e = e.where("type = 'normative'").unionByName(e.where("type = 'informative'").join(both, ["from_id", "to_id"], "left_anti").select(e.columns))
+    if relevant is None:
+        return e
+    base = lambda c: F.regexp_replace(c, r"-\d+$", "")
+    listed = relevant.select(base(F.col("ref")).alias("__base")).distinct()
+    return e.withColumn("__base", base(F.col("to_id"))).join(listed, "__base", "left_semi").select(e.columns)
+
+
+def reference_counts(sections: DataFrame, key: str) -> DataFrame:
+    """(key, normative, informative, total) of section_references."""
+    return sections.select(key, F.size("normative").alias("normative"), F.size("informative").alias("informative"), F.size("all").alias("total"))
+
+
+def titled_nodes(nodes: DataFrame, titles: DataFrame) -> DataFrame:
+    """nodes (id, ...) with title from titles (id, title), the first in order of each id; null where there is none."""
+    return nodes.join(titles.where("title <> ''").groupBy("id").agg(F.min("title").alias("title")), "id", "left")
+
+
+def nodes_by_source(nodes: DataFrame) -> DataFrame:
+    """(source, n, ids): nodes (id, source) by source, in order. Ids of one source are listed in one row, as a legend needs."""
+    return nodes.groupBy("source").agg(F.count("*").alias("n"), F.sort_array(F.collect_list("id")).alias("ids"))

@@ -65,3 +65,16 @@ def merge_short(segments: DataFrame) -> DataFrame:
 
     rows = segments.select(*_COLUMNS[:-1]).withColumn("section", F.coalesce("section", F.lit("")))
     return rows.repartition("doc").sortWithinPartitions("doc", "pos").mapInPandas(run, schema)
+
+
+def merge_statistics(segments: DataFrame, most: int = MOST_CHARS, enough: int = ENOUGH_CHARS) -> DataFrame:
+    """(before_n, after_n, before_median, after_median, ended_share) of normative and informative rows: what merging does.
+
+    ended_share is the share of merged rows that were closed by a mark at a sufficient length, and not by their neighbours.
+    """
+    kept = lambda df: df.where(F.col("type").isin(*MERGED_TYPES))
+    n = F.length("text")
+    ended = (n >= enough) & F.col("text").rlike(r"[.;:]\s*$")
+    before = kept(segments).where("text IS NOT NULL").agg(F.count("*").alias("before_n"), F.median(n).alias("before_median"))
+    after = kept(merge_short(segments)).agg(F.count("*").alias("after_n"), F.median(n).alias("after_median"), F.avg(ended.cast("int")).alias("ended_share"))
+    return before.join(F.broadcast(after)).select("before_n", "after_n", "before_median", "after_median", "ended_share")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from clausemill.functions.text import is_boilerplate, placeholders
 
 ENOUGH_MEDIAN, ENOUGH_ROWS, ENOUGH_EMBEDDED = 150, 1000, 0.95
+BLANK_CHARS, LEAST_DENSITY = 50, 100
 
 
 def type_profile(segments: DataFrame) -> DataFrame:
@@ -71,13 +72,28 @@ def document_metrics(segments: DataFrame) -> DataFrame:
     return out.select("source_file", "n", ratio("section_rows").alias("heading_density"), ratio("sectioned").alias("section_coverage"), ratio("norm_rows").alias("norm_ratio"), F.array_join(warnings, "; ").alias("warnings"))
 
 
-def ingest_findings(docs: DataFrame) -> DataFrame:
-    """Per delivered document: what its record lacks."""
+def ingest_findings(docs: DataFrame, pages: DataFrame) -> DataFrame:
+    """(source_file, findings, status): what each delivered document's record, and what its pages, lack.
+
+    pages (source_file, page, text, section), in any number of rows a page. A document with few pages is an error; one
+    without any page is judged by its record alone.
+    """
+    per = pages.where("source_file IS NOT NULL AND page IS NOT NULL").groupBy("source_file", "page").agg(F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("chars"), F.max(F.coalesce("section", F.lit("")) != "").alias("sectioned"))
+    seen = per.groupBy("source_file").agg(F.avg((F.col("chars") < BLANK_CHARS).cast("int")).alias("__blank"), F.avg("chars").alias("__density"), F.avg(F.col("sectioned").cast("int")).alias("__sectioned"))
+    d = docs.join(seen, "source_file", "left")
     found = F.array_compact(F.array(
-        F.when(F.col("version").isNull() | (F.col("version") == "vX.X.X"), "no version"), F.when(F.col("norm").isNull(), "no norm"),
-        F.when(F.col("shortname").isNull(), "no shortname"), F.when(F.col("page_count").isNull() | (F.col("page_count") < 3), "few pages"),
+        F.when(F.col("version").isNull() | (F.col("version") == "vX.X.X"), "no version"), F.when(F.col("norm").isNull() | (F.col("norm") == F.col("source_file")), "no norm"),
+        F.when(F.coalesce("shortname", F.lit("")) == "", "no shortname"), F.when(F.coalesce("page_count", F.lit(0)) < 3, "few pages"),
+        F.when(F.col("__blank") > 0.3, "blank pages"), F.when(F.col("__density") < LEAST_DENSITY, "little text"), F.when(F.col("__sectioned") < 0.1, "few sections"),
     ))
-    return docs.select("source_file", F.array_join(found, "; ").alias("findings"), F.when(F.array_contains(found, "no norm") | F.array_contains(found, "few pages"), "error").when(F.size(found) > 0, "warn").otherwise("ok").alias("status")).distinct()
+    status = F.when(F.array_contains(found, "few pages"), "error").when(F.size(found) > 0, "warn").otherwise("ok")
+    return d.select("source_file", F.array_join(found, "; ").alias("findings"), status.alias("status")).distinct()
+
+
+def ingest_summary(findings: DataFrame) -> DataFrame:
+    """(ok, warn, error, no_shortname)."""
+    of = lambda s: F.count_if(F.col("status") == s).alias(s)
+    return findings.agg(of("ok"), of("warn"), of("error"), F.count_if(F.col("findings").contains("no shortname")).alias("no_shortname"))
 
 
 def health(segments: DataFrame) -> DataFrame:

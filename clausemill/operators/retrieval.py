@@ -1,13 +1,15 @@
 """Lexical, vector and hybrid search over segments, and the lookups around them.
 
-The index is a set of tables: postings with positions, document lengths, and corpus totals. A query touches the postings
-of its own terms only. Ranking is BM25 with all terms required; ties are broken by id, so results are stable.
+The index is a set of tables: postings with positions, document lengths, and corpus totals. `stored_index` writes them once,
+postings in the order of their terms, so that the files a query doesn't ask for are skipped by their least and largest
+terms, for prefixes as well. Ranking is BM25 with all terms required; ties are broken by id, so results are stable.
 """
 
 from __future__ import annotations
 
 import math
 import re
+import unicodedata
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -20,14 +22,17 @@ from clausemill.plans.session import materialize
 
 K1, B, LEAST_IDF = 1.2, 0.75, 1e-6
 INDEXED, EMBEDDED = ("NORM", "INFORM", "SECTION"), ("NORM", "INFORM")
-# Accented letters and their plain forms, for the tokenizer.
-ACCENTED = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿ"
-PLAIN = "aaaaaaceeeeiiiinooooouuuuyy"
+#: Lower-case letters that decompose into one letter and marks, and that letter; marks of their own are dropped.
+_FOLDED = {c: d[0] for c in map(chr, [*range(0xC0, 0x250), *range(0x370, 0x530), *range(0x1E00, 0x2000)]) if c == c.lower() and len(d := unicodedata.normalize("NFD", c)) > 1 and all(unicodedata.combining(m) for m in d[1:])}
+ACCENTED, PLAIN = "".join(_FOLDED), "".join(_FOLDED.values())
+#: Postings to a file of a stored index.
+FILE_POSTINGS = 2_000_000
 
 
 def tokens(text: Column) -> Column:
     """Lower-cased runs of letters or digits, without accents."""
-    return F.regexp_extract_all(F.translate(F.lower(text), ACCENTED, PLAIN), F.lit(r"([\p{L}\p{N}]+)"), F.lit(1))
+    plain = F.regexp_replace(F.translate(F.lower(text), ACCENTED, PLAIN), r"\p{Mn}+", "")
+    return F.regexp_extract_all(plain, F.lit(r"([\p{L}\p{N}]+)"), F.lit(1))
 
 
 @dataclass
@@ -39,26 +44,32 @@ class Index:
     totals: DataFrame
 
 
-def build_index(segments: DataFrame, query: str | None = None) -> Index:
-    """The index of segments (id, text); with a query, only of its terms.
-
-    Texts are tokenized once. With a query that one scan is written as (id, len, hits), which is narrow, and all that
-    ranking needs is read from there; without one, store the three tables and search them.
-    """
-    words = segments.select("id", tokens(F.col("text")).alias("words"))
-    if query is None:
-        lengths = words.select("id", F.size("words").alias("len"))
-        each = words.select("id", F.posexplode("words").alias("pos", "term"))
-    else:
-        q = parse_query(query)
-        terms = sorted({t for x in (*q.alternatives, *q.phrases, q.excluded) for t in x})
-        placed = F.transform("words", lambda w, i: F.struct(i.alias("pos"), w.alias("term")))
-        scan = materialize(words.select("id", F.size("words").alias("len"), F.filter(placed, lambda x: _match(terms, x["term"])).alias("hits")), "index-scan")
-        lengths, each = scan.select("id", "len"), scan.select("id", F.inline("hits"))
+def build_index(segments: DataFrame) -> Index:
+    """The index of segments (id, text), not yet written."""
+    words = segments.where(F.col("text").isNotNull()).select("id", tokens(F.col("text")).alias("words"))
+    lengths = words.select("id", F.size("words").alias("len"))
+    each = words.select("id", F.posexplode("words").alias("pos", "term"))
     postings = each.groupBy("term", "id").agg(F.count("*").alias("tf"), F.sort_array(F.collect_list("pos")).alias("positions"))
     return Index(postings, lengths, lengths.agg(F.count("*").alias("n"), F.avg("len").alias("avg_len")))
 
 
+def stored_index(segments: DataFrame) -> Index:
+    """The index of segments (id, text), written to the shared folder. A term of most texts is spread over several files."""
+    built = build_index(segments)
+    lengths = materialize(built.lengths, "index-lengths")
+    totals = materialize(lengths.agg(F.count("*").alias("n"), F.avg("len").alias("avg_len"), F.coalesce(F.sum("len"), F.lit(0)).alias("words")), "index-totals")
+    files = max(1, -(-totals.first()["words"] // FILE_POSTINGS))
+    return Index(materialize(built.postings.repartitionByRange(files, "term", "id").sortWithinPartitions("term", "id"), "index-postings"), lengths, totals)
+
+
+def with_arrivals(index: Index, added: DataFrame, gone: DataFrame) -> Index:
+    """The index after segments (id, text) were added and ids (id) taken away: only what is new is tokenized."""
+    more = build_index(added)
+    keep = lambda df: df.join(gone.select("id").unionByName(added.select("id")).distinct(), "id", "left_anti")
+    lengths = keep(index.lengths).unionByName(more.lengths)
+    return Index(keep(index.postings).unionByName(more.postings), lengths, lengths.agg(F.count("*").alias("n"), F.avg("len").alias("avg_len")))
+
+
 @dataclass
 class Query:
     """Alternatives (OR) of required terms; phrases are runs of terms; prefixes end in *; excluded terms follow NOT."""
@@ -174,12 +185,19 @@ def knn_join(vectors: DataFrame, queries: DataFrame, k: int, block: int = 1024)
                 m, own = np.stack(v["embedding"].to_numpy()).astype(np.float64), v["id"].to_numpy()
                 d = np.sqrt(np.maximum((q**2).sum(1)[:, None] + (m**2).sum(1)[None] - 2 * q @ m.T, 0))
                 d[ids[:, None] == own[None]] = np.inf
-                take = np.lexsort((np.broadcast_to(own, d.shape), np.round(d, 9)), axis=1)[:, : k + 1]
-                yield pd.DataFrame({"query_id": np.repeat(ids, take.shape[1]), "id": own[take].ravel(), "distance": np.take_along_axis(d, take, 1).ravel()})
+                d = np.round(d, 9)
+                most = min(k, d.shape[1]) - 1
+                # only what can be among the k best is sorted; equal distances at the end are all kept until ids decide
+                row, col = np.nonzero(d <= np.partition(d, most, axis=1)[:, most : most + 1])
+                o = np.lexsort((own[col], d[row, col], row))
+                row, col = row[o], col[o]
+                keep = np.arange(row.size) - np.searchsorted(row, row) < k
+                row, col = row[keep], col[keep]
+                yield pd.DataFrame({"query_id": ids[row], "id": own[col], "distance": d[row, col]})
 
         out.append(vectors.select("id", "embedding").mapInPandas(run, "query_id long, id long, distance double"))
-    merged = out[0]
-    for o in out[1:]:
+    merged = vectors.select(F.col("id").cast("bigint").alias("query_id"), F.col("id").cast("bigint").alias("id"), F.lit(0.0).alias("distance")).limit(0)
+    for o in out:
         merged = merged.unionByName(o)
     near = F.round("distance", 9)
     w = Window.partitionBy("query_id").orderBy(near, "id")
@@ -218,6 +236,28 @@ def section_rows(segments: DataFrame, norm: str, section: str = "", version: str
     return (rows.where(F.col("type").isin(*types)) if types else rows).orderBy("page", "id")
 
 
+def get_segment(segments: DataFrame, key: str, id_: object) -> DataFrame:
+    """The rows with this key, each with found = true; one row of nulls with found = false if there are none."""
+    hit = segments.where(F.col(key) == id_).withColumn("found", F.lit(True))
+    asked = segments.sparkSession.range(1).select(F.lit(id_).alias("__asked"))
+    return asked.join(hit, F.col("__asked") == F.col(key), "left").drop("__asked").withColumn("found", F.coalesce("found", F.lit(False)))
+
+
+def totals(catalogue_rows: DataFrame) -> DataFrame:
+    """(norms, segments, embedded) of a catalogue."""
+    return catalogue_rows.agg(F.count("*").alias("norms"), F.sum("segments").alias("segments"), F.sum("embedded").alias("embedded"))
+
+
+def reciprocal_ranks(lists: Sequence[DataFrame], limit: int, k: int = 60) -> DataFrame:
+    """(id, score): bounded result lists (id, score) fused by the sum of 1 / (k + rank), an alternative to weighted scores."""
+    w = Window.orderBy(F.desc("score"), "id")
+    ranked = [x.select("id", (1.0 / (k + F.row_number().over(w))).alias("part")) for x in lists]
+    both = ranked[0]
+    for r in ranked[1:]:
+        both = both.unionByName(r)
+    return top(both.groupBy("id").agg(F.sum("part").alias("score")), limit)
+
+
 def contents(segments: DataFrame, norm: str, depth: int = 3, version: str | None = None) -> DataFrame:
     rows = section_rows(segments, norm, version=version, types=["SECTION"])
     return rows.where(F.size(F.split("section", r"\.")) <= depth)
@@ -228,6 +268,6 @@ def catalogue(segments: DataFrame) -> DataFrame:
     count = lambda t: F.count_if(F.col("type") == t)
     rolled = segments.groupBy("norm", "version").agg(
         F.count("*").alias("segments"), count("NORM").alias("norm_count"), count("INFORM").alias("inform_count"), count("SECTION").alias("section_count"),
-        F.sum("has_embedding").alias("embedded"), F.min_by("text", F.when((F.col("type") == "SECTION") & (F.col("section") == "1"), F.struct("id", "row_nr"))).alias("title"),
+        F.sum("has_embedding").alias("embedded"), F.min_by("text", F.when((F.col("type") == "SECTION") & (F.col("section") == "0"), F.struct("id", "row_nr"))).alias("title"),
     )
     return rolled

@@ -1,12 +1,10 @@
-"""Sections against pages: range joins, coverage, frequencies of titles, paragraph classes."""
+"""Sections against pages: range joins, coverage, frequencies of titles."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clausemill.functions.text import MODALS
-
 # Titles that are the same in every document, and notes.
 USUAL = r"(?i)Intellectual Property|Essential patents|Important Notice|Modal verbs terminology|Foreword|Introduction"
 NOTE = r"(?i)\(informative\)|^NOTE\b|^EXAMPLE\b"
@@ -35,17 +33,6 @@ def section_class(title: Column, num: Column) -> Column:
     return F.when(title.rlike(USUAL), "boilerplate").when(num.rlike(r"^(?i:annex\s+)?[A-Z](\.|$)"), "annex").when(title.rlike(NOTE), "inform").otherwise("norm")
 
 
-def paragraph_class(style: Column, text: Column, bold: Column) -> Column:
-    """Class of a word-processor paragraph: by its style, else by its form."""
-    s, t = F.lower(F.coalesce(style, F.lit(""))), F.trim(text)
-    return (
-        F.when(t == "", "OTHER").when(s.rlike(r"^(heading|h)\s?\d|^annex"), "SECTION").when(s.rlike(r"^toc|^tt$"), "TOC").when(s.rlike(r"^(header|footer|zchsm)"), "HEADER")
-        .when(s.rlike(r"^(no|ex|note|example)\b") | t.rlike(r"^(NOTE|EXAMPLE)\b"), "INFORM").when(t.rlike(r"[.\s]{4,}\d{1,4}$"), "TOC")
-        .when((bold >= 0.5) & t.rlike(r"^(?:[A-Z]|\d+)(?:\.\d+)*\s+\S"), "SECTION").when(s.rlike(r"^(th|tf|caption)") | t.rlike(r"^(Table|Figure)\s+[\dA-Z]"), "TABLE")
-        .when(t.rlike(MODALS), "NORM").otherwise("OTHER")
-    )
-
-
 def title_frequencies(toc: DataFrame, top: int = 40) -> DataFrame:
     """The most frequent top-level titles (a top-k report)."""
     rows = toc.where(F.col("title").isNotNull() & F.col("num").rlike(r"^(\d+|[A-Z])$"))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -50,11 +53,21 @@ def boundary_candidates(rows: DataFrame, short: int = 120) -> DataFrame:
     return out.where(both & (F.length("text") < short) & ~F.rtrim("text").rlike(r"[.!?:;]$")).select("id", "next_id")
 
 
-def even_sample(rows: DataFrame, group: str, order: list[str], n: int) -> DataFrame:
-    """n rows of each group at even distances in its order (the operator is a sample)."""
-    w, all_ = Window.partitionBy(group).orderBy(*order), Window.partitionBy(group)
-    k, step = F.row_number().over(w) - 1, F.greatest(F.floor(F.count("*").over(all_) / n), F.lit(1))
-    return rows.withColumn("__k", k).withColumn("__step", step).where((F.col("__k") % F.col("__step") == 0) & (F.col("__k") / F.col("__step") < n)).drop("__k", "__step")
+def even_sample(rows: DataFrame, group: str, order: str, n: int, width: int = 10_000) -> DataFrame:
+    """n rows of each group at even distances in its order (the operator is a sample).
+
+    order is one whole-numbered column. Rows fall into ranges of `width` of its values; ranges are counted first, so that a
+    row's place is its place in its range plus what lies before, and a group that holds most rows is spread over tasks.
+    """
+    ranged = rows.withColumn("__range", F.floor(F.col(order) / width))
+    sizes = ranged.groupBy(group, "__range").agg(F.count("*").alias("__size"))
+    w = Window.partitionBy(group).orderBy("__range")
+    placed = sizes.withColumn("__before", F.sum("__size").over(w) - F.col("__size")).withColumn("__all", F.sum("__size").over(Window.partitionBy(group))).drop("__size")
+    both = ranged.join(placed, [group, "__range"])
+    k = F.row_number().over(Window.partitionBy(group, "__range").orderBy(order)) - 1 + F.col("__before")
+    step = F.greatest(F.floor(F.col("__all") / n), F.lit(1))
+    out = both.withColumn("__k", k).withColumn("__step", step)
+    return out.where((F.col("__k") % F.col("__step") == 0) & (F.col("__k") / F.col("__step") < n)).select(*rows.columns)
 
 
 def contents_mode(pages: DataFrame, threshold: int = 3, most: int = 6) -> DataFrame:
@@ -84,17 +97,28 @@ def merged_tables(tables: DataFrame) -> DataFrame:
 
 
 def virtual_pages(paragraphs: DataFrame, most: int = 3000) -> DataFrame:
-    """(doc, pos, page): a page is full once its characters reach `most`. A resetting sum: one fold over a document's lengths."""
-    lengths = F.sort_array(F.collect_list(F.struct("pos", F.length("text").alias("n"))))
-    zero = F.struct(F.lit(1).alias("page"), F.lit(0).alias("sum"), F.array().cast("array<struct<pos:bigint,page:int>>").alias("out"))
+    """(doc, pos, page): a page is full once its characters reach `most`; a null text has none.
 
-    def step(acc: Column, x: Column) -> Column:
-        total, here = acc["sum"] + x["n"], F.struct(x["pos"].cast("bigint").alias("pos"), acc["page"].alias("page"))
-        full = total >= most
-        return F.struct((acc["page"] + full.cast("int")).alias("page"), F.when(full, 0).otherwise(total).alias("sum"), F.concat(acc["out"], F.array(here)).alias("out"))
-
-    folded = paragraphs.groupBy("doc").agg(F.aggregate(lengths, zero, step, lambda a: a["out"]).alias("p"))
-    return folded.select("doc", F.inline("p"))
+    A sum that starts again is a fold: partitions are sorted by document and position and passed through once, and only the
+    lengths travel.
+    """
+    kinds = dict(paragraphs.dtypes)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        doc, page, held = None, 1, 0
+        for b in batches:
+            pages = []
+            for d, n in zip(b["doc"].tolist(), b["n"].tolist()):
+                if d != doc:
+                    doc, page, held = d, 1, 0
+                pages.append(page)
+                held += n
+                if held >= most:
+                    page, held = page + 1, 0
+            yield pd.DataFrame({"doc": b["doc"], "pos": b["pos"], "page": pages})
+
+    rows = paragraphs.where("doc IS NOT NULL").select("doc", "pos", F.coalesce(F.length("text"), F.lit(0)).alias("n"))
+    return rows.repartition("doc").sortWithinPartitions("doc", "pos").mapInPandas(run, f"doc {kinds['doc']}, pos {kinds['pos']}, page int")
 
 
 def milestone_state(milestones: DataFrame, upcoming: int = 3) -> DataFrame:

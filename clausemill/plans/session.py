@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 #: Broadcasts are only asked for below this many rows of a side whose rows have a bounded width.
 BROADCAST_ROWS = 200_000
 _written: list[str] = []
+_released = 0
 
 
 def build_session(name: str = "clausemill", cores: str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -62,6 +63,8 @@ def free_shuffles(spark: SparkSession) -> None:
 
 def release(spark: SparkSession) -> int:
     """Delete the tables this process has materialised, once no result that reads them is needed any more."""
+    global _released
+    _released += 1
     gone, jvm = 0, spark.sparkContext._jvm
     while _written:
         path = jvm.org.apache.hadoop.fs.Path(_written.pop())
@@ -69,5 +72,10 @@ def release(spark: SparkSession) -> int:
     return gone
 
 
+def generation() -> int:
+    """How often tables have been released: what is kept of them from one query to the next belongs to one generation."""
+    return _released
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

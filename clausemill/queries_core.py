@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from clausemill.functions import embedding
 from clausemill.functions import identifiers as I
 from clausemill.functions import text as T
-from clausemill.operators import graph, incremental, merge, profiles, retrieval, sections, sequences
-from clausemill.plans.session import table
+from clausemill.functions import web
+from clausemill.operators import graph, incremental, profiles, retrieval, sections, sequences
+from clausemill.plans.session import generation, materialize, table
 from clausemill.sources import exports
 
 QUERIES, SQL = {}, {}
@@ -140,12 +141,6 @@ def text_regex_search(spark, d):
 # ---- segments and sequences
 
 
-@query()
-def merge_short_segments(spark, d):
-    rows = _segments(spark, d, F.col("source_file").alias("doc"), F.col("row_nr").alias("pos"), "id", "type", "page", "section", "text", F.col("normative_keywords").alias("keywords"))
-    return merge.merge_short(rows.where("doc IS NOT NULL"))
-
-
 @query("""SELECT norm, arg_max(version, (k, source_file, version)) AS version, arg_max(source_file, (k, source_file, version)) AS source_file FROM (
   SELECT norm, version, source_file, list_transform(regexp_extract_all(version, '[0-9]+'), lambda x: CAST(x AS INT)) AS k FROM spec_docs WHERE norm IS NOT NULL AND regexp_full_match(version, 'v[0-9]+\\.[0-9]+\\.[0-9]+')) GROUP BY norm""")
 def seq_latest_versions(spark, d):
@@ -191,15 +186,15 @@ def seq_paragraph_islands(spark, d):
 
 
 @query(rf"""WITH s AS ({_POS}), n AS (SELECT *, lead(id) OVER w AS next_id, lead(type) OVER w AS next_type FROM s WINDOW w AS (PARTITION BY doc ORDER BY pos))
-SELECT id, next_id FROM n WHERE type IN ('NORM', 'INFORM') AND next_type IN ('NORM', 'INFORM') AND length(text) < 120 AND NOT regexp_matches(rtrim(text), '[.!?:;]$')""")
+SELECT id, next_id FROM n WHERE type IN ('NORM', 'INFORM') AND next_type IN ('NORM', 'INFORM') AND length(text) < 400 AND NOT regexp_matches(rtrim(text), '[.!?:;]$')""")
 def seq_boundary_candidates(spark, d):
-    return sequences.boundary_candidates(_placed(spark, d))
+    return sequences.boundary_candidates(_placed(spark, d), 400)
 
 
 @query("""WITH s AS (SELECT row_nr, norm, row_number() OVER (PARTITION BY norm ORDER BY row_nr) - 1 AS k, greatest(count(*) OVER (PARTITION BY norm) // 5, 1) AS step FROM segments WHERE norm IS NOT NULL)
 SELECT row_nr, norm FROM s WHERE k % step = 0 AND k / step < 5""")
 def seq_even_sample(spark, d):
-    return sequences.even_sample(_segments(spark, d, "row_nr", "norm").where("norm IS NOT NULL"), "norm", ["row_nr"], 5)
+    return sequences.even_sample(_segments(spark, d, "row_nr", "norm").where("norm IS NOT NULL"), "norm", "row_nr", 5)
 
 
 @query("""WITH p AS (SELECT source_file AS doc, page, count(*) AS n_lines FROM segments WHERE source_file IS NOT NULL AND page IS NOT NULL AND type = 'SECTION' GROUP BY 1, 2),
@@ -212,14 +207,9 @@ def seq_contents_mode(spark, d):
     return sequences.contents_mode(rows.groupBy("doc", "page").agg(F.count("*").alias("n_lines")))
 
 
-@query()
-def seq_virtual_pages(spark, d):
-    return sequences.virtual_pages(_placed(spark, d).select("doc", "pos", "text"))
-
-
 # ---- retrieval
 
-_TOKENS = """tok AS (SELECT row_nr AS id, regexp_extract_all(translate(lower(text), 'àáâãäåçèéêëìíîïñòóôõöùúûüýÿ', 'aaaaaaceeeeiiiinooooouuuuyy'), '[\\p{L}\\p{N}]+') AS w FROM segments WHERE type IN ('NORM', 'INFORM', 'SECTION') AND text IS NOT NULL),
+_TOKENS = """tok AS (SELECT row_nr AS id, regexp_extract_all(strip_accents(lower(text)), '[\\p{L}\\p{N}]+') AS w FROM segments WHERE type IN ('NORM', 'INFORM', 'SECTION') AND text IS NOT NULL),
 len AS (SELECT id, len(w) AS len FROM tok), tot AS (SELECT count(*) AS n, avg(len) AS avg_len FROM len),
 post AS (SELECT id, term, count(*) AS tf FROM (SELECT id, unnest(w) AS term FROM tok) GROUP BY 1, 2)"""
 
@@ -230,8 +220,28 @@ score AS (SELECT id, sum(CASE WHEN ln((n - df + 0.5) / (df + 0.5)) <= 0 THEN 1e-
   FROM hit JOIN df USING (slot) JOIN len USING (id), tot GROUP BY id HAVING count(*) >= {n}) SELECT id, round(score, 6) AS score FROM score WHERE {where}"""
 
 
+_stored: dict = {}
+
+
+def _kept(spark, d, what, make):
+    """What is written once for all queries of a session over these tables."""
+    key = (spark.sparkContext.applicationId, generation(), d, what)
+    if key not in _stored:
+        _stored[key] = make()
+    return _stored[key]
+
+
+def _index(spark, d):
+    return _kept(spark, d, "index", lambda: retrieval.stored_index(_indexed(spark, d)))
+
+
+def _vectors(spark, d):
+    rows = _indexed(spark, d).where(F.col("type").isin(*retrieval.EMBEDDED)).select("id", embedding.embed("text").alias("embedding"))
+    return _kept(spark, d, "vectors", lambda: materialize(rows, "index-vectors"))
+
+
 def _searched(spark, d, query):
-    return retrieval.bm25(retrieval.build_index(_indexed(spark, d), query), query)
+    return retrieval.bm25(_index(spark, d), query)
 
 
 @query("WITH " + _bm25_sql("CASE WHEN term IN ('escrow', 'agreement', 'ledger') THEN term END", 3))
@@ -262,23 +272,46 @@ def search_nearest_vectors(spark, d):
     return retrieval.knn_join(v, v.where("id % 20 = 0"), 10).select("query_id", "id", "rank")
 
 
-def _query_vector(spark, d):
-    return table(spark, d, "embeddings").orderBy("vec_id").select("embedding").first()[0]
+_VEC = """vw AS (SELECT id, term AS w, tf FROM post WHERE false), vr AS (SELECT row_nr AS id, unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+')) AS w FROM segments WHERE type IN ('NORM', 'INFORM') AND text IS NOT NULL UNION ALL SELECT -1, unnest(['escrow', 'ledger'])),
+vp AS (SELECT id, 16 * ((strpos('0123456789abcdef', md5(w)[1]) - 1) % 4) + strpos('0123456789abcdef', md5(w)[2]) - 1 AS at_, CASE WHEN md5(w)[3] < '8' THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END AS s FROM vr),
+vs AS (SELECT id, at_, sum(s) AS s FROM vp GROUP BY 1, 2), vn AS (SELECT id, sqrt(sum(s * s)) AS n FROM vs GROUP BY 1),
+ve AS (SELECT id, list_transform(range(0, 64), lambda k: coalesce(m[k], 0)::FLOAT) AS embedding FROM (SELECT id, map(list(at_), list(s / greatest(n, 1e-12))) AS m FROM vs JOIN vn USING (id) GROUP BY 1))"""
 
 
-@query("WITH qv AS (SELECT embedding AS e FROM embeddings ORDER BY vec_id LIMIT 1), " + _bm25_sql("CASE WHEN term IN ('escrow', 'ledger') THEN term END", 2).replace("SELECT id, round(score, 6) AS score FROM score WHERE true", """, lx AS (SELECT id, score FROM score ORDER BY score DESC, id LIMIT 40), ln AS (SELECT id, score / max(score) OVER () AS b FROM lx),
-vx AS (SELECT vec_id AS id, 1 - sqrt(list_sum(list_transform(list_zip(qv.e, v.embedding), lambda x: (x[1]::DOUBLE - x[2]::DOUBLE) * (x[1]::DOUBLE - x[2]::DOUBLE)))) / 2 AS c FROM embeddings v, qv ORDER BY c DESC, vec_id LIMIT 40),
+@query("WITH " + _bm25_sql("CASE WHEN term IN ('escrow', 'ledger') THEN term END", 2).replace("SELECT id, round(score, 6) AS score FROM score WHERE true", ", " + _VEC + """, qv AS (SELECT embedding AS e FROM ve WHERE id = -1), lx AS (SELECT id, score FROM score ORDER BY score DESC, id LIMIT 40), ln AS (SELECT id, score / max(score) OVER () AS b FROM lx),
+vx AS (SELECT id, 1 - sqrt(list_sum(list_transform(list_zip(qv.e, v.embedding), lambda x: (x[1]::DOUBLE - x[2]::DOUBLE) * (x[1]::DOUBLE - x[2]::DOUBLE)))) / 2 AS c FROM ve v, qv WHERE id >= 0 ORDER BY round(c, 9) DESC, id LIMIT 40),
 f AS (SELECT coalesce(ln.id, vx.id) AS id, coalesce(b, 0) AS b, coalesce(c, 0) AS c FROM ln FULL JOIN vx ON ln.id = vx.id)
 SELECT id, round(b, 6) AS bm25, round(c, 6) AS cosine, round(0.5 * b + 0.5 * c, 4) AS score FROM f ORDER BY score DESC, id LIMIT 20"""))
 def search_hybrid(spark, d):
-    vectors = table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
     lexical = retrieval.normalized(retrieval.top(_searched(spark, d, "escrow ledger"), 40))
-    out = retrieval.hybrid(lexical, retrieval.vector_scores(vectors, _query_vector(spark, d), 40), 20)
+    near = retrieval.vector_scores(_vectors(spark, d), embedding.hashed("escrow ledger").tolist(), 40)
+    out = retrieval.hybrid(lexical, near, 20)
     return out.select("id", F.round("bm25", 6).alias("bm25"), F.round("cosine", 6).alias("cosine"), "score")
 
 
+@query("""SELECT row_nr, id, norm, page, text, true AS found FROM segments WHERE id = (SELECT min(id) FROM segments) UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, false""")
+def lookup_segment(spark, d):
+    rows = _segments(spark, d, "row_nr", "id", "norm", "page", "text")
+    first = rows.agg(F.min("id")).first()[0]
+    return retrieval.get_segment(rows, "id", first).unionByName(retrieval.get_segment(rows, "id", "no such segment"))
+
+
+@query("SELECT count(*) AS norms, CAST(sum(n) AS BIGINT) AS segments, CAST(sum(e) AS BIGINT) AS embedded FROM (SELECT norm, version, count(*) AS n, sum(has_embedding) AS e FROM segments GROUP BY ALL)")
+def lookup_totals(spark, d):
+    return retrieval.totals(retrieval.catalogue(_segments(spark, d, "row_nr", "id", "norm", "version", "type", "section", "text", "has_embedding")))
+
+
+@query("WITH " + _bm25_sql("CASE WHEN term IN ('notarial', 'beacon') THEN term END", 1).replace("SELECT id, round(score, 6) AS score FROM score WHERE true", """, df2 AS (SELECT term, count(DISTINCT id) AS df FROM post WHERE term IN ('escrow', 'ledger') GROUP BY 1),
+s2 AS (SELECT id, sum(CASE WHEN ln((n - df + 0.5) / (df + 0.5)) <= 0 THEN 1e-6 ELSE ln((n - df + 0.5) / (df + 0.5)) END * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len / avg_len))) AS score FROM post JOIN df2 USING (term) JOIN len USING (id), tot GROUP BY id HAVING count(*) >= 2),
+a AS (SELECT id, row_number() OVER (ORDER BY score DESC, id) AS r FROM score), b AS (SELECT id, row_number() OVER (ORDER BY score DESC, id) AS r FROM s2)
+SELECT id, round(sum(1.0::DOUBLE / (60 + r)), 6) AS score FROM (SELECT * FROM a WHERE r <= 100 UNION ALL SELECT * FROM b WHERE r <= 100) GROUP BY 1 ORDER BY sum(1.0::DOUBLE / (60 + r)) DESC, id LIMIT 20"""))
+def search_fused_ranks(spark, d):
+    lists = [retrieval.top(_searched(spark, d, q), 100) for q in ("notarial OR beacon", "escrow ledger")]
+    return retrieval.reciprocal_ranks(lists, 20).withColumn("score", F.round("score", 6))
+
+
 @query("""SELECT norm, version, count(*) AS segments, count(*) FILTER (type = 'NORM') AS norm_count, count(*) FILTER (type = 'INFORM') AS inform_count, count(*) FILTER (type = 'SECTION') AS section_count, CAST(sum(has_embedding) AS BIGINT) AS embedded,
-  arg_min(text, (id, row_nr)) FILTER (type = 'SECTION' AND section = '1') AS title FROM segments GROUP BY ALL""")
+  arg_min(text, (id, row_nr)) FILTER (type = 'SECTION' AND section = '0') AS title FROM segments GROUP BY ALL""")
 def lookup_catalogue(spark, d):
     return retrieval.catalogue(_segments(spark, d, "row_nr", "id", "norm", "version", "type", "section", "text", "has_embedding"))
 
@@ -294,25 +327,6 @@ def lookup_contents(spark, d):
     return retrieval.contents(table(spark, d, "segments"), "en 388", 2).select("row_nr", "norm", "version", "section", "text")
 
 
-_ASKED = ("337792", "ETSI EN 388 314", "ts 137 437", "164-205", "EN 337 792", "no such")
-
-
-@query("""WITH n AS (SELECT DISTINCT norm, lower(norm) AS l, regexp_replace(norm, '[\\s/-]', '', 'g') AS b FROM segments WHERE norm IS NOT NULL)
-SELECT * FROM (SELECT '337792' AS asked, (SELECT coalesce(arg_min(norm, (CASE WHEN contains(l, '337792') THEN 0 WHEN contains(l, '337 792') THEN 2 ELSE 3 END, norm)), '337792') FROM n WHERE contains(l, '337792') OR contains(l, '337 792') OR contains(b, '337792')) AS norm
-UNION ALL SELECT 'ETSI EN 388 314', (SELECT coalesce(arg_min(norm, (CASE WHEN contains(l, 'etsi en 388 314') THEN 0 WHEN contains(l, 'en 388 314') THEN 1 WHEN contains(l, '388 314') THEN 2 ELSE 3 END, norm)), 'ETSI EN 388 314') FROM n WHERE contains(l, '388 314') OR contains(b, '388314'))
-UNION ALL SELECT 'ts 137 437', (SELECT coalesce(arg_min(norm, (CASE WHEN contains(l, 'ts 137 437') THEN 0 WHEN contains(l, '137 437') THEN 2 ELSE 3 END, norm)), 'ts 137 437') FROM n WHERE contains(l, '137 437') OR contains(b, '137437'))
-UNION ALL SELECT '164-205', (SELECT coalesce(arg_min(norm, (CASE WHEN contains(l, '164-205') THEN 0 WHEN contains(l, '164 205') THEN 2 ELSE 3 END, norm)), '164-205') FROM n WHERE contains(l, '164-205') OR contains(l, '164 205') OR contains(b, '164205'))
-UNION ALL SELECT 'EN 337 792', (SELECT coalesce(arg_min(norm, (CASE WHEN contains(l, 'en 337 792') THEN 0 WHEN contains(l, '337 792') THEN 2 ELSE 3 END, norm)), 'EN 337 792') FROM n WHERE contains(l, '337 792') OR contains(b, '337792'))
-UNION ALL SELECT 'no such', 'no such')""")
-def lookup_resolved_names(spark, d):
-    norms = _segments(spark, d, "norm").distinct()
-    out = None
-    for a in _ASKED:
-        one = incremental.resolve(norms, a).select(F.lit(a).alias("asked"), "norm")
-        out = one if out is None else out.unionByName(one)
-    return out
-
-
 # ---- references and the graph
 
 _SPEC = r"(?i)(?:^|[^A-Za-z])((?:EN|TS|TR|ES|EG|SR)\s+\d{3}\s*\d{3}(?:-\d+)?)"
@@ -367,6 +381,26 @@ def graph_reachable(spark, d):
     return graph.reachable(e, e.where("from_id LIKE 'en_337%'").select(F.col("from_id").alias("id")).where(F.col("id").startswith("en_337")), 3)
 
 
+@query(rf"""WITH c AS (SELECT DISTINCT regexp_replace(regexp_replace(upper(r[1:2]) || r[3:], '\s+', ' ', 'g'), '(\d{{3}}) ?(\d{{3}})', '\1 \2') AS ref FROM (SELECT unnest(regexp_extract_all(text, '{_SPEC}', 1)) AS r FROM documents WHERE text IS NOT NULL))
+SELECT ref, coalesce((SELECT max('?WKI_ID=' || wki_id) FROM norm_catalog k WHERE k.norm = ref), 'https://www.etsi.org/standards#page=1&search=' || replace(ref, ' ', '+')) AS url FROM c""")
+def graph_urls(spark, d):
+    cited = graph.reference_rows(table(spark, d, "documents").select("doc_id", "text"), "doc_id").where("source = 'spec'").select("ref", "source").distinct()
+    known = table(spark, d, "norm_catalog").groupBy(F.col("norm").alias("ref")).agg(F.max(F.concat(F.lit("?WKI_ID="), "wki_id")).alias("known"))
+    return cited.join(known, "ref", "left").select("ref", web.document_url(F.col("ref"), F.col("source"), F.col("known")).alias("url"))
+
+
+@query(f"WITH {_EDGES}, h AS (SELECT lower(trim(source_file)) AS id, min(title) AS title FROM spec_docs WHERE source_file IS NOT NULL GROUP BY 1), x AS (SELECT from_id AS id FROM e UNION SELECT to_id FROM e) SELECT id, known, title FROM (SELECT id, true AS known, CASE WHEN title <> '' THEN title END AS title FROM h UNION ALL SELECT id, false, NULL FROM x WHERE id NOT IN (SELECT id FROM h))")
+def graph_titled_nodes(spark, d):
+    docs = table(spark, d, "spec_docs")
+    return graph.titled_nodes(graph.graph_nodes(docs, _edges(spark, d)), docs.where("source_file IS NOT NULL").select(F.lower(F.trim("source_file")).alias("id"), "title"))
+
+
+@query("SELECT source, count(*) AS n, list(id ORDER BY id) AS ids FROM (SELECT DISTINCT lower(trim(source_file)) AS id, source_format AS source FROM spec_docs WHERE source_file IS NOT NULL AND source_format IS NOT NULL) GROUP BY 1")
+def graph_nodes_by_source(spark, d):
+    docs = table(spark, d, "spec_docs").where("source_file IS NOT NULL AND source_format IS NOT NULL")
+    return graph.nodes_by_source(docs.select(F.lower(F.trim("source_file")).alias("id"), F.col("source_format").alias("source")).distinct())
+
+
 # ---- profiles and gates
 
 
@@ -407,13 +441,6 @@ def profile_documents(spark, d):
     return profiles.document_metrics(_segments(spark, d, "source_file", "type", "section"))
 
 
-@query("""SELECT DISTINCT source_file, array_to_string(f, '; ') AS findings, CASE WHEN list_contains(f, 'no norm') OR list_contains(f, 'few pages') THEN 'error' WHEN len(f) > 0 THEN 'warn' ELSE 'ok' END AS status
-FROM (SELECT source_file, list_filter([CASE WHEN version IS NULL OR version = 'vX.X.X' THEN 'no version' END, CASE WHEN norm IS NULL THEN 'no norm' END, CASE WHEN shortname IS NULL THEN 'no shortname' END,
-  CASE WHEN page_count IS NULL OR page_count < 3 THEN 'few pages' END], lambda x: x IS NOT NULL) AS f FROM spec_docs)""")
-def gate_ingest(spark, d):
-    return profiles.ingest_findings(table(spark, d, "spec_docs"))
-
-
 @query("""WITH s AS (SELECT count(*) FILTER (text IS NOT NULL) AS n, median(length(text)) AS m, sum(has_embedding) / count(*) AS e FROM segments WHERE type IN ('NORM', 'INFORM'))
 SELECT 'segments' AS "check", CAST(n AS DOUBLE) AS value, n >= 1000 AS ok FROM s UNION ALL SELECT 'median length', m, m >= 150 FROM s UNION ALL SELECT 'embedded', round(e, 6), e >= 0.95 FROM s""")
 def gate_health(spark, d):
@@ -423,10 +450,10 @@ def gate_health(spark, d):
 # ---- incremental
 
 
-@query("SELECT DISTINCT source_file FROM spec_docs WHERE source_file IS NOT NULL AND source_file NOT IN (SELECT source_file FROM segments WHERE source_file IS NOT NULL)")
+@query("SELECT DISTINCT source_file FROM spec_docs WHERE source_file IS NOT NULL AND source_file NOT IN (SELECT source_file FROM segments WHERE source_file IS NOT NULL AND has_embedding = 1 AND type = 'INFORM')")
 def incremental_unindexed(spark, d):
     docs = table(spark, d, "spec_docs").where("source_file IS NOT NULL").select("source_file").distinct()
-    return docs.join(_segments(spark, d, "source_file"), "source_file", "left_anti")
+    return docs.join(_segments(spark, d, "source_file", "type", "has_embedding").where("has_embedding = 1 AND type = 'INFORM'"), "source_file", "left_anti")
 
 
 @query("""SELECT source_file, CAST(epoch(TIMESTAMPTZ '2026-06-01 00:00:00+00') AS BIGINT) - CAST(floor(epoch(ingested_at)) AS BIGINT) AS age, CAST(epoch(TIMESTAMPTZ '2026-06-01 00:00:00+00') AS BIGINT) - CAST(floor(epoch(ingested_at)) AS BIGINT) < 28800 AS fresh FROM spec_docs""")
@@ -435,18 +462,13 @@ def incremental_freshness(spark, d):
     return incremental.freshness(rows, "2026-06-01 00:00:00").select("source_file", F.col("age").cast("long").alias("age"), "fresh")
 
 
-@query("""SELECT alias, norm, min(t) AS alias_type FROM (
-SELECT regexp_replace(norm, '[\\s-]', '', 'g') AS alias, norm, 'short' AS t FROM segments WHERE norm IS NOT NULL UNION ALL SELECT regexp_replace(norm, '^[A-Z]+ ', ''), norm, 'number' FROM segments WHERE norm IS NOT NULL
-UNION ALL SELECT shortname, norm, 'shortname' FROM spec_docs WHERE norm IS NOT NULL AND shortname IS NOT NULL UNION ALL SELECT concat_ws(' ', norm, version), norm, 'full' FROM spec_docs WHERE norm IS NOT NULL AND shortname IS NOT NULL
-UNION ALL SELECT source_file, norm, 'file' FROM spec_docs WHERE norm IS NOT NULL AND shortname IS NOT NULL) WHERE alias IS NOT NULL AND alias <> '' AND alias <> norm GROUP BY 1, 2""")
-def incremental_aliases(spark, d):
-    return incremental.build_aliases(_segments(spark, d, "norm"), table(spark, d, "spec_docs").select("norm", "shortname", "version", "source_file"))
-
-
 @query("""SELECT id, row_nr, norm, version FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY ingested_at DESC NULLS LAST, row_nr DESC) AS r FROM segments WHERE id IS NOT NULL) WHERE r = 1""")
 def incremental_upsert(spark, d):
     rows = _segments(spark, d, "id", "row_nr", "norm", "version", "ingested_at").where("id IS NOT NULL")
-    return incremental.upsert(rows.limit(0), rows, ["id"], ["ingested_at", "row_nr"]).select("id", "row_nr", "norm", "version")
+    late = F.col("ingested_at") >= F.lit("2025-09-01").cast("timestamp")
+    old, new = rows.where(~late | late.isNull()), rows.where(late)
+    first = incremental.upsert(old.limit(0), old, ["id"], ["ingested_at", "row_nr"])
+    return incremental.upsert(first, new, ["id"], ["ingested_at", "row_nr"]).select("id", "row_nr", "norm", "version")
 
 
 # ---- exports
@@ -459,17 +481,30 @@ def export_asciidoc(spark, d):
     return exports.asciidoc(_segments(spark, d, "row_nr", "source_file", "type", "section", "text"))
 
 
-@query(f"""WITH {_EDGES} SELECT DISTINCT from_id, to_id, regexp_replace(from_id, '\\W', '_', 'g') || CASE WHEN type = 'normative' THEN ' --> ' ELSE ' -.-> ' END || regexp_replace(to_id, '\\W', '_', 'g') AS line FROM e ORDER BY 1, 2, 3 LIMIT 100""")
+_KINDS = "kd AS (SELECT lower(trim(source_file)) AS id, max(upper(norm[1:2])) AS kind FROM spec_docs WHERE source_file IS NOT NULL AND norm IS NOT NULL GROUP BY 1)"
+
+
+def _kinds(spark, d):
+    docs = table(spark, d, "spec_docs").where("source_file IS NOT NULL AND norm IS NOT NULL")
+    return docs.groupBy(F.lower(F.trim("source_file")).alias("id")).agg(F.max(F.upper(F.left("norm", F.lit(2)))).alias("kind"))
+
+
+@query(f"""WITH {_EDGES}, {_DEG}, {_KINDS}, bz AS (SELECT id FROM deg WHERE in_degree > 2 OR out_degree > 2)
+SELECT 0 AS pos, 'flowchart LR' AS line UNION ALL SELECT pos, line FROM (SELECT DISTINCT 1 AS pos, from_id, to_id, '  ' || translate(from_id, ' -', '__') || '["' || from_id || '"]' || CASE WHEN type = 'normative' THEN ' --> ' ELSE ' -.-> ' END || translate(to_id, ' -', '__') || '["' || to_id || '"]' AS line
+  FROM e WHERE from_id IN (SELECT id FROM bz) AND to_id IN (SELECT id FROM bz) ORDER BY from_id, to_id, line LIMIT 100)
+UNION ALL SELECT DISTINCT 2, '  class ' || translate(id, ' -', '__') || ' ' || lower(kind) FROM bz JOIN kd USING (id) WHERE kind IN ('EN', 'TS', 'TR')""")
 def export_mermaid(spark, d):
-    return exports.mermaid(_edges(spark, d))
+    return exports.mermaid(_edges(spark, d), _kinds(spark, d))
 
 
-@query(f"""WITH {_EDGES}, h AS (SELECT DISTINCT lower(trim(source_file)) AS id FROM spec_docs WHERE source_file IS NOT NULL), x AS (SELECT from_id AS id FROM e UNION SELECT to_id FROM e)
-SELECT 0 AS pos, 'digraph references {{' AS line UNION ALL SELECT 3, '}}' UNION ALL SELECT 1, '  "' || id || '" [style=solid];' FROM h UNION ALL SELECT 1, '  "' || id || '" [style=dashed];' FROM x WHERE id NOT IN (SELECT id FROM h)
-UNION ALL SELECT DISTINCT 2, '  "' || from_id || '" -> "' || to_id || '" [penwidth=' || CASE WHEN type = 'normative' THEN '2' ELSE '1' END || '];' FROM e""")
+@query(f"""WITH {_EDGES}, {_KINDS}, h AS (SELECT DISTINCT lower(trim(source_file)) AS id FROM spec_docs WHERE source_file IS NOT NULL), x AS (SELECT from_id AS id FROM e UNION SELECT to_id FROM e),
+nd AS (SELECT id, 2 AS w FROM h UNION ALL SELECT id, 1 FROM x WHERE id NOT IN (SELECT id FROM h))
+SELECT 0 AS pos, 'digraph references {{ rankdir=LR; node [shape=box, style=filled];' AS line UNION ALL SELECT 3, '}}'
+UNION ALL SELECT 1, '  "' || id || '" [label="' || replace(id, ' ', '\\n') || '", fillcolor="' || coalesce(CASE kind WHEN 'EN' THEN '#4CAF50' WHEN 'TS' THEN '#2196F3' WHEN 'TR' THEN '#FF9800' WHEN 'ES' THEN '#9C27B0' WHEN 'EG' THEN '#795548' WHEN 'SR' THEN '#607D8B' END, '#CCCCCC') || '", penwidth=' || w || '];' FROM nd LEFT JOIN kd USING (id)
+UNION ALL SELECT DISTINCT 2, '  "' || from_id || '" -> "' || to_id || '" [style=' || CASE WHEN type = 'normative' THEN 'solid, color="#333333"' ELSE 'dashed, color="#999999"' END || '];' FROM e""")
 def export_dot(spark, d):
     e = _edges(spark, d)
-    return exports.dot(graph.graph_nodes(table(spark, d, "spec_docs"), e), e)
+    return exports.dot(graph.graph_nodes(table(spark, d, "spec_docs"), e).join(_kinds(spark, d), "id", "left"), e)
 
 
 @query("""SELECT source_file, CAST(sum(n) AS BIGINT) AS segment_count, '{' || string_agg('"' || type || '":' || n, ',' ORDER BY type) || '}' AS type_counts
@@ -569,6 +604,9 @@ def incremental_unembedded(spark, d):
     return embedding.missing(_segments(spark, d, "row_nr", "type", "text", "has_embedding")).select("row_nr", F.length("text").alias("n"))
 
 
-@query()
+@query("""WITH vr AS (SELECT row_nr, unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+')) AS w FROM segments WHERE type IN ('NORM', 'INFORM') AND coalesce(has_embedding, 0) = 0 AND trim(coalesce(text, '')) <> ''),
+vp AS (SELECT row_nr, 16 * ((strpos('0123456789abcdef', md5(w)[1]) - 1) % 4) + strpos('0123456789abcdef', md5(w)[2]) - 1 AS at_, CASE WHEN md5(w)[3] < '8' THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END AS s FROM vr),
+vs AS (SELECT row_nr, at_, sum(s) AS s FROM vp GROUP BY 1, 2), vn AS (SELECT row_nr, sqrt(sum(s * s)) AS n FROM vs GROUP BY 1)
+SELECT row_nr, list_transform(range(0, 64), lambda k: coalesce(m[k], 0)::FLOAT) AS embedding FROM (SELECT row_nr, map(list(at_), list(s / greatest(n, 1e-12))) AS m FROM vs JOIN vn USING (row_nr) GROUP BY 1)""")
 def incremental_embeddings(spark, d):
     return embedding.embed_missing(_segments(spark, d, "row_nr", "type", "text", "has_embedding"))

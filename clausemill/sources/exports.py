@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clausemill.operators.graph import busy_subgraph, degrees
+
 
 def _joined(df: DataFrame, keys: list[str], order: list[str], line: Column) -> DataFrame:
     parts = F.sort_array(F.collect_list(F.struct(*order, line.alias("line"))))
@@ -24,19 +26,41 @@ def asciidoc(segments: DataFrame) -> DataFrame:
     return _joined(kept, ["source_file"], ["row_nr"], F.concat(line, F.lit("\n")))
 
 
+# Colours of a drawing's nodes by type of document.
+COLOURS = {"EN": "#4CAF50", "TS": "#2196F3", "TR": "#FF9800", "ES": "#9C27B0", "EG": "#795548", "SR": "#607D8B"}
+
+
 def dot(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """(pos, line): the lines of a DOT file; known documents solid, stubs dashed; normative edges bold. Write sorted by pos."""
-    n = nodes.select(F.lit(1).alias("pos"), F.format_string('  "%s" [style=%s];', "id", F.when(F.col("known"), "solid").otherwise("dashed")).alias("line"))
-    e = edges.select(F.lit(2).alias("pos"), F.format_string('  "%s" -> "%s" [penwidth=%d];', "from_id", "to_id", F.when(F.col("type") == "normative", 2).otherwise(1)).alias("line"))
-    frame = nodes.sparkSession.createDataFrame([(0, "digraph references {"), (3, "}")], "pos int, line string")
+    """(pos, line): the lines of a DOT file of nodes (id, known, kind) and edges; write them sorted by pos.
+
+    Nodes are coloured by kind and known ones have a bold frame; normative edges are solid and dark, others dashed and pale.
+    """
+    colour = F.lit("#CCCCCC")
+    for kind, c in COLOURS.items():
+        colour = F.when(F.col("kind") == kind, c).otherwise(colour)
+    label = F.replace("id", F.lit(" "), F.lit("\\n"))
+    n = nodes.select(F.lit(1).alias("pos"), F.format_string('  "%s" [label="%s", fillcolor="%s", penwidth=%d];', "id", label, colour, F.when(F.col("known"), 2).otherwise(1)).alias("line"))
+    normative = F.col("type") == "normative"
+    e = edges.select(F.lit(2).alias("pos"), F.format_string('  "%s" -> "%s" [style=%s, color="%s"];', "from_id", "to_id", F.when(normative, "solid").otherwise("dashed"), F.when(normative, "#333333").otherwise("#999999")).alias("line"))
+    frame = nodes.sparkSession.createDataFrame([(0, "digraph references { rankdir=LR; node [shape=box, style=filled];"), (3, "}")], "pos int, line string")
     return frame.unionByName(n).unionByName(e.distinct())
 
 
-def mermaid(edges: DataFrame, most: int = 100) -> DataFrame:
-    """(from_id, to_id, line): the first `most` edges of a drawing, in order (a drawing's limit)."""
+def mermaid(edges: DataFrame, kinds: DataFrame, more_than: int = 2, most: int = 100) -> DataFrame:
+    """(pos, line): the lines of a Mermaid drawing, in order: edges between nodes with many links, then these nodes' classes.
+
+    Only nodes with more than `more_than` links on one side are drawn, and only the first `most` edges (a drawing's limit).
+    kinds (id, kind) gives the class of nodes of the kinds EN, TS and TR.
+    """
+    name = lambda c: F.translate(c, " -", "__")
     arrow = F.when(F.col("type") == "normative", "-->").otherwise("-.->")
-    line = F.concat(F.regexp_replace("from_id", r"\W", "_"), F.lit(" "), arrow, F.lit(" "), F.regexp_replace("to_id", r"\W", "_"))
-    return edges.select("from_id", "to_id", line.alias("line")).distinct().orderBy("from_id", "to_id", "line").limit(most)
+    line = F.format_string('  %s["%s"] %s %s["%s"]', name("from_id"), "from_id", arrow, name("to_id"), "to_id")
+    shown = busy_subgraph(edges, more_than)
+    drawn = shown.select(F.lit(1).alias("pos"), "from_id", "to_id", line.alias("line")).distinct().orderBy("from_id", "to_id", "line").limit(most).select("pos", "line")
+    busy = degrees(edges).where((F.col("in_degree") > more_than) | (F.col("out_degree") > more_than))
+    classes = busy.join(kinds.where(F.col("kind").isin("EN", "TS", "TR")), "id").select(F.lit(2).alias("pos"), F.format_string("  class %s %s", name("id"), F.lower("kind")).alias("line"))
+    head = edges.sparkSession.createDataFrame([(0, "flowchart LR")], "pos int, line string")
+    return head.unionByName(drawn).unionByName(classes.distinct())
 
 
 def envelopes(segments: DataFrame) -> DataFrame:

@@ -19,10 +19,11 @@ def _json(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def segment_files(spark: SparkSession, path: str) -> DataFrame:
-    """(source_file, norm, version, pos, and the segment's fields); a missing norm is the file's stem, a missing version ''."""
+    """(source_file, norm, version, pos, and the segment's fields); a missing norm is the file's stem, a missing version ''.
+    A file without segments gives one row without a pos."""
     doc = _json(spark, path, SEGMENT_FILE)
     norm = F.coalesce("norm", "source_file")
-    return doc.select("source_file", norm.alias("norm"), F.coalesce("version", F.lit("")).alias("version"), F.posexplode("segments").alias("pos", "s")).select("source_file", "norm", "version", "pos", "s.*")
+    return doc.select("source_file", norm.alias("norm"), F.coalesce("version", F.lit("")).alias("version"), F.posexplode_outer("segments").alias("pos", "s")).select("source_file", "norm", "version", "pos", "s.*")
 
 
 def page_files(spark: SparkSession, path: str) -> DataFrame:
@@ -47,3 +48,12 @@ def resources(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """Usable resources, and the deliveries without an id."""
     rows = spark.read.schema(RESOURCE).option("multiLine", True).json(path)
     return rows.where("id IS NOT NULL"), rows.where("id IS NULL")
+
+
+TOC_FILE = "stem string, title string, date string, body_starts_page int, total_pages int, toc_pages array<int>, boilerplate array<string>, toc array<struct<num:string,title:string,page:int,annex_type:string,boilerplate:boolean>>"
+
+
+def toc_files(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Documents, and their contents entries (stem, pos, num, title, page, annex_type, boilerplate)."""
+    docs = _json(spark, path, TOC_FILE).withColumn("stem", F.coalesce("stem", "source_file"))
+    return docs.drop("toc", "source_file"), docs.select("stem", F.posexplode("toc").alias("pos", "e")).select("stem", "pos", "e.*")

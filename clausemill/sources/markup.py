@@ -49,7 +49,7 @@ def docx_paragraphs(files: DataFrame) -> DataFrame:
 
 
 def largest_docx(files: DataFrame) -> DataFrame:
-    """(name, entry, content) of the largest word-processor entry of each archive."""
+    """(name, entry, content) of the largest word-processor entry of each archive; both null for an unreadable archive."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -58,6 +58,7 @@ def largest_docx(files: DataFrame) -> DataFrame:
                 try:
                     z = zipfile.ZipFile(io.BytesIO(bytes(c)))
                 except zipfile.BadZipFile:
+                    got.append((n, None, None))
                     continue
                 found = [i for i in z.infolist() if i.filename.lower().endswith(".docx")]
                 if found:
@@ -169,3 +170,111 @@ def plain_references(text: Column) -> Column:
 def header_fields(html: Column) -> Column:
     """(total, items) of a list page: the stated number of items and how many it links."""
     return F.struct(F.expr("try_cast(regexp_extract(html, 'totalNrItems=([0-9]+)', 1) AS int)").alias("total"), F.size(F.array_distinct(F.regexp_extract_all(html, F.lit(r"(?i)WKI_ID=(\d+)"), F.lit(1)))).alias("items"))
+
+
+class _Tables(HTMLParser):
+    """Rows of cells by table; a cell is its parts between line breaks, each with its text and what of it is grey."""
+
+    GREY = ("708090", "slategray", "slategrey")
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.tables: list[list[list[list[list[str]]]]] = []
+        self.open: list[int] = []
+        self.grey: list[bool] = []
+
+    def _row(self) -> list | None:
+        return self.tables[self.open[-1]][-1] if self.open and self.tables[self.open[-1]] else None
+
+    def handle_starttag(self, tag, attrs):
+        row = self._row()
+        if tag == "table":
+            self.tables.append([])
+            self.open.append(len(self.tables) - 1)
+        elif tag == "tr" and self.open:
+            self.tables[self.open[-1]].append([])
+        elif tag in ("td", "th") and row is not None:
+            row.append([["", ""]])
+        elif tag == "br" and row:
+            row[-1].append(["", ""])
+        elif tag == "font":
+            self.grey.append((dict(attrs).get("color") or "").lower().lstrip("#") in self.GREY)
+
+    def handle_endtag(self, tag):
+        if tag == "table" and self.open:
+            self.open.pop()
+        elif tag == "font" and self.grey:
+            self.grey.pop()
+
+    def handle_data(self, data):
+        row = self._row()
+        if row:
+            row[-1][-1][0] += data
+            row[-1][-1][1] += data if any(self.grey) else ""
+
+
+def _squeeze(s: str) -> str:
+    return re.sub(r"\s+", " ", s).strip()
+
+
+def html_tables(pages: DataFrame, key: str, html: str) -> DataFrame:
+    """(key, table, pos, cells, parts): every table row of each page; parts has, for each cell, the (text, grey) of its lines."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            got = []
+            for k, h in zip(b["key"], b["html"]):
+                p = _Tables()
+                p.feed(h or "")
+                for t, rows in enumerate(p.tables):
+                    for i, row in enumerate(rows):
+                        parts = [[{"text": _squeeze(x), "grey": _squeeze(g)} for x, g in cell] for cell in row]
+                        got.append((k, t, i, [_squeeze(" ".join(x["text"] for x in c)) for c in parts], parts))
+            yield pd.DataFrame(got, columns=["key", "table", "pos", "cells", "parts"])
+
+    schema = "key string, table int, pos int, cells array<string>, parts array<array<struct<text:string,grey:string>>>"
+    return pages.select(F.col(key).cast("string").alias("key"), F.col(html).alias("html")).mapInPandas(run, schema)
+
+
+def milestones(tables: DataFrame) -> DataFrame:
+    """(key, pos, milestone, target, achieved) of the tables whose first row names a milestone and an achieved or actual column."""
+    head = tables.where("pos = 0").select("key", "table", F.transform("cells", F.lower).alias("h"))
+    at = lambda words: F.array_position(F.transform("h", lambda c: F.coalesce(c.rlike(words), F.lit(False))), True).cast("int")
+    cols = head.select("key", "table", at("milestone").alias("m"), at("target|planned").alias("t"), at("achieved|actual").alias("a")).where("m > 0 AND a > 0")
+    rows = tables.where("pos > 0").join(cols, ["key", "table"])
+    cell = lambda i: F.when(F.col(i) > 0, F.try_element_at("cells", F.col(i)))
+    given = lambda c: F.when(~F.coalesce(c, F.lit("")).isin("", "-"), c)
+    out = rows.select("key", F.struct("table", "pos").alias("pos"), cell("m").alias("milestone"), given(cell("t")).alias("target"), given(cell("a")).alias("achieved"))
+    return out.where("milestone <> ''")
+
+
+def schedules(tables: DataFrame) -> DataFrame:
+    """The rows of each page's last table that speaks of milestones, stages or targets."""
+    said = F.array_contains(F.transform("cells", lambda c: F.lower(c).rlike("milestone|stage|target")), True)
+    last = tables.where(said).groupBy("key").agg(F.max("table").alias("table"))
+    return tables.join(last, ["key", "table"], "left_semi")
+
+
+def labelled_titles(tables: DataFrame) -> DataFrame:
+    """(key, full_title, short_title): what stands beside the first cell that says 'Title'.
+
+    Its first line is the full title; of the second, the grey text is the short one, else the line if it's long enough. A
+    title that merely says 'Title 1' is none.
+    """
+    at = F.array_position(F.transform("cells", lambda c: F.lower(c) == "title"), True).cast("int")
+    hit = tables.withColumn("at", at).where((F.col("at") > 0) & (F.col("at") < F.size("cells")))
+    first = hit.groupBy("key").agg(F.min_by(F.element_at("parts", F.col("at") + 1), F.struct("table", "pos")).alias("p"))
+    real = lambda c: F.when((c != "") & ~c.rlike(r"(?i)^(title\s*\d+\s*)+$"), c)
+    one, two = F.try_element_at("p", F.lit(1)), F.try_element_at("p", F.lit(2))
+    return first.select("key", real(one["text"]).alias("full_title"), F.coalesce(real(two["grey"]), F.when(F.length(two["text"]) > 8, real(two["text"]))).alias("short_title"))
+
+
+def stopped(pages: DataFrame, key: str, html: str) -> DataFrame:
+    """(key, stopped): whether a page says that its item was stopped."""
+    return pages.select(F.col(key).cast("string").alias("key"), F.coalesce(F.col(html).rlike(r"\bSTOPPED\b"), F.lit(False)).alias("stopped"))
+
+
+def cover_title(lines: Column) -> Column:
+    """A cover page's title: the first line of more than 20 characters that isn't a number, a version or a notice."""
+    good = F.filter(F.transform(lines, F.trim), lambda x: (F.length(x) > 20) & ~x.rlike(r"(?i)^(etsi|draft|\d|version|release|©)"))
+    return F.try_element_at(good, F.lit(1))

@@ -4,7 +4,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from clausemill.operators import blocks, graph, incremental, merge, orphans, profiles, retrieval, sequences
+from clausemill.operators import blocks, classes, graph, incremental, merge, orphans, profiles, retrieval, sequences
 
 S53 = "A sentence of about fifty characters without an end xx"
 
@@ -160,8 +160,8 @@ def test_blocks_from_glyphs(spark):
     glyphs = spark.createDataFrame(g, "doc string, page int, text string, top double, bottom double, x0 double, x1 double, size double, fontname string")
     out = blocks.text_blocks(glyphs).orderBy("y_top").collect()
     assert [r.text for r in out] == ["1 Scope It shall", "NOTE: x"] and 0 < out[0].bold < 1
-    kind = blocks.block_class(F.col("text"), F.col("size"), F.col("bold"), F.col("y_top"), F.lit(800.0), F.col("page"))
-    assert [r.k for r in blocks.text_blocks(glyphs, 5).select("y_top", kind.alias("k")).orderBy("y_top").collect()] == ["SECTION", "NORM", "INFORM"]
+    placed = blocks.text_blocks(glyphs, 5).withColumns({"height": F.lit(800.0), "profile": F.lit("etsi-spec"), "toc_mode": F.lit(False)})
+    assert [r.type for r in classes.classified_blocks(placed).orderBy("y_top").collect()] == ["SECTION", "NORM", "INFORM"]
     boxes = spark.createDataFrame([("d", 1, (0.0, 290.0, 500.0, 320.0))], "doc string, page int, bbox struct<x0:double,top:double,x1:double,bottom:double>")
     assert blocks.outside_boxes(glyphs, boxes).count() == 15
     q = blocks.gap_quality(glyphs, [5, 40, 500])
@@ -180,8 +180,6 @@ def test_incremental_runs(spark):
     s = "url string, etag string, length long"
     state = incremental.change_state(spark.createDataFrame([("a", "1", 1), ("b", None, 5), ("c", None, None)], s), spark.createDataFrame([("a", "1", 2), ("b", "2", 6), ("c", None, 1), ("d", "x", 1)], s))
     assert {r.url: r.state for r in state.collect()} == {"a": "same", "b": "changed", "c": "unknown", "d": "unknown"}
-    norms = spark.createDataFrame([("EN 319 401",), ("TS 119 612",), (None,)], "norm string")
-    assert [incremental.resolve(norms, x).first().norm for x in ("319401", "ETSI EN 319 401", "119-612", "nothing")] == ["EN 319 401", "EN 319 401", "TS 119 612", "nothing"]
 
 
 def test_length_quantiles_by_index(spark):

@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from clausemill.functions import embedding, web
-from clausemill.operators import sections
+from clausemill.operators import classes, sections
 
 
 def one(spark, value, f):
@@ -44,9 +44,9 @@ def test_sections_on_pages(spark):
 
 
 def test_classes(spark):
-    rows = [("Heading 1", "Scope", 0.0, "SECTION"), ("TOC2", "5 x", 0.0, "TOC"), ("NO", "x", 0.0, "INFORM"), (None, "NOTE: x", 0.0, "INFORM"), (None, "5.1 Bold", 1.0, "SECTION"), ("TH", "x", 0.0, "TABLE"), ("Normal", "It shall.", 0.0, "NORM"), ("Normal", "plain", 0.0, "OTHER"), (None, " ", 0.0, "OTHER")]
+    rows = [("Heading 1", "Scope", 0.0, "SECTION"), ("TOC 2", "5 x", 0.0, "TOC"), ("NO", "x", 0.0, "INFORM"), (None, "NOTE: x", 0.0, "INFORM"), (None, "5.1 Bold", 1.0, "SECTION"), ("TH", "x", 0.0, "TABLE"), ("Normal", "It shall.", 0.0, "NORM"), ("Normal", "plain", 0.0, "OTHER"), (None, " ", 0.0, "OTHER")]
     df = spark.createDataFrame(rows, "s string, t string, b double, want string")
-    assert all(r.x == r.want for r in df.select(sections.paragraph_class(F.col("s"), F.col("t"), F.col("b")).alias("x"), "want").collect())
+    assert all(r.x == r.want for r in df.select(classes.paragraph_class(F.col("s"), F.col("t"), F.col("b")).alias("x"), "want").collect())
     toc = spark.createDataFrame([("Foreword", None, "boilerplate"), ("Forms", "A.1", "annex"), ("Method (informative)", "7", "inform"), ("Scope", "1", "norm")], "t string, n string, want string")
     assert all(r.x == r.want for r in toc.select(sections.section_class(F.col("t"), F.col("n")).alias("x"), "want").collect())
 
