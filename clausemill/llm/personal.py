@@ -1,9 +1,10 @@
 """Personal data in free text: spans proposed by patterns, confirmed by check digits, weighed by the words around them.
 
 Each kind has patterns with a base score. Check digits (Luhn, ISO 7064 mod 97 and mod 11,10, division by 11) raise or
-settle it, words before and after raise or lower it, and a span is taken from ACCEPT on. Names have no telling form, so
-they need a cue: a role or title before, an act of speech after, or other personal data right beside them; a name found
-so is also taken where else it stands in the same text. Where spans overlap, the higher score, then the longer, stays.
+settle it, words before and after raise or lower it, and a span is taken from ACCEPT on. Names are pairs of capitalised
+words; a pair is weighed by whether it begins with a common given name and by what stands before and after it, and taken
+whole after a role or title, before an act of speech, or right beside other personal data. A name found so is also taken
+where else it stands in the same text. Where spans overlap, the higher score, then the longer, stays.
 
 A text lies in one row: nothing is shuffled, and texts are read whole.
 
@@ -58,7 +59,7 @@ _CAP = rf"{_U}{_L}+"
 
 _AT = r"(?:@|[^\S\n]{1,2}@[^\S\n]{1,2}|[^\S\n]{0,2}(?:\(at\)|\[at\]|\{at\}|<at>)[^\S\n]{0,2}|[^\S\n]AT[^\S\n])"
 _DOT = r"(?:\.|[^\S\n]{0,2}(?:\(dot\)|\[dot\]|\{dot\}|<dot>)[^\S\n]{0,2}|[^\S\n]DOT[^\S\n])"
-EMAIL = re.compile(rf"(?<![\w.+@-])[A-Za-z0-9](?:[\w.+%-]*\w)?{_AT}(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?{_DOT})+[A-Za-z]{{2,12}}(?![\w@])", re.ASCII)
+EMAIL = re.compile(rf"(?<![\w.+@-])[^\W_](?:[\w.+%-]*\w)?{_AT}(?:[^\W_](?:[\w-]*[^\W_])?{_DOT})+[^\W\d_]{{2,12}}(?![\w@])")
 
 PHONES = [
     (0.7, re.compile(r"(?<![\w.+/@-])(?<!\d )(?:\+|00)[1-9]\d{0,2}[ .\-\xa0]?(?:\(0\)[ \xa0]?)?\d(?:[ .\-\xa0]?\d){6,11}(?!/)(?![\w@])")),
@@ -66,9 +67,10 @@ PHONES = [
     (0.6, re.compile(r"(?<![\w.+/@-])(?<!\d )[2-9]\d{2}([.-])\d{3}\1\d{4}(?![\w-])")),
     (0.6, re.compile(r"(?<![\w.+/@-])(?<!\d )0\d{2,4}/\d{4,8}(?:-\d{1,5})?(?!\w)")),
     (0.6, re.compile(r"(?<![\w.+/@-])(?<!\d )0\d{2,4}[ \xa0]\d{3,4}[ \xa0]\d{4}(?!\w)")),
+    (0.6, re.compile(r"(?<![\w.+/@-])(?<!\d )07\d{3}[ \xa0]?\d{3}[ \xa0]?\d{3}(?![\w/-])")),
     (0.6, re.compile(r"(?<![\w.+/@-])(?<!\d )0[1-9](?:([ .\xa0])\d{2})(?:\1\d{2}){3}(?!\w)")),
 ]
-_PHONE_NEAR = re.compile(r"(?i)(?:phone|tel|fax|voice|call|reach|mobile|rufnummer|erreichbar|joignable|appel|t[ée]l)[^\n]{0,14}$")
+_PHONE_NEAR = re.compile(r"(?i)(?:phone|tel|fax|voice|call|reach|mobile|ring|dial|text me|whatsapp|handy|m[óo]vil|portable|rufnummer|erreichbar|joignable|appel|t[ée]l)[^\n]{0,14}$")
 
 IDS: list[tuple[float, re.Pattern[str], Callable[[str], bool]]] = [
     (0.6, re.compile(r"(?<![\w.-])[A-Z]{2}[ \xa0]?\d{2}[ \xa0]?\d{2}[ \xa0]?\d{2}[ \xa0]?[A-D](?!\w)"), _never),
@@ -88,14 +90,18 @@ _NOT_PERSONAL = re.compile(r"(?i)(?:invoice|series|ballot|reference|aktenzeichen
 _NUM = r"\d{1,4}(?:[^\S\n]?[a-d](?![\w]))?"
 _TOWN = rf"(?:(?:Nether|Upper|Lower|Great|Little|New|Old|North|South|East|West|Port|Sankt|Saint|St\.|Bad|San|Santa|Mont|Le|La)[^\S\n])?{_CAP}(?:-(?:{_CAP}|{_L}{{1,3}}))*"
 _TAIL = rf"(?:,?{_GAP}\d{{5}}{_GAP}{_TOWN}|,?{_GAP}{_TOWN}{_GAP}\d{{5}}(?!\w))?"
+_SOUTH, _OF = r"(?:Calle|Avenida|Plaza|Paseo|Via|Viale|Piazza|Corso|Rua|Praça|Largo)", r"(?:(?:de la|de las|de los|del|de|di|della|dei|da|do|dos)[^\S\n])?"
+_END = rf"(?:,?{_GAP}\d{{4,5}}{_GAP}{_TOWN}|,{_GAP}{_TOWN}(?:{_GAP}\d{{4,5}}(?!\w))?)?"
 ADDRESSES = [
     re.compile(rf"(?<![\w.]){_NUM}{_GAP}(?:{_CAP}{_GAP}){{1,2}}(?:Street|Road|Lane|Avenue|Drive|Square|Terrace|St\.|Rd\.|Ave\.)(?!\w){_TAIL}"),
     re.compile(rf"(?<!\w)(?:{_CAP}[^\S\n])(?:Avenue|Street|Road|Lane|Drive|Square){_GAP}{_NUM}(?![\w]){_TAIL}"),
     re.compile(rf"(?<!\w){_CAP}(?:straße|strasse|str\.|weg|gasse|allee|platz|damm|ufer){_GAP}{_NUM}(?![\w]){_TAIL}"),
     re.compile(rf"(?<![\w.])\d{{1,4}}(?:[^\S\n](?:bis|ter))?,?{_GAP}(?:rue|avenue|boulevard|place|chemin|quai|impasse){_GAP}(?:(?:des|de la|de|du)[^\S\n]|de l['’]|d['’])?{_CAP}{_TAIL}"),
+    re.compile(rf"(?<![\w.])\d{{1,4}},?{_GAP}{_SOUTH}{_GAP}{_OF}{_CAP}(?:{_GAP}{_CAP})?{_END}"),
+    re.compile(rf"(?<!\w){_SOUTH}{_GAP}{_OF}{_CAP}(?:{_GAP}{_CAP})?,?{_GAP}(?:n[.º°]?[^\S\n]?)?\d{{1,4}}(?!\w){_END}"),
 ]
 #: One of these stands in every address; the patterns are only tried around them.
-_STREETS = ("Street", "Road", "Lane", "Avenue", "Drive", "Square", "Terrace", "St.", "Rd.", "Ave.", "straße", "strasse", "str.", "weg", "gasse", "allee", "platz", "damm", "ufer", "rue", "avenue", "boulevard", "place", "chemin", "quai", "impasse")
+_STREETS = ("Street", "Road", "Lane", "Avenue", "Drive", "Square", "Terrace", "St.", "Rd.", "Ave.", "straße", "strasse", "str.", "weg", "gasse", "allee", "platz", "damm", "ufer", "rue", "avenue", "boulevard", "place", "chemin", "quai", "impasse", "Calle", "Avenida", "Plaza", "Paseo", "Via", "Piazza", "Corso", "Rua", "Praça", "Largo")
 
 _GIVEN = rf"{_CAP}(?:-{_CAP})?"
 _SUR = rf"(?:(?:van der|van den|van|von|de|da|di|du|la|le)[^\S\n])?{_U}(?:['’]{_U})?{_L}+(?:-{_CAP})?"
@@ -111,6 +117,21 @@ _AFTER = ("abstained", "asked for", "presented", "enthielt", "legte", "bat um",
 NAME_NEXT = re.compile(rf"(?:{_GAP}|)(?:{_TITLE}{_GAP})?({_NAME})")
 NAME_LAST = re.compile(rf"(?<![^\W\d_])({_NAME}){_GAP}?$")
 NAME_BESIDE = re.compile(rf"(?<![^\W\d_])({_NAME})[^\S\n]*(?:[|;<,(]|\n)[^\S\n]*[<(]?$")
+#: Common given names that are hardly ever anything else at the head of two capitalised words.
+GIVEN_NAMES = frozenset(
+    "Adam Ahmed Alan Albert Alexander Alice Amanda Amy Ana Andrea Andreas Andrew Anna Anne Anthony Antonio Barbara Benjamin Bernd Brian Carla Carlos Caroline Catherine Charles Charlotte Christian Christina Christine "
+    "Claire Claudia Daniel David Diana Donald Dorothy Edward Elena Elisabeth Elizabeth Emily Emma Eric Erika Eva Fatima Felix Fernando Frances Francisco Friedrich Gabriel Gary George Giovanni Giulia Giuseppe Gregory Hans "
+    "Harold Heinrich Helen Helena Henry Ian Ingrid Isabel Isabelle Ivan Jacob Jacques James Jane Janet Jason Javier Jean Jeffrey Jennifer Jessica Johannes John Jonathan Jose Joseph Joshua José Juan Julia Julie Jürgen "
+    "Karen Karin Karl Kate Katharina Katherine Kenneth Kevin Klaus Lars Laura Leon Linda Lisa Louise Lucas Lucia Luis Lukas Manuel Marc Marco Margaret Maria Marie Mario Marta Martin Mary Matthew Matthias Max Mehmet "
+    "Michael Michelle Miguel Mohammed Monica Nancy Natalia Natalie Nicholas Nicole Nina Olga Oliver Olivier Pablo Patricia Patrick Paul Paula Pedro Peter Petra Philip Philippe Pierre Priya Rachel Rebecca Ricardo Richard "
+    "Robert Roberto Roger Ronald Ruth Ryan Samuel Sandra Sara Sarah Sebastian Sharon Sofia Sophie Stefan Stephanie Stephen Steven Susan Teresa Thomas Timothy Ursula Vanessa Vincent Walter Werner William Wolfgang Yuki "
+    "Yusuf".split()
+)
+_PAIR = re.compile(rf"(?<![^\W\d_])(?<![-'’])(({_CAP})(?:-{_CAP})?(?:{_GAP}{_U}\.)?{_GAP}{_SUR})(?![^\W\d_])(?!-\w)")
+_SECOND = re.compile(rf"{_GAP}({_SUR})(?![^\W\d_])(?!-\w)")
+_WEAK_BEFORE = re.compile(r"(?i)(?:\bcontact|\bmet|\bsigned,?|\bsincerely,?|\bregards,?|\bdear|\bthanks,?|\bspoke (?:to|with)|\basked|\btold|\bcalled|\bmy name is|\bi am|\bcolleague|\bwritten by|\bgrüße,?|\bgruß,?|\bcordialement,?|\bsaludos,?|\bliebe[r]?|\bcher|\bchère)[^\S\n]*\n?[^\S\n]*$")
+_WEAK_AFTER = re.compile(r"[^\S\n]*,?[^\S\n]*(?:said|wrote|called|confirmed|agreed|told|joined|works|lives|replied|emailed|explained|thinks|wants|has been|sagte|schrieb|wohnt|arbeitet|a dit|a écrit|habite|dijo|escribió|vive)\b")
+_NO_PERSON = re.compile(r"(?:^|[\s-])(?:Street|Road|Lane|Avenue|Square|Office|Ltd|GmbH|Inc|Corp|University|Institute|Hospital|School|Act|Protocol|Agreement|Committee|Group|Profile|Ledger|Annex|Table|Figure|Section|Clause|Standard|Service|System|Project|Working|Party|Union|Bank|Airport|Station|Church|Park|River|Lake|Mountain|Island|County|City)\b")
 _LETTERS = re.compile(r"[\W_]+")
 
 
@@ -164,6 +185,26 @@ def _resolve(spans: list[tuple[float, int, int, str]]) -> list[tuple[float, int,
     return sorted(kept, key=lambda s: s[1])
 
 
+def _weighed_names(text: str) -> Iterator[tuple[float, int, int, str]]:
+    """Pairs of capitalised words whose given name and neighbours weigh enough; a rejected first word frees the second."""
+    m = _PAIR.search(text)
+    while m:
+        a, b = m.span(1)
+        if m.group(2) in GIVEN_NAMES:
+            second = _SECOND.match(text, b)
+            if second and m.group(1).split()[-1] in GIVEN_NAMES:
+                b = second.end(1)
+        elif not _WEAK_AFTER.match(text, b):  # what stands before can't suffice alone
+            m = _PAIR.search(text, m.end(2))
+            continue
+        before, after = _WEAK_BEFORE.search(text[max(0, a - 24) : a]), _WEAK_AFTER.match(text, b)
+        other = _NO_PERSON.search(text[a:b]) or _NO_PERSON.match(text[b : b + 16].lstrip(" "))
+        score = 0.2 + 0.35 * (m.group(2) in GIVEN_NAMES) + 0.2 * bool(before) + 0.15 * bool(after) - 0.4 * bool(other)
+        if score >= ACCEPT:
+            yield score, a, b, "name"
+        m = _PAIR.search(text, b if score >= ACCEPT else m.end(2))
+
+
 def find_personal(text: str) -> list[tuple[int, int, str]]:
     """(begin, end, kind) of the personal data in text, in order and without overlaps."""
     spans = [s for s in _proposals(text) if s[0] >= ACCEPT]
@@ -177,6 +218,7 @@ def find_personal(text: str) -> list[tuple[int, int, str]]:
     for _, at, _, _ in spans:
         if m := NAME_BESIDE.search(text, max(0, at - 60), at):
             names.append((0.7, *m.span(1), "name"))
+    names += _weighed_names(text)
     known = {text[a:b] for _, a, b, _ in names}
     for k in known:
         at = text.find(k)
