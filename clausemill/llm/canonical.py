@@ -7,8 +7,10 @@ reach the threshold only if their prefixes in that order meet, so only prefixes
 drop most of what meets, Jaccard is verified exactly on the rest, and the best is kept. Numbers and codes are sets of one
 token, so they match whole or not at all; they take precedence over words, and words decide where a number is unknown.
 
-Equal values are mapped once. The reference list is small and fixed; its prefixes are broadcast only while their count is
-below a limit, else joined by shuffle.
+Equal values are mapped once. Rarity is counted over the reference list, whose tokens alone can be shared: a token that the
+list lacks is the rarest, so that the order needs no count over all values. While the list has at most LIST_TOKENS tokens,
+its prefix index is sent to the tasks that read the values, and a batch of values is probed at once; a larger list is
+joined with the values' prefixes by shuffle. Both ways verify every candidate and give the same pairs.
 
 Defined results: a null or empty value, and one that ties between entries, is unmatched (''); entries with null fields
 lack those probes; repeated entries are one; repeated rows come out repeatedly; empty tables: nothing, or all unmatched;
@@ -17,12 +19,19 @@ further columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clausemill.plans.session import BROADCAST_ROWS, materialize
+from clausemill.plans.session import materialize
 
+#: Half of the trigrams of two misspelt titles of equal length are still shared; 0.48 leaves room for one more.
 THRESHOLD = ACCEPT = 0.48
+#: Tokens, over all its sets, of a list that is sent to every task (about 16 bytes each).
+LIST_TOKENS = 4_000_000
 #: Digits as they're misread, and abbreviated title words with their full forms.
 MISREAD, DIGITS = "oilzbs", "011285"
 SHORT_WORDS = {r"\bsec\.": "security", r"\breqs\.": "requirements", r"\bconf\.": "conformance", r"\bf\.": "for"}
@@ -94,8 +103,8 @@ def value_probes(values: DataFrame) -> DataFrame:
 
 
 def _long(df: DataFrame, keys: list[str], probes: list[tuple[str, Column]]) -> DataFrame:
-    each = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), t.alias("tokens")) for k, t in probes]))
-    return df.select(*keys, each.alias("p")).select(*keys, "p.kind", "p.tokens").where(F.size("tokens") > 0).distinct()
+    each = F.explode(F.array_distinct(F.array(*[F.struct(F.lit(k).alias("kind"), t.alias("tokens")) for k, t in probes])))
+    return df.select(*keys, each.alias("p")).select(*keys, "p.kind", "p.tokens").where(F.size("tokens") > 0)
 
 
 def entry_sets(entries: DataFrame) -> DataFrame:
@@ -115,7 +124,8 @@ def entry_sets(entries: DataFrame) -> DataFrame:
 def _ordered(sets: DataFrame, keys: list[str], rank: DataFrame) -> DataFrame:
     """sets with their tokens in the order of global rarity."""
     flat = sets.select(*keys, "kind", F.xxhash64("tokens").alias("which"), F.explode("tokens").alias("token"))
-    listed = flat.join(rank, "token").groupBy(*keys, "kind", "which").agg(F.sort_array(F.collect_list(F.struct("rarity", "token"))).alias("o"))
+    rarity = F.coalesce("rarity", F.lit(0)).alias("rarity")
+    listed = flat.join(rank, "token", "left").groupBy(*keys, "kind", "which").agg(F.sort_array(F.collect_list(F.struct(rarity, "token"))).alias("o"))
     return listed.select(*keys, "kind", F.col("o.token").alias("tokens"), F.size("o").alias("n"))
 
 
@@ -129,37 +139,116 @@ def _prefixes(sets: DataFrame, keys: list[str], threshold: float) -> DataFrame:
     return sets.select(*keys, "kind", "tokens", "n", F.posexplode(F.slice("tokens", F.lit(1), size)).alias("pos", "token"))
 
 
-def similar_pairs(probes: DataFrame, sets: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+class ListIndex:
+    """The reference list's sets as arrays: tokens by rarity, each set's tokens in that order, and its prefix postings."""
+
+    def __init__(self, sets: list[tuple[str, str, list[str]]], threshold: float):
+        self.threshold = threshold
+        self.norms = [s[0] for s in sets]
+        counts: dict[str, int] = {}
+        for _, kind, tokens in sets:
+            for t in tokens:
+                counts[f"{kind} {t}"] = counts.get(f"{kind} {t}", 0) + 1
+        self.rank = {t: i for i, t in enumerate(sorted(counts, key=lambda t: (counts[t], t)))}
+        own = [np.sort(np.array([self.rank[f"{kind} {t}"] for t in tokens], np.int64)) for _, kind, tokens in sets]
+        self.size = np.array([o.size for o in own], np.int64)
+        self.begin = np.cumsum(self.size) - self.size
+        self.tokens = np.concatenate(own) if own else np.zeros(0, np.int64)
+        entry = np.repeat(np.arange(self.size.size), self.size)
+        place = np.arange(entry.size) - self.begin[entry]
+        keep = place < self.size[entry] - self._least(self.threshold * self.size[entry]) + 1
+        o = np.argsort(self.tokens[keep], kind="stable")
+        self.post, self.place = entry[keep][o], place[keep][o]
+        self.upto = np.searchsorted(self.tokens[keep][o], np.arange(len(self.rank) + 1))
+
+    @staticmethod
+    def _least(x: np.ndarray) -> np.ndarray:
+        return np.ceil(x - 1e-9).astype(np.int64)
+
+    @staticmethod
+    def _spread(begin: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """begin, begin + 1, ... n of each, one after the other."""
+        return np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+
+    def probe(self, kinds: list[str], tokens: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, entry, similarity) of all pairs that reach the threshold."""
+        n = np.array([len(t) for t in tokens], np.int64)
+        row = np.repeat(np.arange(n.size), n)
+        get = self.rank.get
+        ids = np.fromiter((get(f"{k} {t}", -1) for k, ts in zip(kinds, tokens) for t in ts), np.int64, row.size)
+        o = np.lexsort((ids, row))  # tokens that the list lacks come first in each row
+        row, ids = row[o], ids[o]
+        place = np.arange(row.size) - (np.cumsum(n) - n)[row]
+        known = ids >= 0
+        first = known & (place < (n - self._least(self.threshold * n) + 1)[row])
+        r, t, at = row[first], ids[first], place[first]
+        many = self.upto[t + 1] - self.upto[t]
+        p = self._spread(self.upto[t], many)
+        r, at, y, there = np.repeat(r, many), np.repeat(at, many), self.post[p], self.place[p]
+        m = self.size[y]
+        # what can still follow after the place of a shared token bounds the overlap that begins with it
+        least = self._least(self.threshold / (1 + self.threshold) * (n[r] + m))
+        ok = (n[r] >= self.threshold * m) & (m >= self.threshold * n[r]) & (1 + np.minimum(n[r] - at - 1, m - there - 1) + np.minimum(at, there) >= least)
+        pair = np.unique(r[ok] * self.size.size + y[ok])
+        r, y = pair // max(1, self.size.size), pair % max(1, self.size.size)
+        held = row[known] * len(self.rank) + ids[known]
+        mine = np.repeat(r, self.size[y]) * len(self.rank) + self.tokens[self._spread(self.begin[y], self.size[y])]
+        i = np.minimum(np.searchsorted(held, mine), max(0, held.size - 1))
+        common = np.bincount(np.repeat(np.arange(r.size), self.size[y])[held[i] == mine] if held.size else [], minlength=r.size)
+        similarity = common / np.maximum(1, n[r] + self.size[y] - common)
+        good = similarity >= self.threshold - 1e-12
+        return r[good], y[good], similarity[good]
+
+
+def similar_pairs(probes: DataFrame, sets: DataFrame, threshold: float = THRESHOLD, list_tokens: int = LIST_TOKENS) -> DataFrame:
     """(value, norm, kind, similarity) of all pairs of one kind whose Jaccard similarity reaches threshold.
 
-    Only prefixes are joined, as narrow rows. What a pair shares in its prefixes, and what can follow after its last
-    shared positions, bounds its overlap; the sets themselves are attached to the pairs that this leaves, and verified.
+    Tokens of a set are distinct. Pairs are distinct too, if one value's sets of a kind are.
     """
-    every = probes.select("tokens").unionAll(sets.select("tokens"))
-    rank = every.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("rarity"))
+    held = sets.distinct()
+    if held.agg(F.coalesce(F.sum(F.size("tokens")), F.lit(0))).first()[0] > list_tokens:
+        return _joined_pairs(probes, held, threshold)
+    listed = probes.sparkSession.sparkContext.broadcast(sorted((r["norm"], r["kind"], r["tokens"]) for r in held.select("norm", "kind", "tokens").collect()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = ListIndex(listed.value, threshold)
+        norms = pa.array(index.norms, pa.string())
+        for b in batches:
+            r, y, similarity = index.probe(b.column("kind").to_pylist(), b.column("tokens").to_pylist())
+            at = pa.array(r)
+            yield pa.RecordBatch.from_arrays([b.column("value").take(at), norms.take(pa.array(y)), b.column("kind").take(at), pa.array(similarity)], ["value", "norm", "kind", "similarity"])
+
+    return probes.select("value", "kind", "tokens").mapInArrow(run, "value string, norm string, kind string, similarity double").distinct()
+
+
+def _joined_pairs(probes: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """similar_pairs by shuffle. Only prefixes are joined, as narrow rows. What a pair shares in its prefixes, and what can
+    follow after its last shared positions, bounds its overlap; the sets are attached to what this leaves, and verified."""
+    rank = sets.select("kind", F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("rarity"))
     spread = max(2, probes.sparkSession.sparkContext.defaultParallelism)
     left = materialize(_ordered(probes, ["value"], rank).withColumn("x", F.xxhash64("value", "kind", "tokens")).repartition(spread, "x"), "list-values")
     right = materialize(_ordered(sets, ["norm"], rank).withColumn("y", F.xxhash64("norm", "kind", "tokens")), "list-entries")
     theirs = _prefixes(right, ["y"], threshold).select("kind", "token", "y", F.col("n").alias("m"), F.col("pos").alias("at"))
-    small = right.count() * 40 <= BROADCAST_ROWS
     n, m = F.col("n"), F.col("m")
     need = _least(F.lit(threshold / (1 + threshold)) * (n + m))
     met = (
         _prefixes(left, ["x"], threshold).select("kind", "token", "x", "n", "pos").repartition(spread, "x")
-        .join(F.broadcast(theirs) if small else theirs, ["kind", "token"])
+        .join(theirs, ["kind", "token"])
         .where((n >= F.lit(threshold) * m) & (m >= F.lit(threshold) * n))
         .groupBy("x", "y", "n", "m").agg(F.count("*").alias("met"), F.max("pos").alias("pos"), F.max("at").alias("at"))
         .where(F.col("met") + F.least(n - F.col("pos") - 1, m - F.col("at") - 1) >= need)
     )
     entries = right.select("y", "norm", F.col("tokens").alias("theirs"))
-    pairs = met.select("x", "y", "n", "m").join(left.select("x", "value", "kind", "tokens"), "x").join(F.broadcast(entries) if small else entries, "y")
+    pairs = met.select("x", "y", "n", "m").join(left.select("x", "value", "kind", "tokens"), "x").join(entries, "y")
     common = F.size(F.array_intersect("tokens", "theirs"))
     return pairs.select("value", "norm", "kind", (common / (n + m - common)).alias("similarity")).where(F.col("similarity") >= threshold - 1e-12).distinct()
 
 
 def map_to_list(aliases: DataFrame, entries: DataFrame, accept: float = ACCEPT) -> DataFrame:
     """(alias_id, alias, norm, kind, similarity): the entry meant by each alias; '' and nulls where none is."""
-    values = aliases.where(F.col("alias").isNotNull()).select(F.col("alias").alias("value")).distinct()
+    spread = max(2, aliases.sparkSession.sparkContext.defaultParallelism)
+    # few bytes, much work: a distinct value's probes are worth a task of their own share
+    values = aliases.where(F.col("alias").isNotNull()).select(F.col("alias").alias("value")).distinct().repartition(spread, "value")
     pairs = similar_pairs(value_probes(values), entry_sets(entries), min(THRESHOLD, accept))
     order = F.create_map(*[F.lit(x) for kv in (("number", 0), ("item", 1), ("code", 2), ("title", 3), ("name", 3)) for x in kv])
     ranked = pairs.where((F.col("similarity") >= accept) | ~F.col("kind").isin("title", "name")).withColumn("prior", order[F.col("kind")])

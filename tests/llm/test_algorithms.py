@@ -110,8 +110,11 @@ def test_similarity_join_against_brute_force(spark):
     sets = lambda n, k: [(f"{k}{i}", rng.choice("tn"), rng.sample([f"t{j}" for j in range(14)], rng.randint(1, 9))) for i in range(n)]
     a, b = sets(60, "a"), sets(40, "b")
     want = sorted((x, y, k) for x, k, s in a for y, m, t in b if k == m and len({*s} & {*t}) / len({*s} | {*t}) >= 0.4)
-    got = canonical.similar_pairs(spark.createDataFrame(a, "value string, kind string, tokens array<string>"), spark.createDataFrame(b, "norm string, kind string, tokens array<string>"), 0.4)
-    assert sorted((r.value, r.norm, r.kind) for r in got.collect()) == want
+    a, b = spark.createDataFrame(a, "value string, kind string, tokens array<string>"), spark.createDataFrame(b, "norm string, kind string, tokens array<string>")
+    sent, joined = canonical.similar_pairs(a, b, 0.4), canonical.similar_pairs(a, b, 0.4, list_tokens=0)
+    assert sorted((r.value, r.norm, r.kind) for r in sent.collect()) == want and len(want) > 100
+    assert sorted((r.value, r.norm, r.kind, round(r.similarity, 9)) for r in joined.collect()) == sorted((r.value, r.norm, r.kind, round(r.similarity, 9)) for r in sent.collect())
+    assert canonical.similar_pairs(a, b.limit(0), 0.4).count() == canonical.similar_pairs(a.limit(0), b, 0.4).count() == 0
 
 
 def near_rows(n=400):
