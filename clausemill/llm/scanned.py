@@ -1,15 +1,18 @@
-"""Text of scanned pages made readable: lines labelled by a hidden Markov model, words mended by a corpus lexicon.
+"""Text of scanned pages made readable: lines labelled by a linear conditional model, words mended by a corpus lexicon.
 
-Every line falls into one of a few layout classes: its form (page number, number and version of a standard, a known
-title), whether a number is that of the page, and for running text its length and ending. A three-state model (header,
-body, break) over these classes is fitted by EM on the counts of neighbouring classes in all texts, beginning from the
-classes of rows that are typed as headers and footers. Viterbi labels each text's lines; header lines go, body lines are
-joined, and a break ends a paragraph.
+Every line of a text of several lines is described by layout features: its form (page number, number and version of a
+standard, a known title, capitals, length and ending), its place in the text, how much of it is capitals, digits and words
+of titles, gaps inside it, and whether it stands in the middle of a sentence. A linear-chain model over the labels header,
+body and break weighs them together with the label before. It is trained here, on a bounded sample of labelled rows:
+running headers and page numbers, from rows that are typed as such, are put between the lines of other rows' texts, and an
+averaged perceptron learns to tell them again. Lines of those texts that look like headers themselves stay out of training.
+All texts are then labelled, many at a time, by the best path through the model. Header lines go, body lines are joined,
+and a break ends a paragraph.
 
 Words are counted over all texts. A word is misread if undoing usual confusions of characters gives one that is RATIO
 times as common; a line-end hyphen is taken out if the halves join to a known or so mended word, and kept in compounds.
 Every distinct word and every word that halves may make is joined with the counts of all words, so that no word is too
-rare to count. Tasks get the mends and the halves that join, the model's table, and the fixed reference list's titles. A
+rare to count. Tasks get the mends and the halves that join, the model's weights, and the fixed reference list's titles. A
 table of CELLS counts keeps readings that no word can have out of that join; it only makes the join smaller.
 
 Defined results: null texts come out null and undamaged; a row without page takes it from its id, or has no page
@@ -26,12 +29,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clausemill.plans.session import materialize
 
 RATIO, MOST_MENDS, CELLS = 20, 4, 1 << 22
+#: Labelled header rows and texts that the model is trained on, by the order of a hash, how much of a text, and how often.
+TRAIN_HEADERS, TRAIN_TEXTS, TRAIN_CHARS, ROUNDS = 3_000, 6_000, 4_000, 6
 #: What is read for what.
 CONFUSIONS = (("c", "e"), ("cl", "d"), ("ii", "u"), ("b", "h"), ("f", "t"), ("q", "g"), ("rn", "m"), ("vv", "w"), ("5", "s"), ("1", "l"), ("1", "i"), ("!", "i"), ("|", "l"), ("0", "o"), ("ﬂ", "fl"), ("ﬁ", "fi"), ("ſ", "s"), ("li", "h"), ("8", "b"), ("6", "b"), ("9", "g"), ("$", "s"))
 HYPHENS = "-­‐‑¬"
@@ -92,59 +97,167 @@ class Layout:
         return out
 
 
+_MARGIN = (PAGE, OTHER_PAGE, STANDARD, TITLE)
+_VERSION = re.compile(r"\bv\d+\.\d+|\b\d{3} \d{3}\b", re.I)
+_GAP = re.compile(r"\S(?: {3,}|\t+| [—–|] )\S")
+#: How many values each feature has; a line has one value of each.
+FEATURES = (11, 22, 4, 12, 8, 6, 4, 2)
+_FROM = np.cumsum((0, *FEATURES[:-1]))
+
+
+def _bucket(x: float, *ends: float) -> int:
+    return sum(x >= e for e in ends)
+
+
+def described(lines: list[str], forms: list[int], words: frozenset[str]) -> list[list[int]]:
+    """The features of each line, given its form and the words of known titles."""
+    stripped = [x.strip() for x in lines]
+    ends = [not x or x[-1] in ".!?:;" for x in stripped]
+    low = [x[:1].islower() for x in stripped]
+    real = [e not in (BLANK, *_MARGIN) for e in forms]
+    last, before = -1, []
+    for i, r in enumerate(real):  # the last line of running text before each
+        before.append(last)
+        last = i if r else last
+    nxt, after = -1, [0] * len(lines)
+    for i in range(len(lines) - 1, -1, -1):
+        after[i] = nxt
+        nxt = i if real[i] else nxt
+    longest = max(1, max(map(len, lines)))
+    out = []
+    for i, (x, e) in enumerate(zip(stripped, forms)):
+        goes_on = after[i] >= 0 and low[after[i]]
+        inside = int(before[i] >= 0 and not ends[before[i]] and goes_on)
+        n = max(1, len(x))
+        letters = sum(map(str.isalpha, x))
+        capitals = sum(map(str.isupper, x)) / max(1, letters)
+        digits = sum(map(str.isdigit, x)) / n
+        own = squeezed(x).split(" ")
+        known = sum(w in words for w in own) / len(own)
+        place = 0 if len(lines) == 1 else 1 if i == 0 else 3 if i == len(lines) - 1 else 2
+        out.append([
+            e, e * 2 + inside, place, _bucket(capitals, 0.2, 0.6, 0.95) * 3 + _bucket(n / longest, 0.4, 0.8), _bucket(known, 0.3, 0.6, 0.8) * 2 + inside,
+            _bucket(digits, 0.05, 0.5) * 2 + bool(_VERSION.search(x)), 2 * (before[i] >= 0 and not ends[before[i]]) + goes_on, int(bool(_GAP.search(x))),
+        ])
+    return out
+
+
 class Lines:
-    """The hidden Markov model."""
+    """The linear-chain model: weights of features by label, of neighbouring labels, and of the first label."""
 
-    def __init__(self, begin: np.ndarray, move: np.ndarray, emit: np.ndarray):
-        with np.errstate(divide="ignore"):
-            self.begin, self.move, self.emit = (np.log(x).tolist() for x in (begin, move, emit))
+    def __init__(self, weights: np.ndarray, move: np.ndarray, begin: np.ndarray):
+        self.weights, self.move, self.begin = weights, move, begin
 
     @classmethod
-    def fit(cls, pairs: dict[tuple[int, int], int], headers: dict[int, int], rounds: int = 25) -> Lines:
-        """EM on counts of neighbouring classes; headers are the classes of labelled header rows."""
-        n = 11
-        pair = np.zeros((n, n))
-        for (a, b), k in pairs.items():
-            if a < n and b < n:
-                pair[a, b] += k
-        head = np.full(n, 0.01)
-        for e, k in headers.items():
-            head[e] += k
-        head[[PAGE, OTHER_PAGE, STANDARD, TITLE]] += 0.2 * head.sum()
-        head[[SHORT_END, LONG_END, SHORT, LONG, CAPITALS, NUMBER, BLANK]] *= 0.02
-        body, stop = np.full(n, 0.05), np.full(n, 0.05)
-        body[[LONG, LONG_END, NUMBER]] += [10, 3, 2]
-        stop[[SHORT_END, BLANK, SHORT, CAPITALS]] += [10, 5, 1, 1]
-        body[[PAGE, STANDARD, TITLE]] = stop[[PAGE, STANDARD, TITLE]] = 0.001
-        emit = np.stack([head / head.sum(), body / body.sum(), stop / stop.sum()])
-        move = np.array([[0.1, 0.7, 0.2], [0.05, 0.75, 0.2], [0.1, 0.7, 0.2]])
-        share = np.array([0.06, 0.7, 0.24])
-        anchor, usual = emit.copy(), share[:, None] * move
+    def fit(cls, sequences: list[tuple[np.ndarray, np.ndarray]], rounds: int = ROUNDS) -> Lines:
+        """An averaged perceptron over (features, labels) of texts: each round labels all texts in groups and moves the
+        weights from what was said to what is true."""
+        m = cls(np.zeros((sum(FEATURES), 3)), np.zeros((3, 3)), np.zeros(3))
+        for e in range(FEATURES[0]):  # what forms mean where there is nothing to learn from
+            m.weights[e, HEADER if e in _MARGIN else BREAK if e in (BLANK, SHORT_END) else BODY] = 1.0
+        start = m.weights.copy()
+        total, steps = [np.zeros_like(x) for x in (m.weights, m.move, m.begin)], 0
+        rng = np.random.default_rng(0)
         for _ in range(rounds):
-            joint = share[:, None, None, None] * emit[:, None, :, None] * move[:, :, None, None] * emit[None, :, None, :]
-            joint *= (pair / np.maximum(joint.sum((0, 1)), 1e-300))[None, None]
-            total = max(joint.sum(), 1e-9)
-            # what was labelled or set stays a prior, as large as a tenth of the counts
-            seen = joint.sum((1, 3)) + joint.sum((0, 2)) + anchor * 0.1 * total / 3
-            emit = (seen + 1e-6) / (seen + 1e-6).sum(1, keepdims=True)
-            move = joint.sum((2, 3)) + 0.1 * total * usual + 1e-6
-            share = move.sum(1) / move.sum()
-            move /= move.sum(1, keepdims=True)
-        return cls(share, move, emit)
-
-    def label(self, classes: list[int]) -> list[int]:
-        best = [self.begin[s] + self.emit[s][classes[0]] for s in range(3)]
-        back = []
-        for e in classes[1:]:
-            step = [max(range(3), key=lambda r, s=s: best[r] + self.move[r][s]) for s in range(3)]
-            best = [best[step[s]] + self.move[step[s]][s] + self.emit[s][e] for s in range(3)]
-            back.append(step)
-        at = max(range(3), key=lambda s: best[s])
-        out = [at]
-        for step in reversed(back):
-            at = step[at]
-            out.append(at)
-        return out[::-1]
+            for group in np.array_split(rng.permutation(len(sequences)), max(1, len(sequences) // 20)):
+                if not group.size:
+                    continue
+                feats, sizes = np.concatenate([sequences[i][0] for i in group]), np.array([len(sequences[i][1]) for i in group])
+                truth = np.concatenate([sequences[i][1] for i in group])
+                said = m.label(feats, sizes)
+                first = np.cumsum(sizes) - sizes
+                inner = np.ones(truth.size, bool)
+                inner[first] = False
+                for labels, by in ((truth, 1.0), (said, -1.0)):
+                    np.add.at(m.weights, ((feats + _FROM).ravel(), np.repeat(labels, len(FEATURES))), by / 20)
+                    np.add.at(m.move, (labels[:-1][inner[1:]], labels[1:][inner[1:]]), by / 20)
+                    np.add.at(m.begin, labels[first], by / 20)
+                steps += 1
+                for t, x in zip(total, (m.weights, m.move, m.begin)):
+                    t += x
+        return cls(*(t / steps for t in total)) if steps else cls(start, m.move, m.begin)
+
+    def label(self, feats: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """The labels of the best path through each text; feats has a row a line, sizes the lines of each text, one at least.
+
+        All texts take a step at a time, longer ones first, so that those that are done are the tail."""
+        o = np.argsort(-sizes, kind="stable")
+        first, longest = (np.cumsum(sizes) - sizes)[o], int(sizes.max(initial=0))
+        score = self.weights[feats + _FROM].sum(1)
+        out = np.zeros(len(feats), np.int64)
+        if not sizes.size:
+            return out
+        back = np.zeros((len(feats), 3), np.int8)
+        best = self.begin + score[first]
+        alive = np.searchsorted(-sizes[o], -np.arange(1, longest + 1), "right")  # texts of at least so many lines
+        final = np.zeros(sizes.size, np.int64)
+        for t in range(1, longest + 1):
+            n = alive[t] if t < longest else 0
+            final[n : alive[t - 1]] = best[n : alive[t - 1]].argmax(1)
+            if n:
+                way = best[:n, :, None] + self.move
+                at = first[:n] + t
+                back[at] = way.argmax(1)
+                best = way.max(1) + score[at]
+        for t in range(longest - 1, -1, -1):
+            n = alive[t]
+            at = first[:n] + t
+            out[at] = final[:n]
+            if t:
+                final[:n] = back[at, final[:n]]
+        return out
+
+
+#: Ways in which a page's number is printed on a line of its own.
+NUMBERED = ("{}", "   {}", "- {} -", "– {} –", "[{}]", "({})", "p. {}", "page {} of {}", "{} / {}")
+
+
+def names_standard(line: str, form: int, words: frozenset[str]) -> bool:
+    """Whether a line can be a running header: a number and version, or mostly words of titles, in capitals."""
+    if form in (STANDARD, TITLE) or (len(line) < 120 and _VERSION.search(line) and line.strip()[-1:] not in ".:;"):
+        return True
+    own = squeezed(line).split(" ")
+    return len(own) > 3 and sum(w in words for w in own) >= 0.5 * len(own) and sum(map(str.isupper, line)) >= 0.5 * sum(map(str.isalpha, line))
+
+
+def _misread(line: str, rng: np.random.Generator, share: float = 0.04) -> str:
+    """line with some of its characters read as what they're often read for."""
+    out = line
+    for wrong, right in CONFUSIONS:
+        out = re.sub(re.escape(right), lambda m, w=wrong: w if rng.random() < share else m[0], out, flags=re.I)
+    return out
+
+
+def training_sequences(headers: list[tuple[str, int | None]], texts: list[tuple[str, int | None]], layout: Layout, words: frozenset[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(features, labels) of texts (text, page) with running headers and page numbers put between their lines.
+
+    Running headers are lines of the header rows (text, page) that name a standard, some with misread characters; other
+    notices among those rows are repeated lines, not headers. Page numbers are printed as in NUMBERED.
+    """
+    rng = np.random.default_rng(1)
+    margin = [x.strip() for t, p in headers for x, e in zip(t.split("\n"), layout.classes(t.split("\n"), p)) if x.strip() and names_standard(x, e, words)]
+    out = []
+    for text, page in texts:
+        lines = text.split("\n")
+        forms = layout.classes(lines, page)
+        kept = [x for x, e in zip(lines, forms) if e not in _MARGIN and not names_standard(x, e, words)]
+        if not kept:
+            continue
+        longest = max(map(len, kept))
+        labels = [BREAK if not x.strip() or x.rstrip()[-1] in ".!?:" and len(x) <= 0.75 * longest else BODY for x in kept]
+        for _ in range(int(rng.integers(0, 3))):
+            if page is not None and rng.random() < 0.5:
+                x = NUMBERED[int(rng.integers(len(NUMBERED)))].format(page + int(rng.integers(2)), page + 20)
+            elif margin:
+                x = _misread(margin[int(rng.integers(len(margin)))], rng)
+            else:
+                continue
+            at = int(rng.integers(len(kept) + 1))
+            kept.insert(at, x)
+            labels.insert(at, HEADER)
+        if len(kept) > 1:
+            out.append((np.array(described(kept, layout.classes(kept, page), words)), np.array(labels)))
+    return out
 
 
 def readings(word: str) -> Iterator[tuple[int, str]]:
@@ -184,7 +297,7 @@ def halves(lines: list[str], classes: list[int]) -> set[str]:
             if n := _NEXT.match(lines[j]):
                 out |= {(b + n[1]).lower() for b in left}
                 before[j] |= left
-            if classes[j] not in (PAGE, OTHER_PAGE, STANDARD, TITLE):
+            if classes[j] not in (*_MARGIN, CAPITALS):
                 break
     return out
 
@@ -201,23 +314,34 @@ class Scan:
 
     def __init__(self, titles: frozenset[str], model: Lines, mends: dict[str, str], joined: frozenset[str]):
         self.layout, self.model, self.mends, self.joined = Layout(titles), model, mends, joined
-
-    def read(self, text: str, page: int | None, whole: bool = True) -> tuple[set[str], str | None]:
-        """(kinds of damage, mended text if whole)."""
-        lines = text.split("\n")
-        if len(lines) > 1:
-            classes = self.layout.classes(lines, page)
-            states = self.model.label(classes) if whole or min(map(_suspect, classes)) == 0 else [BODY] * len(lines)
-        else:
-            classes, states = [LONG_END], [BODY]
+        self.words = title_words(titles)
+
+    def read_all(self, texts: list[str], pages: list[int | None], whole: bool = True) -> list[tuple[set[str], str | None]]:
+        """(kinds of damage, mended text if whole) of each text."""
+        lines = [t.split("\n") for t in texts]
+        many = [i for i, x in enumerate(lines) if len(x) > 1]
+        forms = {i: self.layout.classes(lines[i], pages[i]) for i in many}
+        states: dict[int, list[int]] = {}
+        if many:
+            feats = np.array([f for i in many for f in described(lines[i], forms[i], self.words)])
+            sizes = np.array([len(lines[i]) for i in many])
+            labels = self.model.label(feats, sizes).tolist()
+            end = 0
+            for i, n in zip(many, sizes.tolist()):
+                states[i] = labels[end : end + n]
+                end += n
+        return [self._mended(x, forms.get(i, [LONG_END]), states.get(i, [BODY]), whole) for i, x in enumerate(lines)]
+
+    def _mended(self, lines: list[str], forms: list[int], states: list[int], whole: bool) -> tuple[set[str], str | None]:
         damage, kept = set(), []
-        for line, e, s in zip(lines, classes, states):
-            if s == HEADER and e != BLANK and len(lines) > 1:
+        for line, e, s in zip(lines, forms, states):
+            if s == HEADER and e != BLANK:
+                running = names_standard(line, e, self.words)
                 if e == PAGE:
                     damage.add("page_nr")
-                elif e in (STANDARD, TITLE):
+                elif running:
                     damage.add("header")
-                if e in (PAGE, OTHER_PAGE, STANDARD, TITLE):
+                if running or e in (PAGE, OTHER_PAGE):
                     continue
             kept.append([line, s])
         i = 0
@@ -241,8 +365,8 @@ class Scan:
         return damage, _paragraphs(kept) if whole else None
 
 
-def _suspect(e: int) -> int:
-    return 0 if e in (PAGE, OTHER_PAGE, STANDARD, TITLE) else 1
+def title_words(titles: frozenset[str]) -> frozenset[str]:
+    return frozenset(w for t in titles for w in t.split(" "))
 
 
 def _cased(word: str, like: str) -> str:
@@ -265,7 +389,7 @@ def _paragraphs(kept: list[list]) -> str:
 
 
 def _statistics(rows: DataFrame, titles: frozenset[str]) -> tuple[Lines, dict[str, str], frozenset[str]]:
-    """The fitted model, the misread words with those meant, and the words that halves may be joined to."""
+    """The trained model, the misread words with those meant, and the words that halves may be joined to."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         layout, words, other = Layout(titles), Counter(), Counter()
@@ -280,8 +404,6 @@ def _statistics(rows: DataFrame, titles: frozenset[str]) -> tuple[Lines, dict[st
             for kind, text, page, key in zip(b["type"], b["text"], b["page"], b["id"]):
                 lines = text.split("\n")
                 if kind in ("HEADER", "FOOTER"):
-                    for e in layout.classes(lines, _page_of(page, key)):
-                        other["h", str(e)] += 1
                     continue
                 low = text.lower()
                 words.update(_WORD.findall(low))
@@ -289,8 +411,6 @@ def _statistics(rows: DataFrame, titles: frozenset[str]) -> tuple[Lines, dict[st
                     other.update(("j", w.lower()) for w in _WORD.findall(text))
                 if len(lines) > 1:
                     c = layout.classes(lines, _page_of(page, key))
-                    for p in zip(c, c[1:]):
-                        other["p", f"{p[0]},{p[1]}"] += 1
                     other.update(("j", w) for w in halves(lines, c))
             if len(words) + len(other) > 500_000:
                 yield flush()
@@ -322,15 +442,38 @@ def _statistics(rows: DataFrame, titles: frozenset[str]) -> tuple[Lines, dict[st
     mends = {r["word"]: r["meant"] for r in best.collect()}
     halved = asked.where("half").join(best, "word", "left").where("n >= 3 OR meant IS NOT NULL").select("word")
     joined = {r["word"] for r in halved.collect()}
-    kept = counts.where("kind IN ('p', 'h')").collect()
-    pairs = {tuple(map(int, r["key"].split(","))): r["n"] for r in kept if r["kind"] == "p"}
-    return Lines.fit(pairs, {int(r["key"]): r["n"] for r in kept if r["kind"] == "h"}), mends, frozenset(joined)
+    return trained(rows, titles), mends, frozenset(joined)
+
+
+def sample(rows: DataFrame, headers: int = TRAIN_HEADERS, texts: int = TRAIN_TEXTS) -> tuple[list[tuple], list[tuple]]:
+    """(text, page) of header rows, and of other rows with several lines: the first of each by a hash of row and text."""
+    margin, many = F.col("type").isin("HEADER", "FOOTER"), ~F.col("type").isin("HEADER", "FOOTER") & F.col("text").contains("\n")
+    order = F.xxhash64("row_nr", "text")
+    n = rows.agg(F.count_if(margin).alias("headers"), F.count_if(many).alias("texts")).first()
+
+    def some(kind: Column, want: int, have: int) -> list[tuple]:
+        # a share of the hashes holds about twice as many as are wanted, so that no task sends more than its part of them
+        near = F.pmod(order, F.lit(1 << 30)) <= int(min(1.0, 2 * want / max(1, have)) * (1 << 30))
+        got = rows.where(kind & near).orderBy(F.pmod(order, F.lit(1 << 30)), "text").limit(want).select(F.left("text", F.lit(TRAIN_CHARS)).alias("text"), "page", "id")
+        return [(r["text"], _page_of(r["page"], r["id"])) for r in got.collect()]
+
+    return some(margin, headers, n["headers"]), some(many, texts, n["texts"])
+
+
+def trained(rows: DataFrame, titles: frozenset[str]) -> Lines:
+    return Lines.fit(training_sequences(*sample(rows), Layout(titles), title_words(titles)))
+
+
+def known_titles(titles: list[str]) -> frozenset[str]:
+    """Titles without their field, squeezed, and without their part, as running headers give them."""
+    plain = [re.sub(r"^[^;]*\([A-Z]+\);\s*", "", t) for t in titles]
+    return frozenset(squeezed(x) for t in plain for x in (t, re.sub(r";\s*Part \d+:.*$", "", t))) - {""}
 
 
 def _prepared(segments: DataFrame, catalog: DataFrame):
     """(rows of scanned text, broadcast ingredients). The reference list is small and fixed; its titles are collected."""
     # keys travel as strings: pandas would turn whole numbers beside nulls into floats
-    titles = frozenset(squeezed(re.sub(r"^[^;]*\([A-Z]+\);\s*", "", r["title"])) for r in catalog.select("title").where("title IS NOT NULL").distinct().collect()) - {""}
+    titles = known_titles([r["title"] for r in catalog.select("title").where("title IS NOT NULL").distinct().collect()])
     rows = segments.where(F.col("type").isin("NORM", "INFORM", "HEADER", "FOOTER") & (F.length("text") > 0)).select(F.col("row_nr").cast("string").alias("row_nr"), "id", "type", "page", "text")
     model, mends, joined = _statistics(rows, titles)
     return rows.where(F.col("type").isin("NORM", "INFORM")), segments.sparkSession.sparkContext.broadcast((titles, model, mends, joined))
@@ -344,7 +487,8 @@ def scan_damage(segments: DataFrame, catalog: DataFrame) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scan = Scan(*shared.value)
         for b in batches:
-            got = [(k, d) for k, t, p, i in zip(b["row_nr"], b["text"], b["page"], b["id"]) for d in sorted(scan.read(t, _page_of(p, i), False)[0])]
+            read = scan.read_all(b["text"].tolist(), [_page_of(p, i) for p, i in zip(b["page"], b["id"])], False)
+            got = [(k, d) for k, r in zip(b["row_nr"], read) for d in sorted(r[0])]
             yield pd.DataFrame(got, columns=["row_nr", "damage"])
 
     return rows.mapInPandas(run, "row_nr string, damage string").withColumn("row_nr", key)
@@ -358,7 +502,7 @@ def mended_text(segments: DataFrame, catalog: DataFrame) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scan = Scan(*shared.value)
         for b in batches:
-            got = [(k, *scan.read(t, _page_of(p, i))) for k, t, p, i in zip(b["row_nr"], b["text"], b["page"], b["id"])]
-            yield pd.DataFrame([(k, t, sorted(d)) for k, d, t in got], columns=["row_nr", "text", "damage"])
+            read = scan.read_all(b["text"].tolist(), [_page_of(p, i) for p, i in zip(b["page"], b["id"])])
+            yield pd.DataFrame([(k, t, sorted(d)) for k, (d, t) in zip(b["row_nr"], read)], columns=["row_nr", "text", "damage"])
 
     return rows.mapInPandas(run, "row_nr string, text string, damage array<string>").withColumn("row_nr", key)

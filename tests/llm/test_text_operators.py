@@ -5,6 +5,7 @@ import random
 import re
 from collections import defaultdict
 
+import numpy as np
 import pytest
 
 from clausemill.llm import leakage, personal, repeated_lines, scanned
@@ -99,19 +100,38 @@ def test_halves_of_words_broken_twice_and_across_headers():
     assert {"reta", "retain", "tain"} <= scanned.halves(lines, classes)
 
 
-def test_viterbi_is_the_best_path():
-    import itertools
-
-    import numpy as np
-
-    model = scanned.Lines(np.array([0.2, 0.5, 0.3]), np.array([[0.2, 0.5, 0.3], [0.1, 0.6, 0.3], [0.3, 0.3, 0.4]]), np.random.default_rng(0).dirichlet(np.ones(11), 3))
-    seq = [1, 10, 7, 0, 10]
-
-    def score(path):
-        s = model.begin[path[0]] + model.emit[path[0]][seq[0]]
-        return s + sum(model.move[a][b] + model.emit[b][e] for a, b, e in zip(path, path[1:], seq[1:]))
-
-    assert score(model.label(seq)) == pytest.approx(max(score(p) for p in itertools.product(range(3), repeat=5)))
+def test_labels_are_those_of_the_best_paths():
+    rng = np.random.default_rng(0)
+    model = scanned.Lines(rng.normal(size=(sum(scanned.FEATURES), 3)), rng.normal(size=(3, 3)), rng.normal(size=3))
+    sizes = np.array([5, 1, 3, 5, 2])
+    feats = np.stack([rng.integers(0, n, sizes.sum()) for n in scanned.FEATURES], 1)
+    score = model.weights[feats + scanned._FROM].sum(1)
+    got, end = model.label(feats, sizes), 0
+    for n in sizes:
+        own, said = score[end : end + n], got[end : end + n]
+        value = lambda p: model.begin[p[0]] + sum(own[i][s] for i, s in enumerate(p)) + sum(model.move[a][b] for a, b in zip(p, p[1:]))  # noqa: B023, E731
+        assert value(said) == pytest.approx(max(value(p) for p in itertools.product(range(3), repeat=int(n))))
+        end += n
+    assert model.label(np.zeros((0, len(scanned.FEATURES)), int), np.zeros(0, int)).size == 0
+
+
+def test_the_model_finds_headers_that_their_form_does_not_show():
+    titles = scanned.known_titles(["Field of things (FOT); Rules for sealed boxes; Part 1: Formats", "Data model for timed registers"])
+    layout, words, rng = scanned.Layout(titles), scanned.title_words(titles), random.Random(2)
+    vocab = "the quorum shall retain every sealed ledger whenever descriptor changes and handed copies of timed registers".split()
+
+    def text():
+        return "\n".join(" ".join(rng.choices(vocab, k=9)) + rng.choice(["", "", "."]) for _ in range(rng.randint(2, 7)))
+
+    heads = [(rng.choice(["EN 301 001 V1.2.3 (2024-01)", "RULES FOR SEALED BOXES — WP Ab Cd", "Draft TS 101 456 V1.1.1", "DATA MODEL FOR TIMED REGISTERS"]), 3) for _ in range(60)]
+    made = lambda n: scanned.training_sequences(heads, [(text(), rng.randint(2, 60)) for _ in range(n)], layout, words)
+    model, held = scanned.Lines.fit(made(800)), made(400)
+    feats, truth = (np.concatenate(x) for x in zip(*held))
+    said = model.label(feats, np.array([len(y) for _, y in held]))
+    head, form = truth == scanned.HEADER, np.isin(feats[:, 0], scanned._MARGIN)
+    recall = lambda x: (x & head).sum() / head.sum()
+    assert recall(said == scanned.HEADER) > 0.97 > recall(form) + 0.05 and ((said == scanned.HEADER) & ~head).sum() < 0.03 * head.sum()
+    assert scanned.Lines.fit([]).label(feats[:2], np.array([2])).size == 2
 
 
 def test_leaks_against_brute_force(spark):
