@@ -9,11 +9,11 @@ averaged perceptron learns to tell them again. Lines of those texts that look li
 All texts are then labelled, many at a time, by the best path through the model. Header lines go, body lines are joined,
 and a break ends a paragraph.
 
-Words are counted over all texts. A word is misread if undoing usual confusions of characters gives one that is RATIO
-times as common; a line-end hyphen is taken out if the halves join to a known or so mended word, and kept in compounds.
+Words are counted over all texts. A word is misread if undoing at most MOST_MENDS usual confusions of characters gives one
+that is RATIO times as common: words that confusions can lead to one another have one key, by which every word is joined
+with the common ones, and the confusions of each pair that meets are counted exactly. A line-end hyphen is taken out if the halves join to a known or so mended word, and kept in compounds.
 Every distinct word and every word that halves may make is joined with the counts of all words, so that no word is too
-rare to count. Tasks get the mends and the halves that join, the model's weights, and the fixed reference list's titles. A
-table of CELLS counts keeps readings that no word can have out of that join; it only makes the join smaller.
+rare to count. Tasks get the mends and the halves that join, the model's weights, and the fixed reference list's titles.
 
 Defined results: null texts come out null and undamaged; a row without page takes it from its id, or has no page
 number to find; a null type isn't scanned; unknown standards still show by their form; repeated rows are treated alike;
@@ -23,7 +23,6 @@ empty tables give empty results; further columns are ignored; texts of any lengt
 from __future__ import annotations
 
 import re
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -34,7 +33,7 @@ from pyspark.sql import functions as F
 
 from clausemill.plans.session import materialize
 
-RATIO, MOST_MENDS, CELLS = 20, 4, 1 << 22
+RATIO, MOST_MENDS = 20, 4
 #: Labelled header rows and texts that the model is trained on, by the order of a hash, how much of a text, and how often.
 TRAIN_HEADERS, TRAIN_TEXTS, TRAIN_CHARS, ROUNDS = 3_000, 6_000, 4_000, 6
 #: What is read for what.
@@ -260,27 +259,51 @@ def training_sequences(headers: list[tuple[str, int | None]], texts: list[tuple[
     return out
 
 
-def readings(word: str) -> Iterator[tuple[int, str]]:
-    """(confusions undone, what word may be a misreading of)."""
-    if len(word) < 2 or len(word) > 40 or sum(c.isalpha() for c in word) < 2:
-        return
-    layer, seen = {word}, {word}
-    for n in range(1, MOST_MENDS + 1):
-        found = set()
-        for w in layer:
-            for wrong, right in CONFUSIONS:
-                at = w.find(wrong)
-                while at >= 0:
-                    v = w[:at] + right + w[at + len(wrong) :]
-                    if v not in seen:
-                        found.add(v)
-                    at = w.find(wrong, at + 1)
-        seen |= found
-        for v in found:
-            yield n, v
-        if len(seen) > 3000:
-            return
-        layer = found
+#: What confusions make one: single characters first, then characters that stand for two. Every confusion keeps the key.
+_ONE, _OTHER = "etq9l1!|5$ſ0bh86", "cfggiiiisssouuuu"
+_TWO = (("ﬂ", "fi"), ("ﬁ", "fi"), ("d", "ci"), ("u", "ii"), ("m", "rn"), ("w", "vv"))
+
+
+def confusion_key(word: Column) -> Column:
+    """The same for all words that confusions lead to one another."""
+    out = F.translate(word, _ONE, _OTHER)
+    for c, two in _TWO:
+        out = F.replace(out, F.lit(c), F.lit(two))
+    return out
+
+
+def _seen_as() -> dict[str, list[tuple[str, int]]]:
+    """What is seen -> (what it may be, confusions): every confusion, and confusions of what a confusion left."""
+    found: dict[tuple[str, str], int] = {}
+    for right in {r for _, r in CONFUSIONS}:
+        layer = {right}
+        for n in range(1, MOST_MENDS + 1):
+            layer = {w[:at] + wrong + w[at + len(r) :] for w in layer for wrong, r in CONFUSIONS for at in range(len(w)) if w.startswith(r, at)}
+            for w in layer:
+                found.setdefault((w, right), n)
+    out: dict[str, list[tuple[str, int]]] = {}
+    for (w, right), n in found.items():
+        out.setdefault(w, []).append((right, n))
+    return out
+
+
+_SEEN_AS = _seen_as()
+_LONGEST = max(map(len, _SEEN_AS))
+
+
+def confusions(word: str, meant: str, most: int = MOST_MENDS) -> int | None:
+    """The fewest confusions by which meant is read as word; None if they're more than most."""
+    at: dict[tuple[int, int], int] = {(0, 0): 0}
+    for i in range(len(word)):
+        for j in [b for a, b in at if a == i]:
+            cost = at[i, j]
+            steps = [(1, 1, 0)] if j < len(meant) and word[i] == meant[j] else []
+            for n in range(1, min(_LONGEST, len(word) - i) + 1):
+                steps += [(n, len(right), k) for right, k in _SEEN_AS.get(word[i : i + n], ()) if meant.startswith(right, j)]
+            for n, m, k in steps:
+                if cost + k <= min(most, at.get((i + n, j + m), most)):
+                    at[i + n, j + m] = cost + k
+    return at.get((len(word), len(meant)))
 
 
 def halves(lines: list[str], classes: list[int]) -> set[str]:
@@ -417,27 +440,21 @@ def _statistics(rows: DataFrame, titles: frozenset[str]) -> tuple[Lines, dict[st
         yield flush()
 
     counts = materialize(rows.mapInPandas(run, "kind string, key string, n long").groupBy("kind", "key").agg(F.sum("n").alias("n")), "scan-counts")
-    known = counts.where(f"kind = 'w' AND n >= {RATIO}").select(F.col("key").alias("meant"), F.col("n").alias("k"))
-    cells = known.groupBy((F.crc32(F.col("meant").cast("binary")) % CELLS).alias("cell")).agg(F.max("k").alias("k")).toPandas()
-    most = np.zeros(CELLS, np.uint8)  # a count's bits
-    most[cells["cell"].to_numpy(np.int64)] = [int(k).bit_length() for k in cells["k"]]
-    shared = rows.sparkSession.sparkContext.broadcast(most)
-
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        most = shared.value
-        for b in batches:
-            got = []
-            for word, n in zip(b["word"], b["n"]):
-                own = max(1, n) * RATIO
-                bits = own.bit_length()
-                got += [(word, own, layer, v) for layer, v in readings(word) if most[zlib.crc32(v.encode()) % CELLS] >= bits]
-            yield pd.DataFrame(got, columns=["word", "own", "layer", "meant"])
-
     is_word = F.col("kind") == "w"
     asked = counts.where("kind IN ('w', 'j')").groupBy(F.col("key").alias("word")).agg(F.coalesce(F.max(F.when(is_word, F.col("n"))), F.lit(0)).alias("n"), F.max(~is_word).alias("half"))
-    may = asked.select("word", "n").mapInPandas(read, "word string, own long, layer int, meant string")
+    letters = F.length(F.regexp_replace("word", r"[^\p{L}]", ""))
+    odd = asked.where(letters >= 2).select("word", (F.greatest("n", F.lit(1)) * RATIO).alias("own"), confusion_key(F.col("word")).alias("same"))
+    known = counts.where(f"kind = 'w' AND n >= {RATIO}").select(F.col("key").alias("meant"), F.col("n").alias("k"), confusion_key(F.col("key")).alias("same"))
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            layers = [confusions(w, m) for w, m in zip(b["word"], b["meant"])]
+            yield b.assign(layer=layers).dropna(subset=["layer"]).astype({"layer": int})
+
+    may = odd.join(known, "same").where("k >= own AND word <> meant").select("word", "meant", "k")
+    may = may.mapInPandas(count, "word string, meant string, k long, layer int")
     # fewest confusions first, then the commonest word
-    best = may.join(known, "meant").where("k >= own").groupBy("word").agg(F.min(F.struct("layer", (-F.col("k")).alias("k"), "meant")).alias("best"))
+    best = may.groupBy("word").agg(F.min(F.struct("layer", (-F.col("k")).alias("k"), "meant")).alias("best"))
     best = materialize(best.select("word", "best.meant"), "scan-mends")
     mends = {r["word"]: r["meant"] for r in best.collect()}
     halved = asked.where("half").join(best, "word", "left").where("n >= 3 OR meant IS NOT NULL").select("word")

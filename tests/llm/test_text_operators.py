@@ -7,6 +7,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from clausemill.llm import leakage, personal, repeated_lines, scanned
 
@@ -100,6 +101,13 @@ def test_halves_of_words_broken_twice_and_across_headers():
     assert {"reta", "retain", "tain"} <= scanned.halves(lines, classes)
 
 
+def test_confusions_keep_the_key_and_are_counted(spark):
+    pairs = list(scanned.CONFUSIONS) + [("sha1l", "shall"), ("rnodern", "modern"), ("8ox", "hox"), ("disclosure", "disdosure"), ("li" * 40, "h" * 40)]
+    keys = spark.createDataFrame(pairs, "a string, b string").select(scanned.confusion_key(F.col("a")).alias("a"), scanned.confusion_key(F.col("b")).alias("b")).collect()
+    assert all(k.a == k.b for k in keys)
+    assert [scanned.confusions(a, b) for a, b in (("sha1l", "shall"), ("rnodern", "modern"), ("8ox", "hox"), ("1i", "h"), ("same", "same"), ("cat", "dog"), ("111111", "llllll"))] == [1, 1, 2, 2, 0, None, None]
+
+
 def test_labels_are_those_of_the_best_paths():
     rng = np.random.default_rng(0)
     model = scanned.Lines(rng.normal(size=(sum(scanned.FEATURES), 3)), rng.normal(size=(3, 3)), rng.normal(size=3))
