@@ -31,20 +31,26 @@ from pyspark.sql import Window
 from clausemill.plans.session import materialize
 
 VOCABULARY = os.environ.get("CLAUSEMILL_TOKENIZER", "/opt/tokenizers/byte_bpe_50k.tiktoken")
-MAX_BLOCKS = 1024
+MAX_BLOCKS = 4096
 #: Fixed value: the vocabulary's splitting pattern.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _CACHE = 300_000
 
 
+def read_vocabulary(path: str = VOCABULARY) -> bytes:
+    """The vocabulary file, a fixed one of about a megabyte; only the driver needs to have it."""
+    with open(path, "rb") as f:
+        return f.read()
+
+
 class TokenCounter:
     """Exact token counts: pieces of the splitting pattern are tokenized once and then looked up."""
 
-    def __init__(self, vocabulary: str = VOCABULARY):
+    def __init__(self, vocabulary: bytes | None = None):
         import tiktoken
 
-        with open(vocabulary, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        lines = (read_vocabulary() if vocabulary is None else vocabulary).splitlines()
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.encoding = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.pieces = regex.compile(PATTERN)
         self.seen: dict[str, int] = {}
@@ -66,9 +72,10 @@ class TokenCounter:
 def with_tokens(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """(doc_id, source, tokens) of the documents that have text; only sizes leave the Python workers."""
     kind = dict(docs.dtypes)["doc_id"]
+    sent = docs.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        count = TokenCounter(vocabulary)
+        count = TokenCounter(sent.value)
         for b in batches:
             yield pd.DataFrame({"doc_id": b["doc_id"], "source": b["source"], "tokens": [count(t) for t in b["text"]]})
 
@@ -170,3 +177,14 @@ def mix_report(docs: DataFrame, targets: DataFrame, total: int | None = None, sh
     zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
     out = listed.join(have, "source", "left").join(got, "source", "left").select("source", "target_share", "max_repeats", zero("tokens_available"), zero("tokens_mixed"), zero("repeats"))
     return out.withColumn("actual_share", F.col("tokens_mixed") / F.greatest(F.sum("tokens_mixed").over(Window.partitionBy()), F.lit(1)))
+
+
+def shard_report(docs: DataFrame, targets: DataFrame, total: int | None = None, shards: int = 64, seed: int = 7, vocabulary: str = VOCABULARY) -> DataFrame:
+    """(shard, source, tokens, share): what each shard holds of each source, and its share of the shard.
+
+    Shards get exact numbers of blocks, drawn as the tree draws them, so their shares stray about those of the whole mix, the
+    less the more blocks a shard has of a source.
+    """
+    _, sized, part = _planned(docs, targets, total, shards, seed, vocabulary)
+    per = _taken(sized, part, seed).groupBy("shard", "source").agg(F.sum("tokens").alias("tokens"))
+    return per.withColumn("share", F.col("tokens") / F.sum("tokens").over(Window.partitionBy("shard")))

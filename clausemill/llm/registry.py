@@ -94,6 +94,10 @@ def p9_shares(spark, d):
     return mixture.mix_report(table(spark, d, "documents"), table(spark, d, "mix_targets"))
 
 
+def p9_shards(spark, d):
+    return mixture.shard_report(table(spark, d, "documents"), table(spark, d, "mix_targets"))
+
+
 def p10_found(spark, d):
     return personal.found_values(table(spark, d, "documents"))
 
@@ -102,7 +106,7 @@ def p10_redacted(spark, d):
     return personal.redacted(table(spark, d, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_removed, p2_found, p2_text, p3_found, p3_pieces, p4_found, p4_records, p5_found, p5_mapping, p7_found, p7_classes, p8_found, p8_reparameterised, p9_mix, p9_shares, p10_found, p10_redacted)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_removed, p2_found, p2_text, p3_found, p3_pieces, p4_found, p4_records, p5_found, p5_mapping, p7_found, p7_classes, p8_found, p8_reparameterised, p9_mix, p9_shares, p9_shards, p10_found, p10_redacted)}
 
 _LINES = r"""
 WITH l AS (SELECT row_nr, norm, source_file, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS line_nr

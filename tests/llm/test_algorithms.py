@@ -232,6 +232,8 @@ def test_mix_reaches_shares_and_repeats_at_most(spark):
     mixed = mixture.mix(D, targets, shards=8).collect()
     assert len({(r.doc_id, r["copy"]) for r in mixed}) == len(mixed) and {r.shard for r in mixed} == set(range(8))
     assert sum(r.tokens for r in mixed) == sum(r.tokens_mixed for r in report.values())
+    per_shard = mixture.shard_report(D, targets, shards=8).collect()
+    assert sum(r.tokens for r in per_shard) == sum(r.tokens_mixed for r in report.values()) and all(abs(r.share - (2 / 3 if r.source == "big" else 1 / 3)) < 0.12 for r in per_shard)
     assert mixture.mix(D.limit(0), targets).count() == 0
     capped = {r.source: r for r in mixture.mix_report(D, targets, total=10**9, shards=8).collect()}
     assert capped["small"].tokens_mixed == 3 * capped["small"].tokens_available and capped["big"].tokens_mixed == capped["big"].tokens_available
