@@ -188,3 +188,11 @@ def shard_report(docs: DataFrame, targets: DataFrame, total: int | None = None,
     _, sized, part = _planned(docs, targets, total, shards, seed, vocabulary)
     per = _taken(sized, part, seed).groupBy("shard", "source").agg(F.sum("tokens").alias("tokens"))
     return per.withColumn("share", F.col("tokens") / F.sum("tokens").over(Window.partitionBy("shard")))
+
+
+def mix_checks(report: DataFrame, near: float = 0.01) -> DataFrame:
+    """(source, in_caps, near_target) of a report: no source beyond its repeats, and each near its share of what is present."""
+    present = F.when(F.col("tokens_available") > 0, F.col("target_share")).otherwise(0.0)
+    share = present / F.greatest(F.sum(present).over(Window.partitionBy()), F.lit(1e-12))
+    caps = (F.col("repeats") <= F.col("max_repeats")) & (F.col("tokens_mixed") <= F.col("tokens_available") * F.col("max_repeats"))
+    return report.select("source", caps.alias("in_caps"), (F.abs(F.col("actual_share") - share) <= near).alias("near_target"))

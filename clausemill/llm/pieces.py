@@ -18,7 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 LIMIT, LEAST_OVERLAP, MOST_OVERLAP = 1800, 100, 200
@@ -126,3 +126,12 @@ def split_oversized(rows: DataFrame, key: str = "row_nr", limit: int = LIMIT, le
     long = rows.where(F.length("text") > limit).select(F.col(key).cast("string").alias(key), "text")
     out = long.mapInPandas(run, f"{key} string, piece_nr int, begin_at int, end_at int, cut string, piece string")
     return out.withColumn(key, F.col(key).cast(dict(rows.dtypes)[key]))
+
+
+def rejoined(pieces: DataFrame, key: str = "row_nr", limit: int = LIMIT, least: int = LEAST_OVERLAP, most: int = MOST_OVERLAP) -> DataFrame:
+    """(key, text, in_limits): each text put together from its pieces, and whether these keep to the limit and the overlap."""
+    w = Window.partitionBy(key).orderBy("piece_nr")
+    overlap = F.lag("end_at").over(w) - F.col("begin_at")
+    rows = pieces.select(key, "piece_nr", F.coalesce(overlap, F.lit(0)).alias("again"), "piece", ((F.length("piece") <= limit) & F.coalesce(overlap.between(least, most), F.lit(True))).alias("ok"))
+    part = F.struct("piece_nr", F.substr("piece", F.col("again") + 1).alias("new"))
+    return rows.groupBy(key).agg(F.array_join(F.transform(F.sort_array(F.collect_list(part)), lambda p: p["new"]), "").alias("text"), F.min("ok").alias("in_limits"))

@@ -38,6 +38,11 @@ def p3_pieces(spark, d):
     return pieces.split_oversized(table(spark, d, "segments").select("row_nr", "text"))
 
 
+def p3_rejoined(spark, d):
+    whole = pieces.rejoined(pieces.split_oversized(table(spark, d, "segments").select("row_nr", "text")))
+    return whole.select("row_nr", F.md5("text").alias("text_hash"), "in_limits")
+
+
 def _p4(spark, d):
     return [table(spark, d, t) for t in ("segments", "source_kinds", "norm_catalog", "spec_docs")]
 
@@ -94,6 +99,10 @@ def p9_shares(spark, d):
     return mixture.mix_report(table(spark, d, "documents"), table(spark, d, "mix_targets"))
 
 
+def p9_checks(spark, d):
+    return mixture.mix_checks(mixture.mix_report(table(spark, d, "documents"), table(spark, d, "mix_targets")))
+
+
 def p9_shards(spark, d):
     return mixture.shard_report(table(spark, d, "documents"), table(spark, d, "mix_targets"))
 
@@ -106,7 +115,7 @@ def p10_redacted(spark, d):
     return personal.redacted(table(spark, d, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_removed, p2_found, p2_text, p3_found, p3_pieces, p4_found, p4_records, p5_found, p5_mapping, p7_found, p7_classes, p8_found, p8_reparameterised, p9_mix, p9_shares, p9_shards, p10_found, p10_redacted)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_removed, p2_found, p2_text, p3_found, p3_pieces, p3_rejoined, p4_found, p4_records, p5_found, p5_mapping, p7_found, p7_classes, p8_found, p8_reparameterised, p9_mix, p9_shares, p9_shards, p9_checks, p10_found, p10_redacted)}
 
 _LINES = r"""
 WITH l AS (SELECT row_nr, norm, source_file, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS line_nr
@@ -172,6 +181,8 @@ LEFT JOIN (SELECT c, count(*) AS n_links FROM (SELECT a AS c FROM l UNION ALL SE
     + """, gone AS (SELECT row_nr, list(line_nr) AS nrs FROM k JOIN f USING (norm, letters) GROUP BY 1)
 SELECT s.row_nr, CASE WHEN nrs IS NULL THEN text ELSE array_to_string(list_filter(string_split(text, chr(10)), lambda x, i: NOT list_contains(nrs, i)), chr(10)) END AS text,
   CAST(coalesce(len(nrs), 0) AS INTEGER) AS n_removed FROM segments s LEFT JOIN gone USING (row_nr)""",
+    "p3_rejoined": "SELECT row_nr, md5(text) AS text_hash, true AS in_limits FROM segments WHERE length(text) > 1800",
+    "p9_checks": "SELECT DISTINCT lower(trim(source)) AS source, true AS in_caps, true AS near_target FROM mix_targets WHERE source IS NOT NULL",
     "p3_found": "SELECT row_nr FROM segments WHERE length(text) > 1800",
     "p8_found": r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents),
