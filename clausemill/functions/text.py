@@ -118,7 +118,7 @@ def toc_entry(line: Column) -> Column:
             p["page"].cast("int").alias("page"), F.when(f["form"] == "annex", F.lower(F.regexp_extract(p["head"], annex, 2))).alias("annex_type"), f["form"].alias("form"),
         )))
 
-    return let(ends, split_head)
+    return F.when(line.rlike(r"\d\s*$"), let(ends, split_head))
 
 
 def headings(c: Column) -> Column:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from clausemill.functions.text import cross_references, normative_keywords, stitched, strip, toc_entry
 from clausemill.operators.sections import section_class
 from clausemill.operators.sequences import section_neighbours
+from clausemill.plans.session import materialize
 
 THRESHOLD, FIRST_BODY = 3, 4
 # Headings that stand between the contents and the body; words that begin a cover's other lines; months.
@@ -36,20 +37,29 @@ def page_lines(pages: DataFrame) -> DataFrame:
     return raw.select("doc", "page", F.struct("at", "k").alias("pos"), kept.alias("line")).where("line <> ''")
 
 
+def parsed(lines: DataFrame) -> DataFrame:
+    """lines with e, what they're read as, written once: everything here that is asked of lines reads it from there."""
+    return materialize(lines.withColumn("e", toc_entry(F.col("line"))), "contents-lines")
+
+
+def _entry(lines: DataFrame) -> Column:
+    return F.col("e") if "e" in lines.columns else toc_entry(F.col("line"))
+
+
 def line_flags(lines: DataFrame) -> DataFrame:
     """Lines with what speaks for their being contents lines: a number at the end, a leader, what they're read as."""
     t = F.col("line")
-    return lines.select("doc", "page", "pos", t.rlike(r"\s\d{1,4}$").alias("trailing_number"), has_leader(t).alias("leader"), toc_entry(t)["form"].alias("form"))
+    return lines.select("doc", "page", "pos", t.rlike(r"\s\d{1,4}$").alias("trailing_number"), has_leader(t).alias("leader"), _entry(lines)["form"].alias("form"))
 
 
 def entries(lines: DataFrame) -> DataFrame:
     """(doc, page, pos, num, title, to_page, annex_type, form): the contents lines."""
-    return lines.select("doc", "page", "pos", toc_entry(F.col("line")).alias("e")).where("e IS NOT NULL").select("doc", "page", "pos", "e.num", "e.title", F.col("e.page").alias("to_page"), "e.annex_type", "e.form")
+    return lines.select("doc", "page", "pos", _entry(lines).alias("e")).where("e IS NOT NULL").select("doc", "page", "pos", "e.num", "e.title", F.col("e.page").alias("to_page"), "e.annex_type", "e.form")
 
 
 def contents_pages(lines: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """(doc, page, n_entries): the first page with `threshold` contents lines, and the pages after it up to one with none."""
-    per = lines.groupBy("doc", "page").agg(F.count_if(toc_entry(F.col("line")).isNotNull()).alias("n_entries"))
+    per = lines.groupBy("doc", "page").agg(F.count_if(_entry(lines).isNotNull()).alias("n_entries"))
     first = per.where(F.col("n_entries") >= threshold).groupBy("doc").agg(F.min("page").alias("first"))
     later = per.join(first, "doc").where(F.col("page") >= F.col("first"))
     stop = later.where("n_entries = 0").groupBy("doc").agg(F.min("page").alias("stop"))
@@ -70,6 +80,7 @@ def structure(lines: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     body_start is the first page after the contents with the heading of clause 1, Scope; between are the usual headings that
     stand before it, once each in the order of their first line, compared without case.
     """
+    lines = lines if "e" in lines.columns else parsed(lines)
     toc = contents_pages(lines, threshold).groupBy("doc").agg(F.sum("n_entries").alias("n_entries"), F.sort_array(F.collect_list("page")).alias("toc_pages"))
     docs = lines.groupBy("doc").agg(F.count_distinct("page").alias("total_pages")).join(toc, "doc", "left")
     after = F.coalesce(F.array_max("toc_pages") + 1, F.lit(FIRST_BODY))

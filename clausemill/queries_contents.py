@@ -91,7 +91,7 @@ tx AS (SELECT id, regexp_replace(string_agg(text, chr(12) ORDER BY pg.page), '([
 
 @query(f"WITH {_SEC} SELECT id, num, title, page_from, page_to, prev_id, md5(coalesce(text, '')) AS text_hash, CAST(coalesce(chars, 0) AS BIGINT) AS chars_in_pages FROM rg LEFT JOIN tx USING (id)")
 def contents_sections(spark, d):
-    lines = _lines(spark, d)
+    lines = contents.parsed(_lines(spark, d))
     listed = contents.entries(lines).join(contents.contents_pages(lines).select("doc", "page"), ["doc", "page"], "left_semi").where("num <> ''")
     pages = _pages(spark, d).groupBy("doc", "page").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("at", "text"))), lambda p: p["text"]), "\n").alias("text"))
     return contents.sections(listed, pages).select("id", "num", "title", "page_from", "page_to", "prev_id", F.md5("text").alias("text_hash"), "chars_in_pages")
