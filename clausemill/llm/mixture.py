@@ -169,13 +169,14 @@ def _taken(sized: DataFrame, part: DataFrame, seed: int) -> DataFrame:
 
 
 def mix_report(docs: DataFrame, targets: DataFrame, total: int | None = None, shards: int = 64, seed: int = 7, vocabulary: str = VOCABULARY) -> DataFrame:
-    """(source, target_share, max_repeats, tokens_available, tokens_mixed, actual_share, repeats) of every listed source."""
+    """(source, target_share, max_repeats, tokens_available, largest, tokens_mixed, repeats, actual_share) of every listed
+    source; largest is the size of its largest document, by which a quota may be exceeded."""
     wanted, sized, part = _planned(docs, targets, total, shards, seed, vocabulary)
     listed = docs.sparkSession.createDataFrame([tuple(x) for x in wanted.itertuples(index=False)], "source string, target_share double, max_repeats int")
-    have = sized.groupBy("source").agg(F.sum("tokens").alias("tokens_available"))
+    have = sized.groupBy("source").agg(F.sum("tokens").alias("tokens_available"), F.max("tokens").alias("largest"))
     got = _taken(sized, part, seed).groupBy("source").agg(F.sum("tokens").alias("tokens_mixed"), (F.max("copy") + 1).alias("repeats"))
     zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
-    out = listed.join(have, "source", "left").join(got, "source", "left").select("source", "target_share", "max_repeats", zero("tokens_available"), zero("tokens_mixed"), zero("repeats"))
+    out = listed.join(have, "source", "left").join(got, "source", "left").select("source", "target_share", "max_repeats", zero("tokens_available"), zero("largest"), zero("tokens_mixed"), zero("repeats"))
     return out.withColumn("actual_share", F.col("tokens_mixed") / F.greatest(F.sum("tokens_mixed").over(Window.partitionBy()), F.lit(1)))
 
 
@@ -191,8 +192,11 @@ def shard_report(docs: DataFrame, targets: DataFrame, total: int | None = None,
 
 
 def mix_checks(report: DataFrame, near: float = 0.01) -> DataFrame:
-    """(source, in_caps, near_target) of a report: no source beyond its repeats, and each near its share of what is present."""
+    """(source, in_caps, near_target) of a report: no source beyond its repeats, and each near its share of what is present,
+    but for the documents by which it and the others exceed their quotas."""
+    everything = Window.partitionBy()
     present = F.when(F.col("tokens_available") > 0, F.col("target_share")).otherwise(0.0)
-    share = present / F.greatest(F.sum(present).over(Window.partitionBy()), F.lit(1e-12))
+    share, total = present / F.greatest(F.sum(present).over(everything), F.lit(1e-12)), F.sum("tokens_mixed").over(everything)
     caps = (F.col("repeats") <= F.col("max_repeats")) & (F.col("tokens_mixed") <= F.col("tokens_available") * F.col("max_repeats"))
-    return report.select("source", caps.alias("in_caps"), (F.abs(F.col("actual_share") - share) <= near).alias("near_target"))
+    close = F.abs(F.col("tokens_mixed") - share * total) <= near * total + F.col("largest") + share * F.sum("largest").over(everything)
+    return report.select("source", caps.alias("in_caps"), close.alias("near_target"))
