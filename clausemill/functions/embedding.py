@@ -78,3 +78,53 @@ def missing(segments: DataFrame) -> DataFrame:
 def embed_missing(segments: DataFrame) -> DataFrame:
     """(row_nr, embedding) of the rows still to be embedded."""
     return missing(segments).select("row_nr", embed("text").alias("embedding"))
+
+
+def packed(vector: Column) -> Column:
+    """A vector as little-endian 32-bit floats, as stores of other engines hold it; null stays null."""
+
+    @pandas_udf("binary")
+    def pack(b: pd.Series) -> pd.Series:
+        return b.map(lambda v: None if v is None else np.asarray(v, "<f4").tobytes())
+
+    return pack(vector)
+
+
+def unpacked(blob: Column) -> Column:
+    @pandas_udf(ArrayType(FloatType()))
+    def unpack(b: pd.Series) -> pd.Series:
+        return b.map(lambda v: None if v is None else np.frombuffer(v, "<f4"))
+
+    return unpack(blob)
+
+
+def answered(model: Callable[[], Callable[[str], str]], default: str | None = None) -> Callable[[Column], Column]:
+    """A column function over a model that answers a prompt; `default` where it fails or there is no prompt.
+
+    Equal prompts of a task are asked once. Titles, headings and boundaries between blocks are all asked for so."""
+
+    @pandas_udf("string")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        ask, known = model(), {}
+        for b in batches:
+            for p in set(b.dropna()) - set(known):
+                try:
+                    known[p] = ask(p)
+                except OSError:
+                    known[p] = default
+            yield b.map(lambda p: known.get(p, default) if p is not None else default)
+            if len(known) > _CACHE:
+                known = {}
+
+    return run
+
+
+def first_backend(candidates: Sequence[tuple[str, Callable[[], bool]]]) -> str | None:
+    """The first of the named backends whose probe says that it's there; null if none is. Ask once, on the driver."""
+    for name, probe in candidates:
+        try:
+            if probe():
+                return name
+        except OSError:
+            continue
+    return None

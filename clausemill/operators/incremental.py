@@ -140,3 +140,20 @@ def index_statistics(rows: DataFrame) -> DataFrame:
     cube = rows.rollup("norm", "type").agg(F.count("*").alias("n"), F.sum(F.coalesce("has_embedding", F.lit(0))).alias("embedded"), F.grouping_id().alias("gid"))
     level = F.when(F.col("gid") == 0, "type").when(F.col("gid") == 1, "norm").otherwise("total")
     return cube.withColumn("level", level).drop("gid")
+
+
+def to_resegment(stems: DataFrame, rules: DataFrame) -> DataFrame:
+    """The documents (stem, ...) for which a rule has been learned."""
+    return stems.join(rules.where("stem IS NOT NULL").select("stem").distinct(), "stem", "left_semi")
+
+
+def all_items(active: DataFrame, published: DataFrame) -> DataFrame:
+    """Both lists as one, with the list that each item is of; columns that one of them lacks are null."""
+    return active.withColumn("list", F.lit("active")).unionByName(published.withColumn("list", F.lit("published")), allowMissingColumns=True)
+
+
+def url_records(files: DataFrame, at: str) -> DataFrame:
+    """(path, url, source, saved_at): where each file was fetched from, and what kind of place that is."""
+    from clausemill.functions.web import url_class
+
+    return files.where("url IS NOT NULL").select("path", "url", url_class(F.col("url")).alias("source"), F.lit(at).cast("timestamp").alias("saved_at"))

@@ -18,6 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from clausemill.functions.text import normative_keywords
 from clausemill.plans.session import materialize
 
 K1, B, LEAST_IDF = 1.2, 0.75, 1e-6
@@ -258,6 +259,21 @@ def reciprocal_ranks(lists: Sequence[DataFrame], limit: int, k: int = 60) -> Dat
     return top(both.groupBy("id").agg(F.sum("part").alias("score")), limit)
 
 
+def citation(norm: Column, version: Column, section: Column) -> Column:
+    """How a clause is cited: norm, version, and the clause's number if it has one."""
+    clause = F.when(F.coalesce(section, F.lit("")) != "", F.concat(F.lit(", clause "), section)).otherwise("")
+    return F.trim(F.concat(norm, F.lit(" "), F.coalesce(version, F.lit("")), clause))
+
+
+def requirements(segments: DataFrame) -> DataFrame:
+    """Normative rows with weight, by the strongest of their modal verbs (3 shall, must and required; 2 should and
+    recommended; 1 may and optional), and citation; rows without such a verb are none."""
+    verbs = normative_keywords(F.col("text"))
+    has = lambda *words: F.exists(verbs, lambda v: v.rlike(f"^({'|'.join(words)})"))
+    weight = F.when(has("shall", "must", "required"), 3).when(has("should", "recommended"), 2).when(F.size(verbs) > 0, 1)
+    return segments.where("type = 'NORM'").withColumns({"weight": weight, "citation": citation(F.col("norm"), F.col("version"), F.col("section"))}).where("weight IS NOT NULL")
+
+
 def contents(segments: DataFrame, norm: str, depth: int = 3, version: str | None = None) -> DataFrame:
     rows = section_rows(segments, norm, version=version, types=["SECTION"])
     return rows.where(F.size(F.split("section", r"\.")) <= depth)

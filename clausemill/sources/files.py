@@ -34,3 +34,21 @@ def resolved_source(docs: DataFrame, files: DataFrame) -> DataFrame:
 
 def crc_manifest(files: DataFrame) -> DataFrame:
     return files.select("path", F.lpad(F.lower(F.hex(F.crc32("content"))), 8, "0").alias("crc"))
+
+
+def named_like(files: DataFrame, part: str) -> DataFrame:
+    """The files whose name contains a part, without regard to case."""
+    return files.where(F.lower("name").contains(part.lower()))
+
+
+def page_files_of(docs: DataFrame, files: DataFrame) -> DataFrame:
+    """docs (stem, source_kind, ...) that came from a PDF which is at hand, with its path."""
+    newest = files.where(F.lower("name").endswith(".pdf")).groupBy("stem").agg(F.max_by("path", F.struct("modified", "name")).alias("path"))
+    return docs.where("source_kind = 'pdf'").join(newest, "stem")
+
+
+def latest_delivery(links: DataFrame) -> DataFrame:
+    """(key, url): of each listing's links (key, href) the PDF of the highest version folder, the last by name of several."""
+    version = F.transform(F.regexp_extract_all("href", F.lit(r"/(\d{2}\.\d{2}\.\d{2}(?:_\d+)?)/"), F.lit(1)), lambda v: v)
+    pdf = links.where(F.lower("href").endswith(".pdf"))
+    return pdf.groupBy("key").agg(F.max_by("href", F.struct(F.coalesce(F.try_element_at(version, F.lit(-1)), F.lit("")), "href")).alias("url"))

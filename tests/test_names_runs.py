@@ -142,3 +142,45 @@ def test_sinks(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "history")).count() == 2 and {r.k for r in spark.read.parquet(str(tmp_path / "rows")).collect()} == {1, 2}
     g = sinks.graph_json(frame(spark, [("a", True)], "id string, known boolean"), frame(spark, [("a", "b")], "from_id string, to_id string")).collect()
     assert [r.json for r in g] == ['{"id":"a","known":true}', '{"from_id":"a","to_id":"b"}']
+
+
+def test_models_vectors_and_small_selections(spark):
+    from clausemill.functions import embedding
+    from clausemill.sources import files
+
+    def model():
+        asked = []
+
+        def ask(p):
+            asked.append(p)
+            if "bad" in p:
+                raise OSError
+            return f"{p}:{len(asked)}"
+
+        return ask
+
+    df = frame(spark, [("a",), ("a",), ("bad",), (None,)], "p string").coalesce(1)
+    got = [r[0] for r in df.select(embedding.answered(model, "BREAK")(F.col("p"))).collect()]
+    assert got[0] == got[1] and got[0].startswith("a:") and got[2:] == ["BREAK", "BREAK"]
+
+    def served():
+        return lambda texts: [[float(len(t)), 1.0] for t in texts]
+
+    v = frame(spark, [("abc",), ("",), (None,)], "t string").coalesce(1).select(embedding.embedder(served)(F.col("t")).alias("v"))
+    assert [r.v for r in v.collect()] == [[3.0, 1.0], [0.0, 1.0], [0.0, 1.0]]
+    assert [r[0] for r in v.select(embedding.unpacked(embedding.packed(F.col("v")))).collect()][0] == [3.0, 1.0]
+
+    def absent():
+        raise OSError
+
+    assert embedding.first_backend([("a", absent), ("b", lambda: False), ("c", lambda: True)]) == "c" and embedding.first_backend([]) is None
+    links = frame(spark, [("k", "/x/01.02.01_60/a.pdf"), ("k", "/x/02.01.01_60/a.pdf"), ("k", "/x/02.01.01_60/b.PDF"), ("k", "/x/03.01.01/readme.txt"), ("m", "plain.pdf")], "key string, href string")
+    assert {r.key: r.url for r in files.latest_delivery(links).collect()} == {"k": "/x/02.01.01_60/b.PDF", "m": "plain.pdf"}
+    f = frame(spark, [("p/A.pdf", "A.pdf", "a", T[0]), ("q/a.pdf", "a.pdf", "a", T[1]), ("p/b.docx", "b.docx", "b", T[0])], "path string, name string, stem string, modified timestamp")
+    assert files.named_like(f, "A.P").count() == 2
+    assert [r.path for r in files.page_files_of(frame(spark, [("a", "pdf"), ("b", "pdf"), ("c", "docx")], "stem string, source_kind string"), f).collect()] == ["q/a.pdf"]
+    assert incremental.to_resegment(f, frame(spark, [("b",), ("b",), (None,)], "stem string")).count() == 1
+    both = incremental.all_items(frame(spark, [("1", 5)], "number string, n int"), frame(spark, [("2",)], "number string"))
+    assert {(r.number, r.n, r.list) for r in both.collect()} == {("1", 5, "active"), ("2", None, "published")}
+    u = incremental.url_records(frame(spark, [("p", "http://x/deliver/a"), ("q", None)], "path string, url string"), "2024-01-01").collect()
+    assert [(r.path, r.source) for r in u] == [("p", "delivery")]

@@ -8,10 +8,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from clausemill import queries_classes, queries_contents, queries_core, queries_names, queries_orphans
+from clausemill import queries_classes, queries_contents, queries_core, queries_names, queries_orphans, queries_scalars
 from tools_compare import norm
 
-MODULES = (queries_orphans, queries_core, queries_contents, queries_names, queries_classes)
+MODULES = (queries_orphans, queries_core, queries_contents, queries_names, queries_classes, queries_scalars)
 SQL = {k: s for m in MODULES for k, s in m.SQL.items()}
 QUERIES = {k: f for m in MODULES for k, f in m.QUERIES.items()}
 
