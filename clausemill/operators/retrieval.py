@@ -205,6 +205,109 @@ def knn_join(vectors: DataFrame, queries: DataFrame, k: int, block: int = 1024)
     return merged.where(F.col("distance") < float("inf")).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
+#: Vectors that cells are fitted on, cells of an index (a power of two near the root of the rows, at most), rounds of fitting.
+SAMPLE_VECTORS, MOST_CELLS, ROUNDS = 50_000, 4096, 10
+
+
+@dataclass
+class VectorIndex:
+    """rows (id, embedding, cell) of every vector, a folder for each cell, and the cells' centres."""
+
+    rows: DataFrame
+    centres: np.ndarray
+
+
+def vector_index(vectors: DataFrame, cells: int | None = None, sample: int = SAMPLE_VECTORS) -> VectorIndex:
+    """An index of all vectors (id, embedding) by the nearest of some centres.
+
+    The centres are fitted on at most `sample` vectors, the first by a hash of their id; only those reach the driver.
+    """
+    known = vectors.where("embedding IS NOT NULL").select("id", "embedding")
+    n = known.count()
+    cells = cells or min(MOST_CELLS, 1 << max(0, round(math.log2(max(1, n)) / 2)))
+    order = F.pmod(F.xxhash64("id"), F.lit(1 << 30))
+    near = order <= int(min(1.0, 2 * sample / max(1, n)) * (1 << 30))
+    some = np.array([r[0] for r in known.where(near).orderBy(order, "id").limit(sample).select("embedding").collect()], np.float64)
+    if not len(some):
+        return VectorIndex(known.withColumn("cell", F.lit(0)), np.zeros((0, 0)))
+    centres = some[np.random.default_rng(0).choice(len(some), min(cells, len(some)), replace=False)]
+    for _ in range(ROUNDS):
+        own = _nearest_cells(some, centres, 1)[:, 0]
+        size = np.bincount(own, minlength=len(centres))
+        total = np.zeros_like(centres)
+        np.add.at(total, own, some)
+        centres = np.where(size[:, None] > 0, total / np.maximum(1, size)[:, None], centres)
+    sent = vectors.sparkSession.sparkContext.broadcast(centres)
+
+    def assign(batches):
+        for b in batches:
+            if len(b):
+                b["cell"] = _nearest_cells(np.stack(b["embedding"].to_numpy()).astype(np.float64), sent.value, 1)[:, 0]
+                yield b
+
+    kinds = dict(known.dtypes)
+    placed = known.mapInPandas(assign, f"id {kinds['id']}, embedding {kinds['embedding']}, cell int")
+    return VectorIndex(materialize(placed, "vector-cells", by="cell"), centres)
+
+
+def _nearest_cells(m: np.ndarray, centres: np.ndarray, n: int) -> np.ndarray:
+    d = (centres**2).sum(1)[None] - 2 * m @ centres.T
+    return np.argsort(d, axis=1, kind="stable")[:, :n]
+
+
+def probes_for(index: VectorIndex, k: int, least: float = 0.92, sample: int = 100) -> int:
+    """How many cells must be probed to find the share `least` of the k nearest, measured on the exact neighbours of at most
+    `sample` of the indexed vectors. Vectors without clusters need most cells: then the index saves little, and says so."""
+    v = index.rows.select("id", "embedding")
+    some = v.orderBy(F.xxhash64("id"), "id").limit(sample)
+    asked = {r["id"]: r["embedding"] for r in some.collect()}
+    if not asked:
+        return 1
+    cells = knn_join(v, some, k).select("query_id", "id").join(index.rows.select("id", "cell"), "id").select("query_id", "cell").collect()
+    order = {i: np.argsort(_nearest_cells(np.array([e], np.float64), index.centres, len(index.centres))[0]) for i, e in asked.items()}
+    ranks = np.sort([order[r["query_id"]][r["cell"]] for r in cells])
+    return int(ranks[min(len(ranks) - 1, math.ceil(least * len(ranks)) - 1)]) + 1 if len(ranks) else 1
+
+
+def index_search(index: VectorIndex, queries: DataFrame, k: int, probes: int = 8, block: int = 1024) -> DataFrame:
+    """(query_id, id, rank, distance): nearly the k nearest of each query, from the `probes` cells nearest to it.
+
+    A block of queries reads only the folders of its cells, and a vector meets only the queries that probe its cell.
+    """
+    out, rest = [], queries.where("embedding IS NOT NULL").select("id", "embedding")
+    blocks = max(1, -(-rest.count() // block))
+    for b in range(blocks if len(index.centres) else 0):
+        rows = rest.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == b).collect()
+        if not rows:
+            continue
+        q = np.array([r["embedding"] for r in rows], np.float64)
+        probed = _nearest_cells(q, index.centres, probes)
+        sent = queries.sparkSession.sparkContext.broadcast((np.array([r["id"] for r in rows]), q, probed))
+
+        def run(batches, sent=sent):
+            ids, q, probed = sent.value
+            for v in batches:
+                got = []
+                for cell, part in v.groupby("cell"):
+                    asks = np.flatnonzero((probed == cell).any(1))
+                    m, own = np.stack(part["embedding"].to_numpy()).astype(np.float64), part["id"].to_numpy()
+                    d = np.round(np.sqrt(np.maximum((q[asks] ** 2).sum(1)[:, None] + (m**2).sum(1)[None] - 2 * q[asks] @ m.T, 0)), 9)
+                    d[ids[asks][:, None] == own[None]] = np.inf
+                    most = min(k, d.shape[1]) - 1
+                    row, col = np.nonzero(d <= np.partition(d, most, axis=1)[:, most : most + 1])
+                    got.append(pd.DataFrame({"query_id": ids[asks][row], "id": own[col], "distance": d[row, col]}))
+                if got:
+                    yield pd.concat(got)
+
+        wanted = [int(c) for c in np.unique(probed)]
+        out.append(index.rows.where(F.col("cell").isin(wanted)).select("id", "embedding", "cell").mapInPandas(run, "query_id long, id long, distance double"))
+    merged = queries.select(F.col("id").cast("bigint").alias("query_id"), F.col("id").cast("bigint").alias("id"), F.lit(0.0).alias("distance")).limit(0)
+    for o in out:
+        merged = merged.unionByName(o)
+    w = Window.partitionBy("query_id").orderBy("distance", "id")
+    return merged.where(F.col("distance") < float("inf")).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+
+
 def hybrid(lexical: DataFrame, vector: DataFrame, limit: int, alpha: float = 0.5) -> DataFrame:
     """(id, bm25, cosine, score) of the union of two bounded candidate lists; a missing side scores 0."""
     a, b = lexical.select("id", F.col("score").alias("bm25")), vector.select("id", F.col("score").alias("cosine"))

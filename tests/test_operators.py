@@ -126,6 +126,20 @@ def test_neighbours_against_brute_force(spark):
         assert [got[q, k + 1] for k in range(5)] == [i for _, i in order[:5]]
 
 
+def test_vector_index_against_the_exact_search(spark):
+    rng = random.Random(5)
+    centres = [[rng.gauss(0, 1) for _ in range(8)] for _ in range(12)]
+    rows = [(i, [x + rng.gauss(0, 0.3) for x in rng.choice(centres[:1] * 6 + centres)]) for i in range(1500)] + [(9000, None)]
+    v = spark.createDataFrame(rows, "id long, embedding array<float>")
+    index, asked = retrieval.vector_index(v, sample=300), v.where("id % 20 = 0")
+    assert index.rows.count() == 1500 and len(index.centres) == 32
+    pairs = lambda df: {(r.query_id, r.id) for r in df.collect()}
+    exact, found = pairs(retrieval.knn_join(v.where("id < 9000"), asked.where("id < 9000"), 10)), pairs(retrieval.index_search(index, asked, 10, block=40))
+    assert len(found & exact) >= 0.9 * len(exact) and len(found) == 750
+    assert pairs(retrieval.index_search(index, asked, 10, probes=32)) == exact and 1 <= retrieval.probes_for(index, 10) < 16
+    assert retrieval.index_search(retrieval.vector_index(v.limit(0)), asked, 3).count() == 0 and retrieval.index_search(index, asked.limit(0), 3).count() == 0
+
+
 def test_references(spark):
     text = "ETSI EN 319 401, TS119 612-1? TS 119 612-1; RFC 3161 and RFC5280, SD-JWT VC; ISO/IEC 18013–5; ITU-T X.509; W3C Recommendation, W3C VC-DM; OpenID4VP 1.0, OpenID4VCI, HAIP"
     refs = {(r.source, r.ref) for r in graph.reference_rows(spark.createDataFrame([(1, text), (2, None), (3, "")], "doc_id int, text string"), "doc_id").collect()}
