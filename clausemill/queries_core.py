@@ -278,10 +278,13 @@ vs AS (SELECT id, at_, sum(s) AS s FROM vp GROUP BY 1, 2), vn AS (SELECT id, sqr
 ve AS (SELECT id, list_transform(range(0, 64), lambda k: coalesce(m[k], 0)::FLOAT) AS embedding FROM (SELECT id, map(list(at_), list(s / greatest(n, 1e-12))) AS m FROM vs JOIN vn USING (id) GROUP BY 1))"""
 
 
-@query("WITH " + _bm25_sql("CASE WHEN term IN ('escrow', 'ledger') THEN term END", 2).replace("SELECT id, round(score, 6) AS score FROM score WHERE true", ", " + _VEC + """, qv AS (SELECT embedding AS e FROM ve WHERE id = -1), lx AS (SELECT id, score FROM score ORDER BY score DESC, id LIMIT 40), ln AS (SELECT id, score / max(score) OVER () AS b FROM lx),
+_HYBRID = "WITH " + _bm25_sql("CASE WHEN term IN ('escrow', 'ledger') THEN term END", 2).replace("SELECT id, round(score, 6) AS score FROM score WHERE true", ", " + _VEC + """, qv AS (SELECT embedding AS e FROM ve WHERE id = -1), lx AS (SELECT id, score FROM score ORDER BY score DESC, id LIMIT 40), ln AS (SELECT id, score / max(score) OVER () AS b FROM lx),
 vx AS (SELECT id, 1 - sqrt(list_sum(list_transform(list_zip(qv.e, v.embedding), lambda x: (x[1]::DOUBLE - x[2]::DOUBLE) * (x[1]::DOUBLE - x[2]::DOUBLE)))) / 2 AS c FROM ve v, qv WHERE id >= 0 ORDER BY round(c, 9) DESC, id LIMIT 40),
 f AS (SELECT coalesce(ln.id, vx.id) AS id, coalesce(b, 0) AS b, coalesce(c, 0) AS c FROM ln FULL JOIN vx ON ln.id = vx.id)
-SELECT id, round(b, 6) AS bm25, round(c, 6) AS cosine, round(0.5 * b + 0.5 * c, 4) AS score FROM f ORDER BY score DESC, id LIMIT 20"""))
+SELECT id, round(b, 6) AS bm25, round(c, 6) AS cosine, round(0.5 * b + 0.5 * c, 4) AS score FROM f ORDER BY score DESC, id LIMIT 20""")
+
+
+@query(_HYBRID)
 def search_hybrid(spark, d):
     lexical = retrieval.normalized(retrieval.top(_searched(spark, d, "escrow ledger"), 40))
     near = retrieval.vector_scores(_vectors(spark, d), embedding.hashed("escrow ledger").tolist(), 40)
@@ -289,6 +292,15 @@ def search_hybrid(spark, d):
     return out.select("id", F.round("bm25", 6).alias("bm25"), F.round("cosine", 6).alias("cosine"), "score")
 
 
+_SPLIT = _HYBRID.index("SELECT id, round(b, 6) AS bm25")
+
+
+@query(_HYBRID[:_SPLIT] + "SELECT h.id, score, norm FROM (" + _HYBRID[_SPLIT:] + ") h JOIN segments s ON s.row_nr = h.id WHERE type IN ('NORM', 'INFORM') ORDER BY score DESC, h.id LIMIT 10")
+def search_norm_tool(spark, d):
+    near = embedding.hashed("escrow ledger").tolist()
+    return retrieval.search_norm(_indexed(spark, d), _index(spark, d), _vectors(spark, d), "escrow ledger", near, limit=10).select("id", "score", "norm")
+
+
 @query("""SELECT row_nr, id, norm, page, text, true AS found FROM segments WHERE id = (SELECT min(id) FROM segments) UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, false""")
 def lookup_segment(spark, d):
     rows = _segments(spark, d, "row_nr", "id", "norm", "page", "text")
