@@ -2,7 +2,9 @@
 
 import random
 import re
+from collections import Counter
 from datetime import datetime
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -207,6 +209,60 @@ def test_links_do_not_depend_on_where_copies_of_a_class_lie(spark):
         assert {tuple(r) for r in nearcopies.near_pairs(df.repartition(parts, "row_nr")).collect()} == near_truth(rows)
 
 
+def phrase_sets(n=3000, least=0.5):
+    """Texts made of the same phrases, so that no key of most is rare, and near copies of some; their sets, and those that are near."""
+    rng = random.Random(6)
+    phrases = [rng.choices([f"word{i}" for i in range(400)], k=4) for _ in range(900)]
+    texts = [[w for p in rng.sample(phrases, rng.randint(10, 30)) for w in p] for _ in range(n)]
+    for i in range(0, n, 30):
+        texts[i] = list(texts[i + 1])
+        texts[i][rng.randrange(len(texts[i]))] = f"own{i}"
+        texts[i][rng.randrange(len(texts[i]))] = "word1"
+    x = nearcopies.Batch([" ".join(t) for t in texts], nearcopies._Hashes())
+    keys = x.shingles.astype(np.uint32)
+    sets = [set(s.tolist()) for s in np.split(keys, np.cumsum(x.count)[:-1])]
+    by = {}
+    for i, s in enumerate(sets):
+        for k in s:
+            by.setdefault(k, []).append(i)
+    met = Counter(p for v in by.values() for p in combinations(v, 2))
+    return x.count, keys, {(a, b) for (a, b), m in met.items() if m >= least * max(len(sets[a]), len(sets[b]))}
+
+
+@pytest.mark.parametrize("tails, block, parts", [((50, 1_000), (64, 2_048), 1), ((5, 30), (8, 16), 1), ((5, 30), (64, 2_048), 3), ((10**9, 10**9), (8, 16), 2)])
+def test_texts_of_the_same_phrases_meet_whole_with_few_comparisons(monkeypatch, tails, block, parts):
+    count, keys, near = phrase_sets()
+    monkeypatch.setattr(nearcopies, "TAILS", tails)
+    monkeypatch.setattr(nearcopies, "BLOCK", block)
+    compared, apart = [0], nearcopies._apart
+    monkeypatch.setattr(nearcopies, "_apart", lambda x: (compared.__setitem__(0, compared[0] + len(x)), apart(x))[1])
+    freq = np.bincount(keys.astype(np.int64) % 2**16, minlength=2**16).astype(np.uint32)
+    ends = np.concatenate(([0], np.cumsum(count)))
+    blobs, got = {}, set()
+    for s in range(0, count.size, 1000):
+        for part in range(parts):
+            which, own = nearcopies._posts(np.arange(s, s + 1000), keys[ends[s] : ends[s + 1000]], count[s : s + 1000], freq, 0.5, 20_000, 5, part, parts)
+            for g, b in zip(which.tolist(), own):
+                blobs.setdefault((part, g), []).append(b)
+    for group in blobs.values():
+        got |= {tuple(sorted(p)) for a, b in nearcopies._meetings(group, 0.5) for p in zip(a.tolist(), b.tolist())}
+    assert len(near) >= 100 and near <= got and len(got) < 2 * len(near)
+    assert compared[0] > 20_000 if tails[0] > 1_000 else compared[0] < 15_000
+
+
+def test_rounds_of_groups_lose_no_link(spark):
+    rows = near_rows()
+    df = spark.createDataFrame(rows, "row_nr long, id string, text string")
+    links = lambda **k: {tuple(sorted(r)) for r in nearcopies.link_classes(df, **k)[1].collect()}
+    assert links(rounds=3) == links() and len(links()) > 100
+
+
+def test_groups_and_rounds_bound_what_a_task_and_a_round_get():
+    assert nearcopies._layout(0, 0, 6, 0.5) == (6, 1) and nearcopies._layout(300_000, 78, 6, 0.5) == (6, 1)
+    groups, rounds = nearcopies._layout(18_500_000, 78, 6, 0.5)
+    assert groups > 900 and rounds == 4
+
+
 def test_quotas_are_split_exactly():
     q = np.array([5, 0, 1000, 33, 1])
     out = mixture.split_quotas(q, 13, np.random.default_rng(1))
